@@ -23,13 +23,16 @@ def read_chunks(spark: SparkSession, path: str, *, skip_corrupt: bool = False) -
     return reader.parquet(path)
 
 
-def read_token_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Per-project totals of a summary document, empty if it is missing or broken."""
+def read_token_counts(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
+    """Per-project totals of a summary document, empty if it is missing or broken.
+
+    ``lines``: the files hold one document per line instead of one in all.
+    """
     schema = T.StructType(TOKEN_COUNTS.fields)
     if not _exists(spark, path):
         summary = spark.createDataFrame([], schema)
     else:
-        summary = spark.read.schema(schema).option("multiLine", True).json(path)
+        summary = spark.read.schema(schema).option("multiLine", not lines).json(path)
     return summary.select(F.explode("repos").alias("project_name", "totals")).select(
         "project_name",
         F.coalesce("totals.tokens", F.lit(0)).alias("tokens"),
