@@ -52,13 +52,12 @@ def star_ranges(levels: DataFrame, current: int | None = None) -> DataFrame:
 
     ``levels`` holds distinct ``level`` values. Columns: ``level, upper, tier, stars``.
     """
-    above = Window.orderBy(F.desc("level"))
+    above = Window.orderBy(F.desc("level"))  # thresholds are a short dimension
     ranged = levels.select("level", (F.lag("level").over(above) - 1).alias("upper"))
     if current is not None:
-        known = levels.agg(F.bool_or(F.col("level") == current).alias("_known"))
-        ranged = ranged.join(F.broadcast(known)).filter(
-            ~F.coalesce("_known", F.lit(False)) | (F.col("level") <= current)
-        ).drop("_known")
+        known = F.bool_or(F.col("level") == current).over(Window.partitionBy())
+        ranged = ranged.withColumn("_known", known).filter(~F.col("_known") | (F.col("level") <= current))
+        ranged = ranged.drop("_known")
     level, upper = F.col("level").cast("string"), F.col("upper").cast("string")
     return ranged.withColumn("tier", F.row_number().over(above)).withColumn(
         "stars",
@@ -68,17 +67,28 @@ def star_ranges(levels: DataFrame, current: int | None = None) -> DataFrame:
     )
 
 
+def exclusive_ranges(levels: list[int], current: int | None = None) -> list[tuple[str, str]]:
+    """Query text and label of every exclusive range, for thresholds known up front."""
+    start = levels.index(current) if current in levels else 0
+    above = [None, *levels[:-1]]
+    return [
+        (f">={low}", f"{low}+") if high is None else (f"{low}..{high - 1}", f"{low}-{high - 1}")
+        for low, high in list(zip(levels, above))[start:]
+    ]
+
+
 def crawl_queries(
     topics: DataFrame,
-    ranges: DataFrame,
     *,
+    levels: list[int] = C.STAR_LEVELS,
+    current: int | None = None,
     words: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """Nine families of crawl queries: ``family, query, description, sort, order``.
 
-    ``topics`` holds ``topic, position`` (position from 1), ``ranges`` the output of
-    :func:`star_ranges`; ``words`` replaces the fixed short lists by name. ``ranges`` is a table
-    of thresholds and is broadcast.
+    ``topics`` holds ``topic, position`` (position from 1); ``levels`` and ``current`` choose the
+    star ranges; ``words`` replaces the fixed short lists by name. The lists are exploded within
+    a row, so the products need no join.
     """
     lists = {
         "broad": C.CRAWL_BROAD_TOPICS,
@@ -89,106 +99,97 @@ def crawl_queries(
         "size": C.CRAWL_SIZES,
         "filename": C.CRAWL_FILENAMES,
     } | (words or {})
-    spark = topics.sparkSession
-    label = F.when(F.col("upper").isNull(), F.concat(F.col("level").cast("string"), F.lit("+"))).otherwise(
-        F.concat_ws("-", F.col("level").cast("string"), F.col("upper").cast("string"))
-    )
-    top = F.broadcast(ranges.filter("tier <= 3").select("tier", "stars", label.alias("label")))
-    top2 = top.filter("tier <= 2")
-    by_sort = F.inline(
-        F.array(*[F.struct(F.lit(s).alias("sort"), F.lit(d).alias("sort_label")) for s, d in C.CRAWL_SORT_LABELS])
-    )
+    one = topics.sparkSession.range(1).drop("id")
+    ranges = exclusive_ranges(levels, current)
+
+    def pairs(values: list[tuple[str, str]], first: str, second: str) -> Column:
+        return F.inline(F.array(*[F.struct(F.lit(a).alias(first), F.lit(b).alias(second)) for a, b in values]))
+
+    def listed(name: str, column: str, rows: DataFrame = one) -> DataFrame:
+        return rows.select("*", F.explode(_array(lists[name])).alias(column))
+
+    def ranged(rows: DataFrame, tiers: int) -> DataFrame:
+        return rows.select("*", pairs(ranges[:tiers], "stars", "label"))
 
-    def listed(name: str, column: str) -> DataFrame:
-        return spark.range(1).select(F.explode(_array(lists[name])).alias(column))
+    def sorted_by(rows: DataFrame, sorts: list[tuple[str, str]] = C.CRAWL_SORT_LABELS) -> DataFrame:
+        return rows.select("*", pairs(sorts, "sort", "sort_label"))
+
+    def family(name: str, rows: DataFrame, query: str, description: str, sort: str | None = None) -> DataFrame:
+        def filled(template: str) -> Column:
+            return fill(template, **{c: F.col(c) for c in rows.columns if "{" + c + "}" in template})
 
-    def family(name: str, rows: DataFrame, query: str, description: str, sort: Column) -> DataFrame:
-        values = {c: F.col(c) for c in rows.columns if "{" + c + "}" in query + description}
         return rows.select(
             F.lit(name).alias("family"),
-            fill(query, **{c: v for c, v in values.items() if "{" + c + "}" in query}).alias("query"),
-            fill(description, **{c: v for c, v in values.items() if "{" + c + "}" in description}).alias("description"),
-            sort.alias("sort"),
+            filled(query).alias("query"),
+            filled(description).alias("description"),
+            (F.col("sort") if sort is None else F.lit(sort)).alias("sort"),
             F.lit("desc").alias("order"),
         )
 
-    sort, stars = F.col("sort"), F.lit("stars")
-    archived = spark.range(1).select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("machine-learning").alias("topic"), F.lit("ML").alias("short")),
-                F.struct(F.lit("deep-learning").alias("topic"), F.lit("DL").alias("short")),
-            )
-        )
-    )
-    return reduce(
-        DataFrame.unionByName,
-        [
-            family(
-                "topic",
-                topics.crossJoin(top).select("*", by_sort),
-                "language:python topic:{topic} stars:{stars}",
-                "ML/DL: {topic} ({label} stars, {sort_label})",
-                sort,
-            ),
-            family(
-                "recent",
-                topics.filter("position <= 15").crossJoin(top2),
-                "language:python topic:{topic} stars:{stars} pushed:>" + C.CRAWL_RECENT_DATE,
-                "Recent: {topic} ({label} stars, updated 2023+)",
-                F.lit("updated"),
-            ),
-            family(
-                "broad",
-                listed("broad", "topic").crossJoin(top).select("*", by_sort),
-                "language:python {topic} stars:{stars}",
-                "Broad: {topic} ({label} stars, {sort_label})",
-                sort,
-            ),
-            family(
-                "year",
-                listed("year", "year").crossJoin(listed("core", "topic")).crossJoin(top2),
-                "language:python {topic} stars:{stars} created:{year}",
-                "Year {year}: {topic} ({label} stars)",
-                stars,
-            ),
-            family(
-                "readme",
-                listed("readme", "word").crossJoin(top2),
-                'language:python "{word}" in:readme stars:{stars}',
-                'README: "{word}" ({label} stars)',
-                stars,
-            ),
-            family(
-                "license",
-                listed("license", "license").crossJoin(top2),
-                "language:python machine-learning stars:{stars} license:{license}",
-                "License {license}: ML ({label} stars)",
-                stars,
-            ),
-            family(
-                "size",
-                listed("size", "size").select("*", by_sort).filter("sort <> 'forks'"),
-                "language:python machine-learning size:{size}",
-                "Large repos: size {size}KB ({sort_label})",
-                sort,
-            ),
-            family(
-                "filename",
-                listed("filename", "filename").crossJoin(top2),
-                "language:python filename:{filename} stars:{stars}",
-                "Filename {filename} ({label} stars)",
-                stars,
-            ),
-            family(
-                "archived",
-                archived.crossJoin(top2),
-                "language:python {topic} stars:{stars} archived:true",
-                "Archived {short} repos ({label} stars)",
-                stars,
-            ),
-        ],
-    )
+    archived = one.select(pairs([("machine-learning", "ML"), ("deep-learning", "DL")], "topic", "short"))
+    families = [
+        family(
+            "topic",
+            sorted_by(ranged(topics, 3)),
+            "language:python topic:{topic} stars:{stars}",
+            "ML/DL: {topic} ({label} stars, {sort_label})",
+        ),
+        family(
+            "recent",
+            ranged(topics.filter("position <= 15"), 2),
+            "language:python topic:{topic} stars:{stars} pushed:>" + C.CRAWL_RECENT_DATE,
+            "Recent: {topic} ({label} stars, updated 2023+)",
+            "updated",
+        ),
+        family(
+            "broad",
+            sorted_by(ranged(listed("broad", "topic"), 3)),
+            "language:python {topic} stars:{stars}",
+            "Broad: {topic} ({label} stars, {sort_label})",
+        ),
+        family(
+            "year",
+            ranged(listed("core", "topic", listed("year", "year")), 2),
+            "language:python {topic} stars:{stars} created:{year}",
+            "Year {year}: {topic} ({label} stars)",
+            "stars",
+        ),
+        family(
+            "readme",
+            ranged(listed("readme", "word"), 2),
+            'language:python "{word}" in:readme stars:{stars}',
+            'README: "{word}" ({label} stars)',
+            "stars",
+        ),
+        family(
+            "license",
+            ranged(listed("license", "license"), 2),
+            "language:python machine-learning stars:{stars} license:{license}",
+            "License {license}: ML ({label} stars)",
+            "stars",
+        ),
+        family(
+            "size",
+            sorted_by(listed("size", "size"), C.CRAWL_SORT_LABELS[:2]),
+            "language:python machine-learning size:{size}",
+            "Large repos: size {size}KB ({sort_label})",
+        ),
+        family(
+            "filename",
+            ranged(listed("filename", "filename"), 2),
+            "language:python filename:{filename} stars:{stars}",
+            "Filename {filename} ({label} stars)",
+            "stars",
+        ),
+        family(
+            "archived",
+            ranged(archived, 2),
+            "language:python {topic} stars:{stars} archived:true",
+            "Archived {short} repos ({label} stars)",
+            "stars",
+        ),
+    ]
+    return reduce(DataFrame.unionByName, families)
 
 
 def fixed_topics(spark: SparkSession) -> DataFrame:
@@ -198,11 +199,6 @@ def fixed_topics(spark: SparkSession) -> DataFrame:
     )
 
 
-def fixed_levels(spark: SparkSession) -> DataFrame:
-    """The fixed star thresholds."""
-    return spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in C.STAR_LEVELS])).cast("long").alias("level"))
-
-
 def pending(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` is not in ``done``: queries not run, repositories not processed."""
     return rows.join(done.select(key), key, "left_anti").select(*rows.columns)
@@ -251,7 +247,7 @@ def query_repo_edges(results: DataFrame, repos: DataFrame) -> DataFrame:
 
 def top_per_query(hits: DataFrame, metric: str, tie: str, limit: int = C.MAX_PAGES * C.PAGE_SIZE) -> DataFrame:
     """Best ``limit`` hits of each query. Spark cuts each map partition to ``limit`` rows per
-    query before the shuffle, as long as ``spark.sql.window.group.limit.threshold`` allows."""
+    query before the shuffle, as long as ``spark.sql.optimizer.windowGroupLimitThreshold`` allows."""
     ranked = Window.partitionBy("query").orderBy(F.desc(metric), F.asc(tie))
     return hits.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= limit)
 
@@ -312,29 +308,26 @@ def page_map_done(stored: Column, query: Column) -> Column:
     return F.map_filter(stored, lambda k, _: k != query)
 
 
-def next_threshold(levels: DataFrame, states: DataFrame, current: Column) -> DataFrame:
-    """Threshold to go on with: the next lower one once every query is done, if there is one.
-
-    ``states`` holds ``status`` per query; ``current`` is an aggregate over ``levels``.
-    """
-    below = Window.orderBy(F.desc("level"))
-    steps = levels.select("level", F.lead("level").over(below).alias("lower"))
+def next_threshold(levels: DataFrame, states: DataFrame, current: int) -> DataFrame:
+    """Threshold to go on with, as one row: the next lower one once every query is done, if there
+    is one. ``states`` holds ``status`` per query."""
+    level = F.col("level")
+    step = levels.agg(
+        F.bool_or(level == current).alias("known"), F.max(F.when(level < current, level)).alias("lower")
+    )
     gate = states.agg(
         F.count_if(F.col("status") != "done").alias("open_queries"), F.count(F.lit(1)).alias("queries")
     )
-    at = levels.agg(current.alias("current"))
-    return (
-        at.join(F.broadcast(steps), F.col("level") == F.col("current"), "left")
-        .join(F.broadcast(gate))
-        .select(
-            "current",
-            "open_queries",
-            "queries",
-            F.col("lower").isNotNull().alias("can_expand"),
-            F.when(F.col("open_queries") == 0, F.coalesce("lower", "current"))
-            .otherwise(F.col("current"))
-            .alias("next_level"),
-        )
+    row = step.unionByName(gate, allowMissingColumns=True)
+    whole = row.agg(*[F.max(c).alias(c) for c in row.columns])
+    can = F.coalesce("known", F.lit(False)) & F.col("lower").isNotNull()
+    now = F.lit(current).cast("long")
+    return whole.select(
+        now.alias("current"),
+        "open_queries",
+        "queries",
+        can.alias("can_expand"),
+        F.when(can & (F.col("open_queries") == 0), F.col("lower")).otherwise(now).alias("next_level"),
     )
 
 

@@ -71,26 +71,20 @@ def token_counter(
     files: DataFrame,
     projects: DataFrame,
     *,
-    already: DataFrame | None = None,
     max_size: int = MAX_FILE_SIZE,
     max_chars: int = MAX_CONTENT_CHARS,
     tokenizer: Tokenizer = "regex",
 ) -> DataFrame:
     """Lossy token count of all non-empty files of each project.
 
-    ``files`` holds ``dir_name, file_path, size, content``; ``projects`` the project
-    directories. Projects named in ``already`` are left out. A project without a countable file
-    still gets a row of zeros.
+    ``files`` holds ``dir_name, file_path, size, content``; ``projects`` the project directories
+    to count. A project without a countable file still gets a row of zeros. Files are joined to
+    projects after they have been added up, so content never reaches a shuffle; leave files of
+    other projects out before their content is read (:func:`uncounted`).
     """
-    todo = projects.filter(~paths.is_hidden(F.col("dir_name"))).select(
-        "dir_name", paths.dir_to_project(F.col("dir_name")).alias("project_name")
-    )
-    if already is not None:
-        todo = todo.join(already.select("project_name"), "project_name", "left_anti")
     body = text.truncate(text.lossy_text(F.col("content")), max_chars)
     counted = (
         files.filter(~paths.under_git_like(F.col("dir_name"), F.col("file_path")) & (F.col("size") <= max_size))
-        .join(todo.select("dir_name"), "dir_name", "left_semi")
         .withColumn("text", body)
         .filter(F.length("text") > 0)
         .groupBy("dir_name")
@@ -99,13 +93,21 @@ def token_counter(
             F.count(F.lit(1)).alias("files_processed"),
         )
     )
-    return todo.join(counted, "dir_name", "left").select(
-        "project_name",
+    wanted = projects.filter(~paths.is_hidden(F.col("dir_name"))).select("dir_name")
+    return wanted.join(counted, "dir_name", "left").select(
+        paths.dir_to_project(F.col("dir_name")).alias("project_name"),
         F.coalesce("tokens", F.lit(0)).alias("tokens"),
         F.coalesce("files_processed", F.lit(0)).alias("files_processed"),
     )
 
 
+def uncounted(rows: DataFrame, already: DataFrame) -> DataFrame:
+    """Rows of a listing, or of a project list, whose project ``already`` does not name."""
+    named = rows.withColumn("_project", paths.dir_to_project(F.col("dir_name")))
+    done = already.select(F.col("project_name").alias("_project"))
+    return named.join(done, "_project", "left_anti").select(*rows.columns)
+
+
 def file_tokens(
     files: DataFrame,
     *,

@@ -40,13 +40,12 @@ def summary_totals(rollup: DataFrame) -> DataFrame:
 
 def reconcile(actual: DataFrame, expected: DataFrame) -> DataFrame:
     """Compare two one-row totals (``total_tokens, total_files``)."""
-    sides = actual.select(
-        F.col("total_tokens").alias("actual_tokens"), F.col("total_files").alias("actual_files")
-    ).crossJoin(
-        expected.select(
-            F.col("total_tokens").alias("expected_tokens"), F.col("total_files").alias("expected_files")
-        )
+    names = {"total_tokens": "tokens", "total_files": "files"}
+    both = actual.select(*[F.col(c).alias(f"actual_{n}") for c, n in names.items()]).unionByName(
+        expected.select(*[F.col(c).alias(f"expected_{n}") for c, n in names.items()]),
+        allowMissingColumns=True,
     )
+    sides = both.agg(*[F.max(c).alias(c) for c in both.columns])  # one row from each side
     return sides.select(
         "expected_tokens",
         "actual_tokens",
@@ -74,15 +73,17 @@ def summary_lines(rollup: DataFrame, totals: DataFrame | None = None) -> DataFra
         F.lit("").alias("project_name"),
         F.concat(F.regexp_replace(head_json, r"\}$", ""), F.lit(',"repos":{')).alias("line"),
     )
-    first = rollup.agg(F.min("project_name").alias("_first"))
+    first = rollup.agg(F.min("project_name").alias("project_name")).withColumn("_first", F.lit(True))
     named = F.regexp_extract(F.to_json(F.struct(F.col("project_name").alias("n"))), r'(?s)^\{"n":(.*)\}$', 1)
     entry = F.concat(
-        F.when(F.col("project_name") == F.col("_first"), "").otherwise(","),
+        F.when(F.col("_first"), "").otherwise(","),
         named,
         F.lit(":"),
         F.to_json(F.struct("tokens", "files_processed")),
     )
-    body = rollup.join(F.broadcast(first)).select(F.lit(1).alias("part"), "project_name", entry.alias("line"))
+    body = rollup.join(first, "project_name", "left").select(
+        F.lit(1).alias("part"), "project_name", entry.alias("line")
+    )
     foot = totals.select(F.lit(2).alias("part"), F.lit("").alias("project_name"), F.lit("}}").alias("line"))
     return head.unionByName(body).unionByName(foot)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusmill.constants import CHUNK_ROWS, MAX_FILE_SIZE, SHARD_MAX, SHARD_MIN, SHARD_TARGET
 from corpusmill.functions.tokens import Tokenizer
 from corpusmill.operators import extract, packing, rollup
-from corpusmill.operators.repo_stats import token_counter
+from corpusmill.operators.repo_stats import token_counter, uncounted
 from corpusmill.sinks import shards, tables
 from corpusmill.sources import state, tree
 
@@ -78,4 +78,6 @@ def count_tree(
     """Lossy token counts of all projects below ``root`` that ``already`` does not name."""
     listing = tree.scan_tree(spark, root).filter(F.col("size") <= MAX_FILE_SIZE)
     projects = tree.list_projects(spark, root)
-    return token_counter(tree.read_content(listing, root), projects, already=already, tokenizer=tokenizer)
+    if already is not None:
+        listing, projects = uncounted(listing, already), uncounted(projects, already)
+    return token_counter(tree.read_content(listing, root), projects, tokenizer=tokenizer)
