@@ -16,18 +16,27 @@ from corpusmill.constants import (
 from corpusmill.functions.search import not_blocked, one_slash
 
 
-def parse_stars(context: Column) -> Column:
-    """Whole number in the aria label first, else ``12``, ``1.2k`` or ``3m`` in the span."""
-    label = F.try_to_number(F.nullif(F.regexp_extract(context, STARS_LABEL_PATTERN, 1), F.lit("")), F.lit("9" * 18))
-    span = F.lower(F.regexp_extract(context, STARS_SPAN_PATTERN, 1))
+def _label(context: Column) -> Column:
+    return F.regexp_extract(context, STARS_LABEL_PATTERN, 1)
+
+
+def _span(context: Column) -> Column:
+    return F.lower(F.regexp_extract(context, STARS_SPAN_PATTERN, 1))
+
+
+def _stars(label: Column, span: Column) -> Column:
     number = F.regexp_replace(span, "[km]", "").try_cast("double")
     factor = (
-        F.when(F.contains(span, F.lit("k")), 1e3)
-        .when(F.contains(span, F.lit("m")), 1e6)
-        .otherwise(1.0)
+        F.when(F.endswith(span, F.lit("k")), 1e3).when(F.endswith(span, F.lit("m")), 1e6).otherwise(1.0)
     )
     spanned = (number * factor).cast("long")
-    return F.coalesce(F.nullif(label.cast("long"), F.lit(0).cast("long")), spanned, F.lit(0).cast("long"))
+    zero = F.lit(0).cast("long")
+    return F.coalesce(F.nullif(label.try_cast("long"), zero), spanned, zero)
+
+
+def parse_stars(context: Column) -> Column:
+    """Whole number in the aria label first, else ``12``, ``1.2k`` or ``3m`` in the span."""
+    return _stars(_label(context), _span(context))
 
 
 def match_array(names: Column, whole: Column, gaps: Column) -> Column:
@@ -74,12 +83,22 @@ def with_matches(pages: DataFrame, html: str = "html", pattern: str = RECORD_PAT
 
 def record_array(html: Column, found: Column) -> Column:
     """Array of ``(position, name, stars)`` of every match in page order."""
-    return F.transform(
-        found,
-        lambda m: F.struct(
+
+    def texts(m: Column) -> Column:
+        around = context_of(html, m)
+        return F.struct(
             m["position"].alias("position"),
             m["name"].alias("name"),
-            parse_stars(context_of(html, m)).alias("stars"),
+            _label(around).alias("label"),
+            _span(around).alias("span"),
+        )
+
+    return F.transform(
+        F.transform(found, texts),
+        lambda t: F.struct(
+            t["position"].alias("position"),
+            t["name"].alias("name"),
+            _stars(t["label"], t["span"]).alias("stars"),
         ),
     )
 

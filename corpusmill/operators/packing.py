@@ -54,7 +54,7 @@ def _first_jumps(
     width = max(LOOKUP_BUCKET_BYTES, largest // TOUCHED_BUCKETS)
     files = files.filter("size > 0").select(F.col("_start").alias("at"), F.col("_end").alias("end"))
     touched = files.select(
-        F.explode(F.sequence(_div(F.col("at") + 1, width), _div(F.col("end"), width))).alias("bucket"),
+        F.explode_outer(F.sequence(_div(F.col("at") + 1, width), _div(F.col("end"), width))).alias("bucket"),
         "at",
         "end",
     )
@@ -190,7 +190,7 @@ def assign_shards(
     count = shards.count()
     width = 2 * max(min_size, 1, -(-total // count))
     covering = shards.select(
-        F.explode(F.sequence(_div(F.col("low"), width), _div(F.col("high") - 1, width))).alias("_bucket"),
+        F.explode_outer(F.sequence(_div(F.col("low"), width), _div(F.col("high") - 1, width))).alias("_bucket"),
         "shard",
         "low",
         "high",

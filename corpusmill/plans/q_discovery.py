@@ -378,13 +378,8 @@ _NAMES_SQL = """v_named AS (
 
 def _names(spark, sf):
     size = F.col("p_size")
-    owner = (
-        F.when(size % 6 == 0, "topics")
-        .when(size % 6 == 1, "my-resources")
-        .when(size % 6 == 2, "solutions-x")
-        .when(size % 6 == 3, "sponsors")
-        .otherwise(F.lower("p_type"))
-    )
+    owners = [F.lit(o) for o in ("topics", "my-resources", "solutions-x", "sponsors")] + [F.lower("p_type")] * 2
+    owner = F.element_at(F.array(*owners), size % 6 + 1)
     joint = F.when(size % 5 == 4, "/").otherwise("-")
     name = F.concat(owner, F.lit("/"), F.replace("p_name", F.lit(" "), joint))
     return V.table(spark, sf, "part").select("p_partkey", name.alias("name"), (size % 7).cast("long").alias("stars"))
@@ -507,7 +502,7 @@ def match_context(spark, sf):
             F.md5(H.context_of(F.col("html"), m).cast("binary")).alias("context"),
         ),
     )
-    return pages.select("page_id", F.inline(around))
+    return pages.select("page_id", F.inline_outer(around)).filter("position IS NOT NULL")
 
 
 @query(

@@ -61,4 +61,5 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
         F.concat(F.lit("{"), line, F.lit("}")), "map<string,struct<tokens:bigint,files_processed:bigint>>"
     )
     lines = spark.read.text(path).filter(~F.startswith("value", F.lit("{")) & (F.col("value") != "}}"))
-    return lines.select(F.explode(entry).alias("project_name", "t")).select("project_name", "t.*")
+    entries = lines.select(F.explode_outer(entry).alias("project_name", "t"))
+    return entries.filter("project_name IS NOT NULL").select("project_name", "t.*")

@@ -45,7 +45,7 @@ def read_names(spark: SparkSession, path: str, name: str = "name") -> DataFrame:
     if not _exists(spark, path):
         return spark.createDataFrame([], f"{name} string")
     quoted = F.regexp_extract_all("value", F.lit(r'"(?:[^"\\]|\\.)*"'), F.lit(0))
-    words = spark.read.text(path).select(F.explode(quoted).alias("word"))
+    words = spark.read.text(path).select(F.explode_outer(quoted).alias("word")).filter("word IS NOT NULL")
     plain = F.from_json(F.concat(F.lit('{"v":'), "word", F.lit("}")), "v string")["v"]
     return words.select(plain.alias(name)).distinct()
 
@@ -102,7 +102,9 @@ def html_records(pages: DataFrame, *, html: str = "html", pattern: str = H.RECOR
     found = H.with_matches(pages, html, pattern).withColumn(
         "records", H.record_array(F.col(html), F.col("matches"))
     )
-    return found.select(*keys, F.inline("records"))
+    # the outer form keeps the optimizer from working the records out a second time to test
+    # for empty pages below the generator
+    return found.select(*keys, F.inline_outer("records")).filter("position IS NOT NULL")
 
 
 def page_hits(pages: DataFrame, *, html: str = "html", pattern: str = H.RECORD_PATTERN) -> DataFrame:
@@ -111,7 +113,8 @@ def page_hits(pages: DataFrame, *, html: str = "html", pattern: str = H.RECORD_P
     found = H.with_matches(pages, html, pattern).withColumn(
         "records", H.accepted(H.record_array(F.col(html), F.col("matches")))
     )
-    return found.select(*keys, F.posexplode("records").alias("rank", "r")).select(
+    ranked = found.select(*keys, F.posexplode_outer("records").alias("rank", "r")).filter("rank IS NOT NULL")
+    return ranked.select(
         *keys,
         F.col("rank"),
         F.col("r.name").alias("full_name"),
