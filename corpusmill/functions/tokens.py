@@ -31,8 +31,9 @@ def _bpe_counter(name: str):
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoding = _encoding(name)
         for batch in batches:
-            encoded = encoding.encode_batch(batch.fillna("").tolist(), disallowed_special=())
-            yield pd.Series([len(ids) for ids in encoded], dtype="int64").where(batch.notna().values)
+            encoded = encoding.encode_batch(batch.fillna("").tolist(), num_threads=1, disallowed_special=())
+            counts = pd.Series([len(ids) for ids in encoded], dtype="Int64")
+            yield counts.mask(batch.isna().values)
 
     return count
 

@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 from corpusmill import staging
 
 RANGE = "_range"
+ROWS_PER_RANGE = 2_000_000
 
 
 def _accumulate(sources: list[str | None]):
@@ -49,12 +50,14 @@ def _accumulate(sources: list[str | None]):
     return run
 
 
-def running_sums(df: DataFrame, order_by: list[str | Column], sums: dict[str, str | None]) -> DataFrame:
+def running_sums(
+    df: DataFrame, order_by: list[str | Column], sums: dict[str, str | None], *, rows: int | None = None
+) -> DataFrame:
     """Add running sums, current row included, in the order of ``order_by``.
 
     ``sums`` maps a new column to the long column it adds up, or to None to count rows. The
     result is a staged table. ``df`` is read twice (range bounds, then data), so stage it first
-    if it is costly.
+    if it is costly. ``rows``, if known, raises the number of ranges for large tables.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     schema = T.StructType(
@@ -62,7 +65,12 @@ def running_sums(df: DataFrame, order_by: list[str | Column], sums: dict[str, st
         + [T.StructField(RANGE, T.IntegerType())]
         + [T.StructField(f"_running_{i}", T.LongType()) for i in range(len(sums))]
     )
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = (rows or 0) // ROWS_PER_RANGE
+    if ranges > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        ranged = df.repartitionByRange(ranges, *order)
+    else:
+        ranged = df.repartitionByRange(*order)
+    ranged = ranged.sortWithinPartitions(*order)
     staged = staging.stage(ranged.mapInArrow(_accumulate(list(sums.values())), schema), "running")
     # one row per range, so this window and the broadcast are bounded by the partition count
     before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)

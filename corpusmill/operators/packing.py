@@ -172,14 +172,17 @@ def assign_shards(
 
     Shard numbers are dense from 0; the last shard may be short. No shard is empty, so a file
     over ``max_size`` opens its shard even if ``min_size`` is 0. Stage ``index`` first if it is
-    costly to compute: it is read twice.
+    costly to compute: it is read three times.
     """
     if not (0 <= min_size <= target <= max_size and target >= 1):
         raise ValueError("need 0 <= min_size <= target <= max_size and target >= 1")
-    files = running_sums(index.drop("shard_id"), ["project_name", "file_path"], {"_end": "size"})
-    files = files.withColumn("_start", F.col("_end") - F.col("size"))
-    bounds = files.agg(F.sum("size").alias("total"), F.max("size").alias("largest")).first()
+    bounds = index.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("size").alias("total"), F.max("size").alias("largest")
+    ).first()
     total, largest = bounds["total"] or 0, bounds["largest"] or 0
+    order = ["project_name", "file_path"]
+    files = running_sums(index.drop("shard_id"), order, {"_end": "size"}, rows=bounds["rows"])
+    files = files.withColumn("_start", F.col("_end") - F.col("size"))
     columns = [F.col(c) for c in index.columns if c != "shard_id"]
     if total == 0:
         return files.select(*columns, shard_label(F.lit(0)).alias("shard_id"))

@@ -166,7 +166,10 @@ def write_shards(
     located = rows.withColumn("_member", paths.member_name(project, file_path)).withColumn(
         "_location", paths.source_path(project, file_path, root)
     )
-    ordered = located.repartition("shard_id").sortWithinPartitions("shard_id", "project_name", "file_path")
+    # one shard a task: left to itself Spark would join tasks by the size of the index rows
+    count = max(rows.select("shard_id").distinct().count(), 1)
+    spread = located.repartitionById(count, F.pmod(F.col("shard_id").cast("int"), F.lit(count)))
+    ordered = spread.sortWithinPartitions("shard_id", "project_name", "file_path")
     written = ordered.mapInArrow(_archive_rows(archives, level, to_arrow_schema(INDEX)), INDEX)
     (
         written.write.mode("overwrite")

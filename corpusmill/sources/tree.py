@@ -20,10 +20,14 @@ from corpusmill.functions import paths
 from corpusmill.schemas import LISTING
 
 ENTRIES_PER_WALK = 20_000
+BYTES_PER_READ_TASK = 256 * 1024 * 1024
 WALK_BATCH_ROWS = 10_000
 READ_BATCH_BYTES = 16 * 1024 * 1024
 
 
+_LEFT_OUT = (FileNotFoundError, NotADirectoryError, IsADirectoryError, PermissionError)
+
+
 @lru_cache(maxsize=8)
 def _remote(prefix: str):
     from pyarrow import fs
@@ -38,24 +42,26 @@ def _local_path(path: str) -> str | None:
 
 
 def list_directory(path: str) -> Iterator[tuple[str, bool, int]]:
-    """``(name, is_directory, size)`` of the entries of one directory.
+    """``(name, is_directory, size)`` of the entries of one directory, as they come.
 
-    Linked directories are not entered and entries that vanish meanwhile are left out.
+    Linked directories are not entered. What is gone or closed to us is left out; any other
+    error fails the task, which is then tried again.
     """
     local = _local_path(path)
     if local is not None:
         try:
-            entries = list(os.scandir(local))
-        except OSError:
+            entries = os.scandir(local)
+        except _LEFT_OUT:
             return
-        for entry in entries:
-            try:
-                if entry.is_dir(follow_symlinks=False):
-                    yield entry.name, True, 0
-                elif entry.is_file():
-                    yield entry.name, False, entry.stat().st_size
-            except OSError:
-                continue
+        with entries:
+            for entry in entries:
+                try:
+                    if entry.is_dir(follow_symlinks=False):
+                        yield entry.name, True, 0
+                    elif entry.is_file():
+                        yield entry.name, False, entry.stat().st_size
+                except _LEFT_OUT:
+                    continue
         return
     from pyarrow import fs
 
@@ -65,7 +71,7 @@ def list_directory(path: str) -> Iterator[tuple[str, bool, int]]:
 
 
 def read_bytes(path: str) -> bytes | None:
-    """Whole content of a file, or None if it cannot be read."""
+    """Whole content of a file, or None if it is gone or closed to us."""
     local = _local_path(path)
     try:
         if local is not None:
@@ -74,7 +80,7 @@ def read_bytes(path: str) -> bytes | None:
         filesystem, inner = _remote(path)
         with filesystem.open_input_stream(inner) as handle:
             return handle.read()
-    except OSError:
+    except _LEFT_OUT:
         return None
 
 
@@ -157,9 +163,13 @@ def read_content(listing: DataFrame, root: str) -> DataFrame:
     """Add ``content``; files that cannot be read are left out.
 
     Call it after the filters on name and size. The listing is spread by file, not by project,
-    so that big projects are read by many tasks; only paths are shuffled.
+    over as many tasks as its bytes need, so that big projects are read by many tasks; only
+    paths are shuffled.
     """
     root = root.rstrip("/")
+    spark = listing.sparkSession
+    listed = listing.agg(F.sum("size")).first()[0] or 0
+    tasks = max(-(-listed // BYTES_PER_READ_TASK), spark.sparkContext.defaultParallelism)
     schema = listing.schema.add("content", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +191,7 @@ def read_content(listing: DataFrame, root: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
-    return listing.repartition("dir_name", "file_path").mapInArrow(run, schema)
+    return listing.repartition(tasks, "dir_name", "file_path").mapInArrow(run, schema)
 
 
 def write_tree(files: DataFrame, root: str) -> DataFrame:

@@ -13,7 +13,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def staging_root(spark: SparkSession) -> str:
     """Shared folder the session names; a temporary one only on a local master."""
-    root = spark.conf.get(CHECKPOINT_CONF, None)
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
