@@ -102,63 +102,75 @@ def _wider(jumps: DataFrame, span: int, reach: int) -> DataFrame:
     same_span = _div(F.col("at"), span) == _div(F.col("to"), span)
     inside = needed.filter(same_span).select("at", F.col("to").alias("via"), F.col("hops").alias("hops_in"))
     onward = inside.join(jumps.withColumnRenamed("at", "via"), "via").select(
-        "at", "to", (F.col("hops_in") + F.col("hops")).alias("hops")
+        "at", "to", "after_file", (F.col("hops_in") + F.col("hops")).alias("hops")
     )
     return needed.filter(~same_span).unionByName(onward)
 
 
-def _follow(jumps: DataFrame) -> DataFrame:
+_START = "at long, shard long, after_file boolean"
+
+
+def _follow(jumps: DataFrame) -> list[tuple[int, int, bool]]:
     """Starts met from byte 0 on, with their shard numbers. ``jumps`` must be small."""
-    table = jumps.toArrow()
-    onward = dict(zip(table["at"].to_pylist(), zip(table["to"].to_pylist(), table["hops"].to_pylist())))
-    met, at, shard = [(0, 0)], 0, 0
-    while at in onward:
-        at, hops = onward[at]
-        shard += hops
-        met.append((at, shard))
-    return jumps.sparkSession.createDataFrame(met, "at long, shard long")
+    onward = {row["at"]: row for row in jumps.toArrow().to_pylist()}
+    met = [(0, 0, True)]
+    while met[-1][0] in onward:
+        jump = onward[met[-1][0]]
+        met.append((jump["to"], met[-1][1] + jump["hops"], jump["after_file"]))
+    return met
 
 
-def _shard_bounds(
-    files: DataFrame, total: int, largest: int, target: int, min_size: int, max_size: int
-) -> DataFrame:
-    """``shard, low, high``: half-open intervals of file keys (see :func:`assign_shards`)."""
-    spark = files.sparkSession
-    first = staging.stage(_first_jumps(files, total, largest, target, min_size, max_size), "jumps")
+def _taken_starts(
+    first: DataFrame, total: int, largest: int, target: int, min_size: int, max_size: int
+) -> tuple[DataFrame, int]:
+    """Starts of all shards (``at, shard, after_file``) and their number.
+
+    ``after_file`` tells whether the shard before was closed after a file, so that empty files
+    at the same byte belong to the new shard.
+    """
     shortest = target if largest <= max_size - target else max(min_size, 1)
     reach = target + largest
-
     # a jump to the very end opens no further shard
-    levels = [first.filter(F.col("to") < total).select("at", "to", F.lit(1).cast("long").alias("hops"))]
-    span = shortest
+    jumps = first.filter(F.col("to") < total).withColumn("hops", F.lit(1).cast("long"))
+    levels, span = [jumps], shortest
     while span < total and levels[-1].count() > FOLLOW_ROWS:
         span *= 2
         levels.append(staging.stage(_wider(levels[-1], span, reach), "jumps"))
 
-    starts = _follow(levels[-1])
+    met = _follow(levels[-1])
+    starts = first.sparkSession.createDataFrame(met, _START)
+    if len(levels) == 1:
+        return starts, len(met)
     for jumps in reversed(levels[:-1]):
-        taken = starts.join(jumps, "at").filter(_div(F.col("at"), span) == _div(F.col("to"), span))
-        more = taken.select(F.col("to").alias("at"), (F.col("shard") + F.col("hops")).alias("shard"))
+        inner = starts.select("at", "shard").join(jumps, "at")
+        inner = inner.filter(_div(F.col("at"), span) == _div(F.col("to"), span))
+        more = inner.select(
+            F.col("to").alias("at"), (F.col("shard") + F.col("hops")).alias("shard"), "after_file"
+        )
         starts = staging.stage(starts.unionByName(more), "starts")
         span //= 2
+    return starts, starts.count()
 
-    ends = starts.join(first, "at", "left").select(
-        "at",
+
+def _key(byte: Column, after_file: Column) -> Column:
+    """Place of a shard boundary among the file keys of :func:`assign_shards`."""
+    return byte * 2 + F.when(after_file, 0).otherwise(1)
+
+
+def _shard_bounds(starts: DataFrame, first: DataFrame, total: int) -> DataFrame:
+    """``shard, low, high``: half-open intervals of file keys."""
+    end = F.lit(2 * total + 2).cast("long")
+    closing = first.select("at", "to", F.col("after_file").alias("closed_after"))
+    ends = starts.join(closing, "at", "left")
+    bounds = ends.select(
         "shard",
-        F.coalesce("to", F.lit(total + 1).cast("long")).alias("to"),
-        F.coalesce("after_file", F.lit(True)).alias("after_file"),
-    )
-    closing = ends.select(
-        (F.col("shard") + 1).alias("shard"), (F.col("to") * 2 + F.when(F.col("after_file"), 0).otherwise(1)).alias("low")
-    )
-    opening = closing.unionByName(spark.createDataFrame([(0, 0)], "shard long, low long"))
-    highs = closing.select((F.col("shard") - 1).alias("shard"), F.col("low").alias("high"))
-    return staging.stage(
-        opening.join(highs, "shard", "left").withColumn(
-            "high", F.coalesce("high", F.lit(2 * total + 2).cast("long"))
-        ).filter("low < high"),
-        "shards",
+        _key(F.col("at"), F.col("after_file")).alias("low"),
+        F.coalesce(_key(F.col("to"), F.col("closed_after")), end).alias("high"),
     )
+    # empty files after a shard that is closed by the very last byte open one more
+    last = bounds.filter(F.col("high") == 2 * total)
+    extra = last.select((F.col("shard") + 1).alias("shard"), F.col("high").alias("low"), end.alias("high"))
+    return bounds.unionByName(extra)
 
 
 def assign_shards(
@@ -187,10 +199,12 @@ def assign_shards(
     if total == 0:
         return files.select(*columns, shard_label(F.lit(0)).alias("shard_id"))
 
-    shards = _shard_bounds(files, total, largest, target, min_size, max_size)
+    limits = (total, largest, target, min_size, max_size)
+    first = staging.stage(_first_jumps(files, *limits), "jumps")
+    starts, count = _taken_starts(first, *limits)
+    shards = _shard_bounds(starts, first, total)
     # an empty file lies before the non-empty one that starts at the same byte
     key = F.col("_start") * 2 + F.when(F.col("size") > 0, 1).otherwise(0)
-    count = shards.count()
     width = 2 * max(min_size, 1, -(-total // count))
     covering = shards.select(
         F.explode_outer(F.sequence(_div(F.col("low"), width), _div(F.col("high") - 1, width))).alias("_bucket"),
