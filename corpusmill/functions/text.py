@@ -44,7 +44,7 @@ def drop_invalid_utf8(content: Column) -> Column:
 
 
 def translate_newlines(text: Column) -> Column:
-    return F.regexp_replace(text, "\r\n?", "\n")
+    return F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
 
 
 def lossy_text(content: Column) -> Column:

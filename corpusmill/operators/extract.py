@@ -81,19 +81,19 @@ def flat_names(files: DataFrame) -> DataFrame:
     """One flat directory per project: the first file of a name keeps it, the others get a
     suffix from the hash of their path, which is the same on every run.
 
-    Wants ``project_name, file_path``. The first file comes from a pre-aggregated minimum, so
-    thousands of files of one name are not sorted in one task.
+    Wants ``project_name, file_path``. The first files come from a pre-aggregated minimum and are
+    found again by their whole path, so no join key is shared by the many files of one name.
     """
-    name = paths.basename(F.col("file_path"))
-    files = files.withColumn("name", name)
-    first = files.groupBy("project_name", "name").agg(F.min("file_path").alias("_first"))
-    mark = F.substring(F.sha2(F.col("file_path").cast("binary"), 256), 1, 16)
-    renamed = F.concat(paths.stem(F.col("name")), F.lit("_"), mark, paths.raw_suffix(F.col("name")))
-    return (
-        files.join(first, ["project_name", "name"])
-        .withColumn("flat_name", F.when(F.col("file_path") == F.col("_first"), F.col("name")).otherwise(renamed))
-        .drop("_first", "name")
+    path, name = F.col("file_path"), paths.basename(F.col("file_path"))
+    first = files.groupBy("project_name", name.alias("_name")).agg(F.min("file_path").alias("file_path"))
+    marked = files.join(
+        first.select("project_name", "file_path", F.lit(True).alias("_first")),
+        ["project_name", "file_path"],
+        "left",
     )
+    mark = F.substring(F.sha2(path.cast("binary"), 256), 1, 16)
+    renamed = F.concat(paths.stem(name), F.lit("_"), mark, paths.raw_suffix(name))
+    return marked.select(*files.columns, F.when(F.col("_first"), name).otherwise(renamed).alias("flat_name"))
 
 
 def existing_files(index: DataFrame, listing: DataFrame) -> DataFrame:

@@ -83,15 +83,13 @@ def token_counter(
     other projects out before their content is read (:func:`uncounted`).
     """
     body = text.truncate(text.lossy_text(F.col("content")), max_chars)
+    some = F.length("text") > 0
     counted = (
         files.filter(~paths.under_git_like(F.col("dir_name"), F.col("file_path")) & (F.col("size") <= max_size))
         .withColumn("text", body)
-        .filter(F.length("text") > 0)
+        .select("dir_name", F.when(some, count_tokens(F.col("text"), tokenizer)).alias("tokens"), some.alias("some"))
         .groupBy("dir_name")
-        .agg(
-            F.sum(count_tokens(F.col("text"), tokenizer)).alias("tokens"),
-            F.count(F.lit(1)).alias("files_processed"),
-        )
+        .agg(F.sum("tokens").alias("tokens"), F.count_if("some").alias("files_processed"))
     )
     wanted = projects.filter(~paths.is_hidden(F.col("dir_name"))).select("dir_name")
     return wanted.join(counted, "dir_name", "left").select(

@@ -24,6 +24,7 @@ from corpusmill.constants import ZSTD_LEVEL
 from corpusmill.functions import paths
 from corpusmill.operators.extract import conform
 from corpusmill.schemas import INDEX
+from corpusmill.sources.state import path_exists
 from corpusmill.sources.tree import _local_path, _remote, list_directory, read_bytes
 
 
@@ -158,8 +159,7 @@ def write_shards(
     spark = assigned.sparkSession
     archives = archives.rstrip("/")
     rows = conform(assigned)
-    path = spark._jvm.org.apache.hadoop.fs.Path(manifest)
-    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    if path_exists(spark, manifest):
         todo = pending_shards(rows, read_manifest(spark, manifest), archived_shards(spark, archives))
         rows = staging.stage(todo, "pending")  # the manifest is written while it would be read
     project, file_path = F.col("project_name"), F.col("file_path")

@@ -39,9 +39,9 @@ def write_final(manifest: DataFrame, path: str) -> DataFrame:
     return write_index(manifest, path)
 
 
-def write_summary(rollup: DataFrame, path: str) -> None:
+def write_summary(rollup: DataFrame, path: str, totals: DataFrame | None = None) -> None:
     """The summary document; its part files in name order are one JSON document."""
-    lines = summary_lines(rollup).orderBy("part", "project_name")
+    lines = summary_lines(rollup, totals).orderBy("part", "project_name")
     lines.select("line").write.mode("overwrite").text(path)
 
 

@@ -12,7 +12,8 @@ from corpusmill.schemas import FILE_CHUNK, RAW_PAGE, TOKEN_COUNTS
 from corpusmill.sources.tree import list_projects
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any storage Spark can reach."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
@@ -29,7 +30,7 @@ def read_token_counts(spark: SparkSession, path: str, *, lines: bool = False) ->
     ``lines``: the files hold one document per line instead of one in all.
     """
     schema = T.StructType(TOKEN_COUNTS.fields)
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         summary = spark.createDataFrame([], schema)
     else:
         summary = spark.read.schema(schema).option("multiLine", not lines).json(path)
@@ -42,7 +43,7 @@ def read_token_counts(spark: SparkSession, path: str, *, lines: bool = False) ->
 
 def read_names(spark: SparkSession, path: str, name: str = "name") -> DataFrame:
     """A state set: the strings of a JSON array in any line layout. Empty if missing."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], f"{name} string")
     quoted = F.regexp_extract_all("value", F.lit(r'"(?:[^"\\]|\\.)*"'), F.lit(0))
     words = spark.read.text(path).select(F.explode_outer(quoted).alias("word")).filter("word IS NOT NULL")
