@@ -87,7 +87,8 @@ def running_sums(
             for i in range(len(sums))
         ],
     )
-    joined = staged.join(F.broadcast(bases), RANGE)
+    # kept as a table, so that using the result more than once does not add everything up again
+    joined = staged.join(F.broadcast(staging.stage(bases, "ranges")), RANGE)
     return joined.select(
         *df.columns,
         *[(F.col(f"_base_{i}") + F.col(f"_running_{i}")).alias(out) for i, out in enumerate(sums)],

@@ -153,7 +153,7 @@ def star_ranges(spark, sf):
       (SELECT *, row_number() OVER (PARTITION BY repo_id ORDER BY seq) AS rn FROM v_hits) WHERE rn = 1""",
 )
 def first_seen(spark, sf):
-    return D.first_seen(V.hits(spark, sf), "repo_id", ["seq"]).select("query", "repo_id", "seq", "page")
+    return D.first_seen(V.hits(spark, sf).select("query", "repo_id", "seq", "page"), "repo_id", ["seq"])
 
 
 @query(
