@@ -1 +1,8 @@
 """corpusmill: build and audit large source-code corpora with Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in tasks travel by value, so executors need no installed copy
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

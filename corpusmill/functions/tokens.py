@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -14,7 +13,6 @@ TOKEN_PATTERN = r"\p{L}+|\p{N}{1,3}|[^\s\p{L}\p{N}]"
 Tokenizer = str | Callable[[Iterator[pd.Series]], Iterator[pd.Series]]
 
 
-@lru_cache(maxsize=4)
 def _encoding(name: str):
     import tiktoken
 

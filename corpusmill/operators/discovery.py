@@ -227,7 +227,7 @@ def merge_hits(existing: DataFrame, new: DataFrame, key: str = "full_name") -> D
 def page_counts(hits: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     """Per query and page: hits found, new ones among them, and the rest."""
     found = hits.groupBy("query", "page").agg(F.count(F.lit(1)).alias("found"))
-    slim = hits.select("query", "page", key, *order_by)
+    slim = hits.select(*dict.fromkeys(["query", "page", key, *order_by]))
     new = first_seen(slim, key, order_by).groupBy("query", "page").agg(F.count(F.lit(1)).alias("new"))
     return found.join(new, ["query", "page"], "left").select(
         "query",

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import islice
 
 import pyarrow as pa
@@ -28,11 +27,11 @@ READ_BATCH_BYTES = 16 * 1024 * 1024
 _LEFT_OUT = (FileNotFoundError, NotADirectoryError, IsADirectoryError, PermissionError)
 
 
-@lru_cache(maxsize=8)
-def _remote(prefix: str):
+def _remote(path: str):
+    """File system and inner path of a location that is not local."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(prefix)
+    return fs.FileSystem.from_uri(path)
 
 
 def _local_path(path: str) -> str | None:
