@@ -16,7 +16,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from corpusmill import staging
 
@@ -72,23 +71,16 @@ def running_sums(
         ranged = df.repartitionByRange(*order)
     ranged = ranged.sortWithinPartitions(*order)
     staged = staging.stage(ranged.mapInArrow(_accumulate(list(sums.values())), schema), "running")
-    # one row per range, so this window and the broadcast are bounded by the partition count
-    before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    totals = staged.groupBy(RANGE).agg(
-        *[
-            (F.count(F.lit(1)) if source is None else F.coalesce(F.sum(source), F.lit(0))).alias(f"_total_{i}")
-            for i, source in enumerate(sums.values())
-        ]
+    # one row per range, so what the driver takes and broadcasts is bounded by the partition count
+    per_range = staged.groupBy(RANGE).agg(
+        *[F.count(F.lit(1)) if source is None else F.coalesce(F.sum(source), F.lit(0)) for source in sums.values()]
     )
-    bases = totals.select(
-        RANGE,
-        *[
-            F.coalesce(F.sum(f"_total_{i}").over(before), F.lit(0)).alias(f"_base_{i}")
-            for i in range(len(sums))
-        ],
-    )
-    # kept as a table, so that using the result more than once does not add everything up again
-    joined = staged.join(F.broadcast(staging.stage(bases, "ranges")), RANGE)
+    bases, before = [], [0] * len(sums)
+    for number, *added in sorted(per_range.collect()):
+        bases.append((number, *before))
+        before = [b + a for b, a in zip(before, added)]
+    layout = ", ".join([f"{RANGE} int", *[f"_base_{i} long" for i in range(len(sums))]])
+    joined = staged.join(F.broadcast(df.sparkSession.createDataFrame(bases, layout)), RANGE)
     return joined.select(
         *df.columns,
         *[(F.col(f"_base_{i}") + F.col(f"_running_{i}")).alias(out) for i, out in enumerate(sums)],

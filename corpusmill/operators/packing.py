@@ -121,9 +121,10 @@ def _follow(jumps: DataFrame) -> list[tuple[int, int, bool]]:
 
 
 def _taken_starts(
-    first: DataFrame, total: int, largest: int, target: int, min_size: int, max_size: int
+    first: DataFrame, rows: int, total: int, largest: int, target: int, min_size: int, max_size: int
 ) -> tuple[DataFrame, int]:
-    """Starts of all shards (``at, shard, after_file``) and their number.
+    """Starts of all shards (``at, shard, after_file``) and their number; ``rows`` is at least
+    the number of jumps.
 
     ``after_file`` tells whether the shard before was closed after a file, so that empty files
     at the same byte belong to the new shard.
@@ -133,9 +134,10 @@ def _taken_starts(
     # a jump to the very end opens no further shard
     jumps = first.filter(F.col("to") < total).withColumn("hops", F.lit(1).cast("long"))
     levels, span = [jumps], shortest
-    while span < total and levels[-1].count() > FOLLOW_ROWS:
+    while span < total and rows > FOLLOW_ROWS:
         span *= 2
         levels.append(staging.stage(_wider(levels[-1], span, reach), "jumps"))
+        rows = levels[-1].count()
 
     met = _follow(levels[-1])
     starts = first.sparkSession.createDataFrame(met, _START)
@@ -161,16 +163,16 @@ def _shard_bounds(starts: DataFrame, first: DataFrame, total: int) -> DataFrame:
     """``shard, low, high``: half-open intervals of file keys."""
     end = F.lit(2 * total + 2).cast("long")
     closing = first.select("at", "to", F.col("after_file").alias("closed_after"))
-    ends = starts.join(closing, "at", "left")
-    bounds = ends.select(
+    bounds = starts.join(closing, "at", "left").select(
         "shard",
         _key(F.col("at"), F.col("after_file")).alias("low"),
         F.coalesce(_key(F.col("to"), F.col("closed_after")), end).alias("high"),
     )
+    own = F.struct("shard", "low", "high")
     # empty files after a shard that is closed by the very last byte open one more
-    last = bounds.filter(F.col("high") == 2 * total)
-    extra = last.select((F.col("shard") + 1).alias("shard"), F.col("high").alias("low"), end.alias("high"))
-    return bounds.unionByName(extra)
+    more = F.struct((F.col("shard") + 1).alias("shard"), F.col("high").alias("low"), end.alias("high"))
+    rows = F.when(F.col("high") == 2 * total, F.array(own, more)).otherwise(F.array(own))
+    return bounds.select(F.inline_outer(rows))
 
 
 def assign_shards(
@@ -201,7 +203,7 @@ def assign_shards(
 
     limits = (total, largest, target, min_size, max_size)
     first = staging.stage(_first_jumps(files, *limits), "jumps")
-    starts, count = _taken_starts(first, *limits)
+    starts, count = _taken_starts(first, bounds["rows"], *limits)
     shards = _shard_bounds(starts, first, total)
     # an empty file lies before the non-empty one that starts at the same byte
     key = F.col("_start") * 2 + F.when(F.col("size") > 0, 1).otherwise(0)
