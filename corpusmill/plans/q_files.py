@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusmill import constants as C
 from corpusmill import staging
 from corpusmill.functions import paths, text, tokens, units
 from corpusmill.operators import extract, ordering, repo_stats, rollup
@@ -443,31 +444,35 @@ def token_counts_read(spark, sf):
 _CODE = "('.py','.pyx','.pyi','.pyw','.ipynb','.js','.ts','.jsx','.tsx','.java','.cpp','.c','.h','.hpp','.cs','.go','.rs','.rb','.php','.swift','.kt','.scala','.r','.jl','.sh','.bash','.zsh','.fish')"
 _TEXT = "('.md','.rst','.txt','.json','.yaml','.yml','.toml','.xml','.cfg','.ini','.conf','.csv','.tsv','.html','.css','.scss','.sass','.less','.lock','.requirements','.gitignore','.gitattributes','.editorconfig','.env')"
 
-_TYPED_SQL = (
-    V.TREE_SQL
-    + rf""",
+def _typed_sql(file_cap: int, txt_cap: int, json_cap: int) -> str:
+    return (
+        V.TREE_SQL
+        + rf""",
 v_ext AS (SELECT *, lower(regexp_extract(name, '^.+(\.[^.]+)$', 1)) AS ext FROM v_tree),
 v_class AS (
   SELECT *, CASE WHEN ext = '' THEN 'none' WHEN ext IN {_CODE} THEN 'code' WHEN ext IN {_TEXT} THEN 'text'
     ELSE 'other' END AS class,
-    NOT ((ext = '.txt' AND size > {TXT_CAP}) OR size > {FILE_CAP}) AS eligible
+    NOT ((ext = '.txt' AND size > {txt_cap}) OR size > {file_cap}) AS eligible
   FROM v_ext
 ),
 v_action AS (
   SELECT *, CASE WHEN list_contains(string_split(file_path, '/'), '.git') THEN 'ignore'
     WHEN upper(name) IN ('LICENSE','NOTICE','COPYING','AUTHORS') OR name IN ('.git','.github') THEN 'keep'
-    WHEN ext = '.txt' AND size > {TXT_CAP} THEN 'drop'
-    WHEN ext = '.json' AND size > {JSON_CAP} THEN 'drop'
+    WHEN ext = '.txt' AND size > {txt_cap} THEN 'drop'
+    WHEN ext = '.json' AND size > {json_cap} THEN 'drop'
     WHEN class <> 'other' THEN 'keep' ELSE 'drop' END AS action
   FROM v_class
 )
 """
-)
+    )
 
+
+_CAPPED_SQL = _typed_sql(FILE_CAP, TXT_CAP, JSON_CAP)
+_TYPED_SQL = _typed_sql(C.MAX_FILE_SIZE, C.TXT_SIZE_CAP, C.JSON_SIZE_CAP)
 _CAPS = {"txt_cap": TXT_CAP, "json_cap": JSON_CAP}
 
 
-@query("purge_plan", _with(_TYPED_SQL, "SELECT dir_name, file_path, size, action FROM v_action"))
+@query("purge_plan", _with(_CAPPED_SQL, "SELECT dir_name, file_path, size, action FROM v_action"))
 def purge_plan(spark, sf):
     return repo_stats.purge_plan(V.tree_table(spark, sf).select(*FILE), **_CAPS)
 
@@ -481,10 +486,10 @@ def purge_plan(spark, sf):
     ),
 )
 def purge_stats(spark, sf):
-    return repo_stats.purge_stats(repo_stats.purge_plan(V.tree_table(spark, sf).select(*FILE), **_CAPS))
+    return repo_stats.purge_stats(repo_stats.purge_plan(V.tree_table(spark, sf).select(*FILE)))
 
 
-@query("token_eligible", _with(_TYPED_SQL, "SELECT dir_name, file_path, ext, eligible FROM v_class"))
+@query("token_eligible", _with(_CAPPED_SQL, "SELECT dir_name, file_path, ext, eligible FROM v_class"))
 def token_eligible(spark, sf):
     ext = paths.suffix(paths.basename(F.col("file_path")))
     eligible = repo_stats.token_eligible(F.col("ext"), F.col("size"), txt_cap=TXT_CAP, size_cap=FILE_CAP)
@@ -503,7 +508,7 @@ _STATS_SQL = (
     + f""",
 v_tokens AS (
   SELECT *, action = 'drop' AS dropped,
-    CASE WHEN action <> 'drop' AND class IN ('code', 'text') AND eligible AND length(lossy) <= {CHAR_CAP}
+    CASE WHEN action <> 'drop' AND class IN ('code', 'text') AND eligible AND length(lossy) <= {C.MAX_CONTENT_CHARS}
       THEN {V.TOKENS_SQL.format("lossy")} ELSE 0 END AS tokens
   FROM v_action
 ),
@@ -523,9 +528,7 @@ v_stats AS (
 
 @query("repo_stats", _with(_STATS_SQL, "SELECT * FROM v_stats"))
 def repo_stats_query(spark, sf):
-    return repo_stats.repo_stats(
-        V.tree_table(spark, sf), caps=_CAPS, txt_cap=TXT_CAP, size_cap=FILE_CAP, max_chars=CHAR_CAP
-    )
+    return repo_stats.repo_stats(V.tree_table(spark, sf))
 
 
 def _repo_db(spark, sf):

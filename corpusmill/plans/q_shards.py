@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill import staging
 from corpusmill.operators import packing
 from corpusmill.plans import views as V
+from corpusmill.plans.build import build_dataset, count_tree
 from corpusmill.plans.registry import query
 from corpusmill.sinks import shards, tables
 
@@ -109,3 +110,16 @@ def shard_manifest(spark, sf):
 @query("final_metadata", _walk(V.STRICT_SQL.lstrip(), "v_strict", _FINAL))
 def final_metadata(spark, sf):
     return tables.write_final(_manifest(spark, sf), staging.new_path(spark, "final"))
+
+
+@query("dataset_build", _walk(V.STRICT_SQL.lstrip(), "v_strict", _FINAL))
+def dataset_build(spark, sf):
+    """The whole build over the tree of files, from the scan to the final table."""
+    out = staging.new_path(spark, "build")
+    sizes = {"target": TARGET, "min_size": LOW, "max_size": HIGH}
+    return build_dataset(spark, V.tree_folder(spark, sf), out, **sizes).final
+
+
+@query("tree_token_counts", f"WITH {V.COUNTED_SQL} SELECT project_name, tokens, files_processed FROM v_counted")
+def tree_token_counts(spark, sf):
+    return count_tree(spark, V.tree_folder(spark, sf))
