@@ -25,7 +25,7 @@ from corpusmill.functions import paths
 from corpusmill.operators.extract import conform
 from corpusmill.schemas import INDEX
 from corpusmill.sources.state import path_exists
-from corpusmill.sources.tree import _local_path, _remote, list_directory, read_bytes
+from corpusmill.sources.tree import BYTES_PER_READ_TASK, _local_path, _remote, list_directory, read_bytes
 
 
 class _Archive:
@@ -166,9 +166,14 @@ def write_shards(
     located = rows.withColumn("_member", paths.member_name(project, file_path)).withColumn(
         "_location", paths.source_path(project, file_path, root)
     )
-    # one shard a task: left to itself Spark would join tasks by the size of the index rows
-    count = max(rows.select("shard_id").distinct().count(), 1)
-    spread = located.repartitionById(count, F.pmod(F.col("shard_id").cast("int"), F.lit(count)))
+    # tasks by the bytes to archive: Spark itself would go by the size of the index rows. A shard
+    # of ordinary size gets its own task, tiny ones share one.
+    number = F.col("shard_id").cast("int")
+    bounds = rows.agg(F.min(number).alias("low"), F.max(number).alias("high"), F.sum("size").alias("bytes")).first()
+    shards = 1 if bounds["low"] is None else bounds["high"] - bounds["low"] + 1
+    wanted = max(-(-(bounds["bytes"] or 0) // BYTES_PER_READ_TASK), spark.sparkContext.defaultParallelism)
+    tasks = min(shards, wanted)
+    spread = located.repartitionById(tasks, F.pmod(number, F.lit(tasks)))
     ordered = spread.sortWithinPartitions("shard_id", "project_name", "file_path")
     written = ordered.mapInArrow(_archive_rows(archives, level, to_arrow_schema(INDEX)), INDEX)
     (
