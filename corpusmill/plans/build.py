@@ -17,9 +17,10 @@ from corpusmill.sources import state, tree
 
 @dataclass
 class Built:
-    """What a build has written."""
+    """What a build has written. ``pending`` are files of shards that failed, to be tried again."""
 
     index: DataFrame
+    pending: DataFrame
     final: DataFrame
     projects: DataFrame
     totals: DataFrame
@@ -59,6 +60,8 @@ def build_dataset(
         assigned, root=root, archives=f"{out}/shards", manifest=f"{out}/shard_metadata"
     )
 
+    pending = shards.pending_shards(assigned, manifest, shards.archived_shards(spark, f"{out}/shards"))
+
     final = tables.write_final(manifest, f"{out}/final_metadata")
     projects = rollup.project_rollup(final)
     totals = rollup.corpus_totals(final)
@@ -69,7 +72,7 @@ def build_dataset(
     updated = tables.update_summary(
         projects, reconciled, f"{out}/token_counts", update=update_counts
     )
-    return Built(index, final, projects, totals, reconciled, updated)
+    return Built(index, pending, final, projects, totals, reconciled, updated)
 
 
 def count_tree(

@@ -72,8 +72,12 @@ class _Archive:
             filesystem.delete_file(inner)
 
 
-def _archive_rows(folder: str, level: int, schema: pa.Schema):
-    """Arrow function over rows sorted by shard: write archives, emit rows really archived."""
+def _archive_rows(folder: str, level: int, schema: pa.Schema, attempts: int = 1):
+    """Arrow function over rows sorted by shard: write archives, emit rows as they are archived.
+
+    An error fails the task, so that Spark tries again, up to the last of ``attempts``. Then the
+    shard loses its archive, so that its rows count for nothing, and the others go on.
+    """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch]]:
         for batch in batches:
@@ -96,28 +100,26 @@ def _archive_rows(folder: str, level: int, schema: pa.Schema):
         return piece.filter(pa.array(mask, pa.bool_())).select(schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        archive, current, kept, failed = None, None, [], False
-
-        def close() -> list[pa.RecordBatch]:
-            if archive is None or failed:
-                return []
-            archive.finish()
-            return kept
-
+        archive, current = None, None
         for shard_id, piece in pieces(batches):
             if shard_id != current:
-                yield from close()
-                current, kept, failed = shard_id, [], False
-                archive = _Archive(folder, shard_id, level)
-            if failed:
+                if archive is not None:
+                    archive.finish()
+                archive, current = _Archive(folder, shard_id, level), shard_id
+            if archive is None:
                 continue
             try:
-                kept.append(add_piece(archive, piece))
-            except Exception as error:  # this shard is given up, the others go on
-                print(f"shard {shard_id}: {error}")
+                archived = add_piece(archive, piece)
+            except Exception as error:
                 archive.discard()
-                failed = True
-        yield from close()
+                if TaskContext.get().attemptNumber() + 1 < attempts:
+                    raise
+                print(f"shard {shard_id}: {error}")
+                archive = None
+                continue
+            yield archived
+        if archive is not None:
+            archive.finish()
 
     return run
 
@@ -143,8 +145,10 @@ def pending_shards(assigned: DataFrame, manifest: DataFrame, archived: DataFrame
     return assigned.join(done, "shard_id", "left_anti").select(*assigned.columns)
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return conform(spark.read.schema(INDEX).parquet(path))
+def read_manifest(spark: SparkSession, path: str, archives: str) -> DataFrame:
+    """Manifest rows of the shards whose archive is complete."""
+    rows = conform(spark.read.schema(INDEX).parquet(path))
+    return rows.join(archived_shards(spark, archives), "shard_id", "left_semi").select(*INDEX.fieldNames())
 
 
 def write_shards(
@@ -154,13 +158,14 @@ def write_shards(
 
     ``assigned`` is an index with ``shard_id``; files are read below ``root``. Files that are
     gone are left out of archive and manifest. A shard that fails is left out as a whole and is
-    pending again the next time.
+    pending again the next time. Rows are passed on as they are archived, so that a shard of very
+    many small files needs no memory of its own.
     """
     spark = assigned.sparkSession
     archives = archives.rstrip("/")
     rows = conform(assigned)
     if path_exists(spark, manifest):
-        todo = pending_shards(rows, read_manifest(spark, manifest), archived_shards(spark, archives))
+        todo = pending_shards(rows, read_manifest(spark, manifest, archives), archived_shards(spark, archives))
         rows = staging.stage(todo, "pending")  # the manifest is written while it would be read
     project, file_path = F.col("project_name"), F.col("file_path")
     located = rows.withColumn("_member", paths.member_name(project, file_path)).withColumn(
@@ -175,11 +180,13 @@ def write_shards(
     tasks = min(shards, wanted)
     spread = located.repartitionById(tasks, F.pmod(number, F.lit(tasks)))
     ordered = spread.sortWithinPartitions("shard_id", "project_name", "file_path")
-    written = ordered.mapInArrow(_archive_rows(archives, level, to_arrow_schema(INDEX)), INDEX)
+    local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+    attempts = 1 if local else int(spark.conf.get("spark.task.maxFailures", "4"))
+    written = ordered.mapInArrow(_archive_rows(archives, level, to_arrow_schema(INDEX), attempts), INDEX)
     (
         written.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("shard_id")
         .parquet(manifest)
     )
-    return read_manifest(spark, manifest)
+    return read_manifest(spark, manifest, archives)

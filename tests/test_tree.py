@@ -162,6 +162,7 @@ def test_whole_build(spark, corpus, tmp_path):
         spark, corpus, out, expected=expected, update_counts=True, rows_per_chunk=4, target=1000, min_size=500, max_size=2000
     )
     assert built.index.count() == built.final.count() == 10
+    assert built.pending.count() == 0
     assert built.index.filter("shard_id IS NOT NULL").count() == 0
     totals = built.totals.first()
     assert (totals.total_files, totals.total_repos, totals.total_bytes) == (10, 2, 2 * 5 * 10 * 34)
@@ -226,6 +227,9 @@ def test_a_failing_shard_leaves_nothing_and_the_others_go_on(monkeypatch, tmp_pa
         def taskAttemptId(self):
             return 7
 
+        def attemptNumber(self):
+            return 0
+
     def content(path):
         if path == "boom":
             raise ValueError("broken")
@@ -245,8 +249,21 @@ def test_a_failing_shard_leaves_nothing_and_the_others_go_on(monkeypatch, tmp_pa
     )
     out = list(shards._archive_rows(str(tmp_path), 3, schema)(iter([batch.slice(0, 1), batch.slice(1)])))
     rows = [tuple(r.values()) for b in out for r in b.to_pylist()]
-    assert rows == [("p", "a", "00000"), ("p", "b", "00000"), ("p", "e", "00002")]
+    assert [r for r in rows if r[2] != "00001"] == [("p", "a", "00000"), ("p", "b", "00000"), ("p", "e", "00002")]
     assert sorted(os.listdir(tmp_path)) == ["shard_00000.tar.zst", "shard_00002.tar.zst"]
+    with pytest.raises(ValueError):  # while Spark can still try again
+        list(shards._archive_rows(str(tmp_path / "again"), 3, schema, attempts=4)(iter([batch])))
+    assert os.listdir(tmp_path / "again") == ["shard_00000.tar.zst"]
+
+
+def test_rows_of_a_shard_without_archive_do_not_count(spark, corpus, tmp_path):
+    archives, manifest = str(tmp_path / "a"), str(tmp_path / "m")
+    rows = assigned(spark, corpus)
+    whole = shards.write_shards(rows, root=corpus, archives=archives, manifest=manifest).count()
+    os.remove(f"{archives}/shard_00000.tar.zst")
+    left = shards.read_manifest(spark, manifest, archives)
+    assert 0 < left.count() < whole and left.filter("shard_id = '00000'").count() == 0
+    assert shards.write_shards(rows, root=corpus, archives=archives, manifest=manifest).count() == whole
 
 
 def test_nothing_to_build(spark, tmp_path):
