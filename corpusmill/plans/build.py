@@ -47,7 +47,7 @@ def build_dataset(
     Content is read twice: once for metadata and once for the archives; it is never shuffled.
     ``expected`` names a summary document to reconcile with.
     """
-    listing = tree.scan_tree(spark, root)
+    listing = tree.scan_tree(spark, root, skip=".git")
     files = tree.read_content(extract.candidates(listing, max_size=max_file_size), root)
     metadata = extract.extract_metadata(files, root=root, max_size=max_file_size, tokenizer=tokenizer)
     tables.write_chunks(metadata, f"{out}/metadata_chunks", rows_per_file=rows_per_chunk)
@@ -79,7 +79,7 @@ def count_tree(
     spark: SparkSession, root: str, *, already: DataFrame | None = None, tokenizer: Tokenizer = "regex"
 ) -> DataFrame:
     """Lossy token counts of all projects below ``root`` that ``already`` does not name."""
-    listing = tree.scan_tree(spark, root).filter(F.col("size") <= MAX_FILE_SIZE)
+    listing = tree.scan_tree(spark, root, skip=".git").filter(F.col("size") <= MAX_FILE_SIZE)
     projects = tree.list_projects(spark, root)
     if already is not None:
         listing, projects = uncounted(listing, already), uncounted(projects, already)

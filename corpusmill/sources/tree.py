@@ -83,13 +83,15 @@ def read_bytes(path: str) -> bytes | None:
         return None
 
 
-def _walk(root: str, budget: int):
+def _walk(root: str, budget: int, skip: str | None):
     """Arrow function: walk each directory row until ``budget`` entries, hand back the rest."""
 
     def visit(dir_name: str, start: str) -> Iterator[dict]:
         pending, seen = [start], 0
         while pending and seen < budget:
             inner = pending.pop()
+            if skip is not None and skip in f"{dir_name}/{inner}":
+                continue
             for name, is_dir, size in list_directory("/".join(p for p in (root, dir_name, inner) if p)):
                 seen += 1
                 path = f"{inner}/{name}" if inner else name
@@ -133,8 +135,11 @@ def list_projects(spark: SparkSession, root: str) -> DataFrame:
     return dirs.withColumn("project_name", paths.dir_to_project(F.col("dir_name")))
 
 
-def scan_tree(spark: SparkSession, root: str, *, budget: int = ENTRIES_PER_WALK) -> DataFrame:
+def scan_tree(
+    spark: SparkSession, root: str, *, skip: str | None = None, budget: int = ENTRIES_PER_WALK
+) -> DataFrame:
     """Every regular file below every project directory: path, name and size, no content.
+    Directories whose path from the project on contains ``skip`` are not entered.
 
     The walk goes in rounds. A task walks a directory up to ``budget`` entries and hands the
     directories it did not reach back to the next round, where they are spread over all tasks
@@ -145,7 +150,7 @@ def scan_tree(spark: SparkSession, root: str, *, budget: int = ENTRIES_PER_WALK)
     rounds: list[DataFrame] = []
     while True:
         spread = frontier.repartition(spark.sparkContext.defaultParallelism, "dir_name", "file_path")
-        found = staging.stage(spread.mapInArrow(_walk(root, budget), _WALK_SCHEMA), "tree-round")
+        found = staging.stage(spread.mapInArrow(_walk(root, budget, skip), _WALK_SCHEMA), "tree-round")
         rounds.append(found.filter("not is_dir"))
         frontier = found.filter("is_dir").select("dir_name", "file_path")
         if frontier.isEmpty():

@@ -4,7 +4,6 @@ import tarfile
 
 import pytest
 import zstandard
-from pyspark.sql import functions as F
 
 from corpusmill.operators import extract, packing, repo_stats
 from corpusmill.plans.build import build_dataset, count_tree
@@ -68,6 +67,16 @@ def test_scan_finds_every_file(spark, root, budget):
     assert sizes["o_p", "empty.py"] == 0 and sizes["o_p", "over.py"] == 5 * MIB + 1
 
 
+def test_skipped_directories_change_no_result(spark, root):
+    from pyspark.sql import functions as F
+
+    from corpusmill.functions import paths
+
+    whole, pruned = tree.scan_tree(spark, root), tree.scan_tree(spark, root, skip=".git", budget=2)
+    kept = whole.filter(~paths.under_git_like(F.col("dir_name"), F.col("file_path")))
+    assert names(pruned) == names(kept) and kept.count() < whole.count()
+
+
 def test_projects(spark, root):
     got = {r.dir_name: r.project_name for r in tree.list_projects(spark, root).collect()}
     assert got == {"o_p": "o/p", "u_u.github.io": "u/u.github.io", "a_b_c": "a/b_c", "e_empty": "e/empty"}
