@@ -9,9 +9,9 @@ ends depends on ``b`` alone: only the file that covers byte ``b + target`` can c
 1. running byte offsets of all files (:func:`corpusmill.operators.ordering.running_sums`);
 2. for every file as a possible shard start, the start after it ("jump"), from an ordered
    lookup of ``b + target`` within fixed byte buckets;
-3. jumps over ever wider byte spans, by joining the jump table to itself. A shard cannot be
-   longer than ``reach``, so for a span only the starts within ``reach`` of its beginning can
-   matter, and each table is about half the size of the one before;
+3. jumps over ever wider byte spans, by joining the jump table to itself. The first start in a
+   span lies within ``reach`` of its beginning, or right after a file of at least ``target``
+   bytes. No other start matters, so each table is about half the size of the one before;
 4. once a table has at most ``FOLLOW_ROWS`` rows, follow it from byte 0; then back down
    through the spans, which gives the starts that are really taken;
 5. every file looks up its shard.
@@ -22,7 +22,7 @@ more than its width in files, because every file in it has at least one byte.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -98,11 +98,14 @@ def _first_jumps(
 
 def _wider(jumps: DataFrame, span: int, reach: int) -> DataFrame:
     """Jumps that leave spans of ``span`` bytes, from jumps that leave their halves."""
-    needed = jumps.filter(F.col("at") % span < reach)
+    needed = jumps.filter((F.col("at") % span < reach) | F.col("after_giant"))
     same_span = _div(F.col("at"), span) == _div(F.col("to"), span)
-    inside = needed.filter(same_span).select("at", F.col("to").alias("via"), F.col("hops").alias("hops_in"))
-    onward = inside.join(jumps.withColumnRenamed("at", "via"), "via").select(
-        "at", "to", "after_file", (F.col("hops_in") + F.col("hops")).alias("hops")
+    inside = needed.filter(same_span).select(
+        "at", "after_giant", F.col("to").alias("via"), F.col("hops").alias("hops_in")
+    )
+    outer = jumps.select(F.col("at").alias("via"), "to", "after_file", "hops")
+    onward = inside.join(outer, "via").select(
+        "at", "after_giant", "to", "after_file", (F.col("hops_in") + F.col("hops")).alias("hops")
     )
     return needed.filter(~same_span).unionByName(onward)
 
@@ -121,18 +124,22 @@ def _follow(jumps: DataFrame) -> list[tuple[int, int, bool]]:
 
 
 def _taken_starts(
-    first: DataFrame, rows: int, total: int, largest: int, target: int, min_size: int, max_size: int
+    first: DataFrame, giants: DataFrame | None, bounds: Row, shortest: int, reach: int
 ) -> tuple[DataFrame, int]:
-    """Starts of all shards (``at, shard, after_file``) and their number; ``rows`` is at least
-    the number of jumps.
+    """Starts of all shards (``at, shard, after_file``) and their number.
 
     ``after_file`` tells whether the shard before was closed after a file, so that empty files
-    at the same byte belong to the new shard.
+    at the same byte belong to the new shard. ``giants`` holds the ends of files of at least
+    ``target`` bytes, if there are any.
     """
-    shortest = target if largest <= max_size - target else max(min_size, 1)
-    reach = target + largest
+    total, rows = bounds["total"], bounds["rows"]
     # a jump to the very end opens no further shard
     jumps = first.filter(F.col("to") < total).withColumn("hops", F.lit(1).cast("long"))
+    if giants is None:
+        jumps = jumps.withColumn("after_giant", F.lit(False))
+    else:
+        marked = jumps.join(giants.withColumn("after_giant", F.lit(True)), "at", "left")
+        jumps = marked.withColumn("after_giant", F.coalesce("after_giant", F.lit(False)))
     levels, span = [jumps], shortest
     while span < total and rows > FOLLOW_ROWS:
         span *= 2
@@ -190,10 +197,14 @@ def assign_shards(
     """
     if not (0 <= min_size <= target <= max_size and target >= 1):
         raise ValueError("need 0 <= min_size <= target <= max_size and target >= 1")
+    size = F.col("size")
     bounds = index.agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("size").alias("total"), F.max("size").alias("largest")
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(size), F.lit(0)).alias("total"),
+        F.coalesce(F.max(size), F.lit(0)).alias("largest"),
+        F.coalesce(F.max(F.when(size < target, size)), F.lit(0)).alias("largest_below"),
     ).first()
-    total, largest = bounds["total"] or 0, bounds["largest"] or 0
+    total, largest = bounds["total"], bounds["largest"]
     order = ["project_name", "file_path"]
     files = running_sums(index.drop("shard_id"), order, {"_end": "size"}, rows=bounds["rows"])
     files = files.withColumn("_start", F.col("_end") - F.col("size"))
@@ -201,12 +212,14 @@ def assign_shards(
     if total == 0:
         return files.select(*columns, shard_label(F.lit(0)).alias("shard_id"))
 
-    limits = (total, largest, target, min_size, max_size)
-    first = staging.stage(_first_jumps(files, *limits), "jumps")
-    starts, count = _taken_starts(first, bounds["rows"], *limits)
+    first = staging.stage(_first_jumps(files, total, largest, target, min_size, max_size), "jumps")
+    giants = files.filter(size >= target).select(F.col("_end").alias("at")) if largest >= target else None
+    # no shard is shorter, so a span of this width holds at most one start
+    shortest = target if largest <= max_size - target else max(min_size, 1)
+    starts, count = _taken_starts(first, giants, bounds, shortest, target + bounds["largest_below"])
     shards = _shard_bounds(starts, first, total)
     # an empty file lies before the non-empty one that starts at the same byte
-    key = F.col("_start") * 2 + F.when(F.col("size") > 0, 1).otherwise(0)
+    key = F.col("_start") * 2 + F.when(size > 0, 1).otherwise(0)
     width = 2 * max(min_size, 1, -(-total // count))
     covering = shards.select(
         F.explode_outer(F.sequence(_div(F.col("low"), width), _div(F.col("high") - 1, width))).alias("_bucket"),

@@ -43,10 +43,11 @@ CASES = {
     "one_shard": ([1] * 20, 5000, 10, 6000),
     "no_minimum": ([random.Random(5).randint(0, 90) for _ in range(200)], 50, 0, 50),
     "single": ([70], 50, 10, 60),
+    "many_giants": ([random.Random(6).choice([1, 4, 9, 9, 40, 700]) for _ in range(300)], 30, 10, 35),
 }
 
 
-@pytest.mark.parametrize("name", ["uniform", "max_branch", "giant_file", "no_minimum"])
+@pytest.mark.parametrize("name", ["uniform", "max_branch", "giant_file", "no_minimum", "many_giants"])
 def test_spans_all_the_way_up(spark, monkeypatch, name):
     monkeypatch.setattr(packing, "FOLLOW_ROWS", 0)
     check(spark, *CASES[name])
