@@ -5,10 +5,14 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from corpusmill.plans.catalog import ORACLE, QUERIES
 from tests.compare import compare
 
 SF = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+
+
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_every_query_has_sql():
