@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import language_id, licenses, piece_codec, quality_knn, quality_rules, secret_scan
+from corpusmill.llm import (
+    decontaminate,
+    language_id,
+    licenses,
+    piece_codec,
+    quality_knn,
+    quality_rules,
+    secret_scan,
+    simhash,
+)
 from corpusmill.llm.common import table
 
 #: A SentencePiece model with byte fallback.
@@ -33,6 +42,19 @@ def op1_sentencepiece(spark: SparkSession, sf: str, tokenizer: str = TOKENIZER)
     return coded.select("row.doc_id", *(f"result.{n}" for n in ("ids", "n_tokens", "n_byte_tokens", "decoded_sha256", "exact")))
 
 
+@query
+def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(documents, table(spark, sf, "benchmark"), keep=["doc_id"])
+    return found.select(
+        "row.doc_id",
+        (F.size("leaks") > 0).alias("contaminated"),
+        F.transform("leaks", lambda x: x.item).alias("items"),
+        F.coalesce(F.array_max(F.transform("leaks", lambda x: x.covered)), F.lit(0.0)).alias("covered"),
+        F.transform("leaks", lambda x: F.size(x.tiles)).alias("n_tiles"),
+    )
+
+
 @query
 def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf, "documents"), keep=["doc_id"])
@@ -78,6 +100,16 @@ def quality_model(spark: SparkSession, sf: str, documents: DataFrame) -> quality
     return quality_knn.learn(labelled)
 
 
+@query
+def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 @query
 def op9_quality_knn(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents")
