@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill import staging
 from corpusmill.llm import (
     decontaminate,
     language_id,
@@ -14,6 +15,8 @@ from corpusmill.llm import (
     quality_rules,
     secret_scan,
     simhash,
+    substrings,
+    warc,
 )
 from corpusmill.llm.common import table
 
@@ -55,6 +58,51 @@ def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf, "documents"))
+    span = F.transform("removed", lambda s: F.concat_ws(":", s.start.cast("string"), s.end.cast("string")))
+    return found.select(
+        F.col("row").getField("doc_id").alias("doc_id"),
+        F.col("kept").alias("text"),
+        F.size("removed").alias("n_removed"),
+        F.array_join(span, ",").alias("removed"),
+    )
+
+
+OP4_SQL = """
+WITH digested AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages
+)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(((CAST('0x' || substr(hex, CAST((i // 4) * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) + 1
+      AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM digested
+"""
+
+
+@query
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    folder = staging.new_path(spark, "warc")
+    warc.write_warc(table(spark, sf, "pages"), folder)
+    found = warc.page_records(warc.read_warc(spark, folder))
+    return found.select(
+        F.col("id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+ORACLE["op4_warc"] = OP4_SQL
+
+
 @query
 def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf, "documents"), keep=["doc_id"])

@@ -27,12 +27,14 @@ null if no row with an id is reachable); an empty table gives an empty table.
 from __future__ import annotations
 
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill import staging
 from corpusmill.llm import common, components, skew
@@ -42,21 +44,42 @@ DISTANCE = 2
 LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 #: Groups of more members are searched by look-up instead of pair by pair.
 PAIRWISE = 1500
-FIELDS = common.struct(fingerprint=common.LONG)
+SEED = 42
+#: ``proofs`` are further fingerprints, of other shingles, that linked rows must agree on.
+FIELDS = common.struct(fingerprint=common.LONG, proofs=T.ArrayType(common.LONG))
 
 
-def shingle_hashes(text: str, size: int) -> np.ndarray:
-    """XXH64 (seed 42) of every shingle, repeats included."""
-    words = text.encode().translate(LOWER).split()
+class Proof(NamedTuple):
+    """Fingerprints of ``shingle`` words, one for each seed; linked texts differ in at most
+    ``1 - similarity`` of their bits."""
+
+    shingle: int
+    similarity: float
+    seeds: tuple[int, ...]
+
+    def budget(self) -> int:
+        return int((1 - self.similarity) * 64 * len(self.seeds) + 1e-9)
+
+
+#: Five words, similarity 0.8, in 128 bits.
+FIVE_WORDS = Proof(5, 0.8, (SEED, SEED + 1))
+
+
+def words_of(text: str) -> list[bytes]:
+    return text.encode().translate(LOWER).split()
+
+
+def shingle_hashes(words: list[bytes], size: int, seed: int = SEED) -> np.ndarray:
+    """XXH64 of every shingle, repeats included."""
     if not words:
         return np.zeros(0, np.uint64)
     joined, digest = b" ".join(words), xxhash.xxh64_intdigest
     if len(words) < size:
-        return np.array([digest(joined, 42)], np.uint64)
+        return np.array([digest(joined, seed)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate([[0], ends[:-1]])[: len(words) - size + 1].tolist()
     stops = (ends[size - 1 :] - 1).tolist()
-    return np.array([digest(joined[a:b], 42) for a, b in zip(starts, stops, strict=True)], np.uint64)
+    return np.array([digest(joined[a:b], seed) for a, b in zip(starts, stops, strict=True)], np.uint64)
 
 
 def fingerprint(hashes: np.ndarray) -> int:
@@ -71,12 +94,23 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(bits.view(np.int64)[0])
 
 
-def fingerprints(df: DataFrame, text: str = "text", keep: list[str] | None = None, shingle: int = SHINGLE) -> DataFrame:
-    """``row`` and ``result`` (``fingerprint``) for every row."""
+def fingerprints(
+    df: DataFrame,
+    text: str = "text",
+    keep: list[str] | None = None,
+    shingle: int = SHINGLE,
+    proof: Proof | None = None,
+) -> DataFrame:
+    """``row`` and ``result`` (``FIELDS``) for every row."""
 
     def start():
         def compute(texts: list[str]) -> dict[str, pa.Array]:
-            return {"fingerprint": pa.array([fingerprint(shingle_hashes(t, shingle)) for t in texts], pa.int64())}
+            prints, proofs = [], []
+            for text in texts:
+                words = words_of(text)
+                prints.append(fingerprint(shingle_hashes(words, shingle)))
+                proofs.append([fingerprint(shingle_hashes(words, proof.shingle, s)) for s in proof.seeds] if proof else [])
+            return {"fingerprint": pa.array(prints, pa.int64()), "proofs": pa.array(proofs, pa.list_(pa.int64()))}
 
         return compute
 
@@ -132,8 +166,15 @@ def roots_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
-def links(group: np.ndarray, first: np.ndarray, prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of linked rows. Rows of a group are neighbours; ``first`` is the group's segment."""
+def links(
+    group: np.ndarray, first: np.ndarray, prints: np.ndarray, proofs: np.ndarray, distance: int, budget: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of linked rows. Rows of a group are neighbours; ``first`` is the group's segment,
+    the rows of ``proofs`` may differ in ``budget`` bits."""
+
+    def proven(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(proofs[a] ^ proofs[b]).sum(1, dtype=np.int64) <= budget
+
     starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     sizes = np.diff(np.append(starts, len(group)))
     left, right = [], []
@@ -148,6 +189,7 @@ def links(group: np.ndarray, first: np.ndarray, prints: np.ndarray, distance: in
         near = np.flatnonzero(np.bitwise_count(diff) <= distance + 4)  # cheap, before the chains
         near = near[chained(diff[near], first[here[near]], distance)]
         near = near[np.bitwise_count(diff[near]) <= distance]
+        near = near[proven(here[near], here[near] + step)]
         left.append(here[near])
         right.append(here[near] + step)
         step += 1
@@ -156,22 +198,26 @@ def links(group: np.ndarray, first: np.ndarray, prints: np.ndarray, distance: in
         order = np.argsort(own)
         ranked = own[order]
         for difference in neighbours(int(first[start]), distance):
-            if not difference:
-                continue
             wanted = own ^ difference
-            at = np.minimum(np.searchsorted(ranked, wanted), size - 1)
-            hit = np.flatnonzero(ranked[at] == wanted)
-            left.append(start + hit)
-            right.append(start + order[at[hit]])
+            at, stop = np.searchsorted(ranked, wanted), np.searchsorted(ranked, wanted, "right")
+            here = np.flatnonzero(at < stop)
+            while len(here):  # rows with equal fingerprints but other proofs come one after the other
+                a, b = start + here, start + order[at[here]]
+                good = proven(a, b) & (a != b)
+                left.append(a[good])
+                right.append(b[good])
+                at[here] += 1
+                here = here[at[here] < stop[here]]
     return np.concatenate([np.zeros(0, np.int64), *left]), np.concatenate([np.zeros(0, np.int64), *right])
 
 
-def search(distance: int):
-    """Reads rows ``group, part, first, fingerprint, node`` sorted by group and part and yields the
-    edges of a spanning forest of each group's links."""
+def search(distance: int, proofs: int, budget: int):
+    """Reads rows ``group, part, first, fingerprint, node`` and ``proofs`` more numbers, sorted by
+    group and part, and yields the edges of a spanning forest of each group's links."""
 
-    def edges(group: np.ndarray, first: np.ndarray, prints: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch | None:
-        a, b = links(group, first, prints, distance)
+    def edges(group, first, prints, nodes, *proof) -> pa.RecordBatch | None:
+        agreed = np.stack(proof, axis=1).view(np.uint64) if proof else np.zeros((len(group), 0), np.uint64)
+        a, b = links(group, first, prints.view(np.uint64), agreed, distance, budget)
         if not len(a):
             return None
         root = roots_of(len(group), a, b)
@@ -192,12 +238,12 @@ def search(distance: int):
             held = [tuple(c[cut:] for c in columns)]
             rows = len(group) - cut
             if cut:
-                return edges(np.cumsum(change)[:cut], columns[2][:cut], columns[3][:cut].view(np.uint64), columns[4][:cut])
+                return edges(np.cumsum(change)[:cut], *(c[:cut] for c in columns[2:]))
             return None
 
         for batch in batches:
             if batch.num_rows:
-                held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)))
+                held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(5 + proofs)))
                 rows += batch.num_rows
                 if rows >= 1 << 16 and len(held) >= 2 and rows >= 2 * len(held[0][0]):
                     found = flush(False)
@@ -211,9 +257,11 @@ def search(distance: int):
     return run
 
 
-def near_links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Edges ``a, b`` that connect all rows of ``prints`` (``fingerprint, node``, fingerprints
-    distinct) whose fingerprints are linked."""
+def near_links(prints: DataFrame, distance: int = DISTANCE, proof: Proof | None = None) -> DataFrame:
+    """Edges ``a, b`` that connect all rows of ``prints`` (``fingerprint, proofs, node``, distinct
+    but for the node) which are linked."""
+    proven = [f"proof{i}" for i in range(len(proof.seeds) if proof else 0)]
+    prints = prints.select("fingerprint", "node", *(F.col("proofs")[i].alias(c) for i, c in enumerate(proven)))
     ring = segments_of(distance)
     wide = F.col("fingerprint")
     keys = [
@@ -223,8 +271,8 @@ def near_links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
         )
         for i, (low, width) in enumerate(ring)
     ]
-    keyed = prints.select("fingerprint", "node", F.explode(F.array(*keys)).alias("k")).select(
-        "fingerprint", "node", F.col("k.first").alias("first"), F.xxhash64("k.key").alias("group")
+    keyed = prints.select("*", F.explode(F.array(*keys)).alias("k")).select(
+        *prints.columns, F.col("k.first").alias("first"), F.xxhash64("k.key").alias("group")
     )
     total = prints.count()
     counts = keyed.groupBy("group").count().where("count > 1")
@@ -241,29 +289,56 @@ def near_links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
             lambda m: F.xxhash64(m, F.col("fingerprint").bitwiseAND(m)),
         )
         plain = plain.unionByName(split.where(F.col("first") == i).withColumn("part", F.explode(parts)))
-    columns = ["group", "part", "first", "fingerprint", "node"]
+    columns = ["group", "part", "first", "fingerprint", "node", *proven]
     dealt = plain.select(*columns).repartition(F.col("group"), F.col("part")).sortWithinPartitions("group", "part")
-    return dealt.mapInArrow(search(distance), "a bigint, b bigint")
+    return dealt.mapInArrow(search(distance, len(proven), proof.budget() if proof else 0), "a bigint, b bigint")
 
 
-def group_prints(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``id, fingerprint, component`` for staged rows ``id, fingerprint``."""
+def group_prints(prints: DataFrame, distance: int = DISTANCE, proof: Proof | None = None) -> DataFrame:
+    """``id, fingerprint, component`` for staged rows ``id, fingerprint, proofs``."""
+    key = F.xxhash64("fingerprint", "proofs")
+    prints = prints.withColumn("key", F.col("fingerprint") if proof is None else key)
     distinct = staging.stage(
-        prints.groupBy("fingerprint").agg(F.min("id").alias("node"), F.count("*").alias("n")), "simhash-distinct"
+        prints.groupBy("key", "fingerprint", "proofs").agg(F.min("id").alias("node"), F.count("*").alias("n")),
+        "simhash-distinct",
     )
     nodes = distinct.where("node IS NOT NULL")
-    roots = components.connected(near_links(nodes.select("fingerprint", "node"), distance))
-    named = distinct.join(roots, "node", "left").select(
-        "fingerprint", F.coalesce("root", "node").alias("component"), "n"
-    )
+    roots = components.connected(near_links(nodes, distance, proof))
+    named = distinct.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("component"), "n")
     facts = staging.stage(named, "simhash-components")
-    return skew.attach(prints, facts, "fingerprint", prints.count(), "inner")
+    total = facts.agg(F.sum("n")).first()[0] or 0
+    return skew.attach(prints, facts, "key", total, "inner").select("id", "fingerprint", "component")
 
 
 def near_duplicates(
-    df: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = SHINGLE, distance: int = DISTANCE
+    df: DataFrame,
+    text: str = "text",
+    id: str = "doc_id",
+    shingle: int = SHINGLE,
+    distance: int = DISTANCE,
+    proof: Proof | None = None,
 ) -> DataFrame:
     """``id, fingerprint, component`` for every row; a component is named by its smallest id."""
-    made = fingerprints(df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")), "text", ["id"], shingle)
-    prints = staging.stage(made.select(F.col("row.id").cast("bigint").alias("id"), "result.fingerprint"), "simhash-prints")
-    return group_prints(prints, distance)
+    rows = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    made = fingerprints(rows, "text", ["id"], shingle, proof).select(
+        F.col("row.id").cast("bigint").alias("id"), "result.fingerprint", "result.proofs"
+    )
+    return group_prints(staging.stage(made, "simhash-prints"), distance, proof)
+
+
+def drop_near_duplicates(
+    df: DataFrame, text: str = "text", id: str = "doc_id", distance: int = 4, proof: Proof = FIVE_WORDS
+) -> DataFrame:
+    """One row of each group of near copies, the one with the smallest id (of rows with that id, the
+    first in order of their text), all columns.
+
+    Fingerprints of single words, which small changes hardly move, are searched with a wide
+    ``distance``; fingerprints of five-word shingles must agree on 0.8 of their bits. Rows with a
+    null id belong to no group and stay.
+    """
+    made = near_duplicates(df, text, id, 1, distance, proof)
+    chosen = made.where(F.col("id") == F.col("component")).select(F.col("id").alias("__id")).distinct()
+    packed = df.select(F.col(f"`{id}`").cast("bigint").alias("__id"), F.struct("*").alias("row"))
+    place = F.row_number().over(Window.partitionBy("__id").orderBy(F.col("row").getField(text)))
+    first = packed.join(chosen, "__id", "left_semi").withColumn("__place", place).where(F.col("__place") == 1)
+    return first.select("row.*").unionByName(df.where(F.col(f"`{id}`").isNull()))
