@@ -124,17 +124,20 @@ def vote(counts: np.ndarray, model: Model) -> np.ndarray:
     return scores
 
 
-def learn(labelled: DataFrame, text: str = "text", label: str = "quality", order: str = "doc_id") -> Model:
-    """Fit on the ``SAMPLE`` rows of each label (0 and 1) whose ``order`` hashes lowest.
+def learn(
+    documents: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality", id: str = "doc_id"
+) -> Model:
+    """Fit on the ``SAMPLE`` rows of ``labels`` of each label (0 and 1) whose id hashes lowest.
 
-    The sample is taken before its texts are read by Python; its term counts, not its texts, reach
-    the driver.
+    The sample is drawn from ids and labels alone and broadcast to the documents, so no text is
+    shuffled; the sample's term counts, not its texts, reach the driver.
     """
-    rows = labelled.select(
-        F.col(f"`{label}`").cast("int").alias("label"), F.col(f"`{text}`").alias("text"),
-        F.xxhash64(F.col(f"`{order}`").cast("string")).alias("rank"),
-    )
-    parts = [rows.where(F.col("label") == value).orderBy("rank", "text").limit(SAMPLE) for value in (0, 1)]
+    rank = F.xxhash64(F.col(f"`{id}`").cast("string"))
+    known = labels.select(F.col(f"`{id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label"), rank.alias("rank"))
+    parts = [known.where((F.col("label") == value) & F.col("id").isNotNull()).orderBy("rank", "id").limit(SAMPLE) for value in (0, 1)]
+    chosen = F.broadcast(parts[0].unionByName(parts[1]))  # at most 2 * SAMPLE rows
+    texts = documents.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    sample = texts.join(chosen, "id").select("label", "text", "rank")
     table = _classes()
 
     def run(batches):
@@ -150,12 +153,12 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "quality", order
                 }
             )
 
-    taken = parts[0].unionByName(parts[1]).mapInArrow(run, "label int, rank bigint, terms binary, weights binary")
-    sample = sorted((r.rank, r.label, bytes(r.terms), bytes(r.weights)) for r in taken.collect())
-    counts = np.zeros((len(sample), TERMS), np.float32)
-    for i, (_, _, terms, weights) in enumerate(sample):
+    taken = sample.mapInArrow(run, "label int, rank bigint, terms binary, weights binary")
+    rows = sorted((r.rank, r.label, bytes(r.terms), bytes(r.weights)) for r in taken.collect())
+    counts = np.zeros((len(rows), TERMS), np.float32)
+    for i, (_, _, terms, weights) in enumerate(rows):
         counts[i, np.frombuffer(terms, np.int32)] = np.frombuffer(weights, np.float32)
-    return fit(counts, np.array([x[1] for x in sample], np.float32))
+    return fit(counts, np.array([x[1] for x in rows], np.float32))
 
 
 def classify(df: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:

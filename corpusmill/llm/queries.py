@@ -143,9 +143,8 @@ def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 def quality_model(spark: SparkSession, sf: str, documents: DataFrame) -> quality_knn.Model:
     """Learned from the labelled rows of ``documents`` that are not held out."""
-    labels = table(spark, sf, "labels").select("doc_id", "quality")
-    labelled = documents.select("doc_id", "text").join(labels, "doc_id").where(~held_out(F.col("doc_id")))
-    return quality_knn.learn(labelled)
+    labels = table(spark, sf, "labels").where(~held_out(F.col("doc_id")))
+    return quality_knn.learn(documents, labels)
 
 
 @query
