@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusmill.llm import common
 
@@ -221,23 +222,23 @@ def find_leaks(
     for number in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == number)
         rows = sorted(((r.item, r.text) for r in mine.collect()), key=repr)  # one block, of bounded size
-        found = found.mapInArrow(_compare(rows, text_at, threshold), fields)
+        found = found.mapInArrow(_compare(rows, text_at, threshold, to_arrow_type(T.ArrayType(leak))), fields)
     wanted = [f.name for f in kept if keep is None or f.name in keep]
     return found.select(
         F.struct(*(F.col("row").getField(n).alias(n) for n in wanted)).alias("row"), F.array_sort("leaks").alias("leaks")
     )
 
 
-def _compare(rows: list[tuple[object, str]], text_at: int, threshold: float):
+def _compare(rows: list[tuple[object, str]], text_at: int, threshold: float, kind: pa.DataType):
     def run(batches):
         block = prepare(rows)
         for batch in common.slices(batches, lambda b: b.column(0).field(text_at)):
             texts = [t or "" for t in batch.column(0).field(text_at).to_pylist()]
             found = leaks_of(block, texts, threshold)
+            leaks = batch.column(1)
             if any(found):
-                earlier = batch.column(1).to_pylist()
-                leaks = pa.array([a + b for a, b in zip(earlier, found, strict=True)], batch.schema.field(1).type)
-                batch = pa.RecordBatch.from_arrays([batch.column(0), leaks], names=["row", "leaks"])
-            yield batch
+                leaks = pa.array([a + b for a, b in zip(leaks.to_pylist(), found, strict=True)], kind)
+            # always built alike: a batch as it came may differ in what may be null
+            yield pa.RecordBatch.from_arrays([batch.column(0), leaks.cast(kind)], names=["row", "leaks"])
 
     return run
