@@ -42,8 +42,10 @@ from corpusmill.llm import common, components, skew
 SHINGLE = 3
 DISTANCE = 2
 LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
-#: Groups of more members are searched by look-up instead of pair by pair.
+#: Groups of so many members at most are never split or searched by look-up.
 PAIRWISE = 1500
+#: Larger groups are searched by look-up if they have so many members for each difference to look up.
+LOOKUP = 2
 SEED = 42
 #: ``proofs`` are further fingerprints, of other shingles, that linked rows must agree on.
 FIELDS = common.struct(fingerprint=common.LONG, proofs=T.ArrayType(common.LONG))
@@ -179,8 +181,10 @@ def links(
     sizes = np.diff(np.append(starts, len(group)))
     left, right = [], []
     ends = np.repeat(starts + sizes, sizes)
-    small = np.repeat(sizes <= PAIRWISE, sizes)
-    here, step = np.flatnonzero(small), 1
+    sought = {int(f): neighbours(int(f), distance) for f in np.unique(first[starts[sizes > PAIRWISE]])}
+    limits = np.array([max(PAIRWISE, LOOKUP * len(sought.get(f, ()))) for f in range(distance + 1)])
+    large = sizes > limits[first[starts]]
+    here, step = np.flatnonzero(np.repeat(~large, sizes)), 1
     while True:
         here = here[here + step < ends[here]]
         if not len(here):
@@ -193,11 +197,11 @@ def links(
         left.append(here[near])
         right.append(here[near] + step)
         step += 1
-    for start, size in zip(starts[sizes > PAIRWISE].tolist(), sizes[sizes > PAIRWISE].tolist(), strict=True):
+    for start, size in zip(starts[large].tolist(), sizes[large].tolist(), strict=True):
         own = prints[start : start + size]
         order = np.argsort(own)
         ranked = own[order]
-        for difference in neighbours(int(first[start]), distance):
+        for difference in sought[int(first[start])]:
             wanted = own ^ difference
             at, stop = np.searchsorted(ranked, wanted), np.searchsorted(ranked, wanted, "right")
             here = np.flatnonzero(at < stop)
