@@ -16,7 +16,7 @@ an empty table. Other columns are left alone.
 
 from __future__ import annotations
 
-from itertools import groupby
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -185,8 +185,8 @@ def _start(templates: list[tuple[str, str, str]]):
                     found.append((at, label))
         return found
 
-    def templates_in(words: list[bytes]) -> list[dict]:
-        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+    def templates_in(tokens: list[bytes]) -> list[dict]:
+        ids = np.fromiter(map(get, tokens, repeat(-1)), np.int64, len(tokens))
         edges = np.flatnonzero(np.diff(np.concatenate([[0], (ids >= 0).astype(np.int8), [0]])))
         pieces: dict[int, list[tuple[int, int, int]]] = {}
         for low, high in edges.reshape(-1, 2).tolist():
@@ -201,9 +201,11 @@ def _start(templates: list[tuple[str, str, str]]):
         for template, own in pieces.items():
             name, label, _ = templates[template]
             for start, end, covered in best_chains(own, len(sequences[template])):
-                out.append({"label": label, "template": name, "start": start, "end": end, "covered": covered})
+                words = round(covered * len(sequences[template]))
+                out.append({"label": label, "template": name, "start": start, "end": end, "covered": covered, "words": words})
         kept: list[dict] = []
-        for span in sorted(out, key=lambda x: (-x["covered"], x["start"] - x["end"], x["start"], x["template"])):
+        for span in sorted(out, key=lambda x: (-x["covered"], -x["words"], x["start"], x["template"])):
+            del span["words"]
             size = span["end"] - span["start"]
             if not any(2 * (min(span["end"], k["end"]) - max(span["start"], k["start"])) > size for k in kept):
                 kept.append(span)

@@ -79,14 +79,15 @@ def base_spans(text: str, lowered: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def marginal_bytes(candidate: str, around: str, identifiers: str = IDENTIFIERS, level: int = 9) -> int:
-    """Compressed bytes that ``candidate`` costs once identifiers and its surroundings are known."""
-    known = f"{identifiers} {around.replace(candidate, ' ')}".encode()
-    primed = zstandard.ZstdCompressionDict(known, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    packer = zstandard.ZstdCompressor(
-        level=level, dict_data=primed, write_checksum=False, write_content_size=False, write_dict_id=False
-    )
-    return len(packer.compress(candidate.encode())) - len(packer.compress(b""))
+def marginal_bytes(candidate: str, around: str, identifiers: str = IDENTIFIERS, level: int = 3) -> int:
+    """Compressed bytes that ``candidate`` adds to a frame primed with identifiers and surroundings.
+
+    Both go in front of it in the same frame: zstandard stores so short an input raw when only a
+    separate dictionary is set.
+    """
+    primed = f"{identifiers} {around.replace(candidate, ' ')} ".encode()
+    packer = zstandard.ZstdCompressor(level=level, write_checksum=False, write_content_size=False)
+    return len(packer.compress(primed + candidate.encode())) - len(packer.compress(primed))
 
 
 def novel_spans(
