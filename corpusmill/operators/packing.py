@@ -12,12 +12,12 @@ ends depends on ``b`` alone: only the file that covers byte ``b + target`` can c
 3. jumps over ever wider byte spans, by joining the jump table to itself. The first start in a
    span lies within ``reach`` of its beginning, or right after a file of at least ``target``
    bytes. No other start matters, so each table is about half the size of the one before;
-4. once a table has at most ``FOLLOW_ROWS`` rows, follow it from byte 0; then back down
-   through the spans, which gives the starts that are really taken;
+4. once the span covers everything, byte 0 is the only start left; the way back down through the
+   spans gives the starts that are really taken;
 5. every file looks up its shard.
 
-Apart from step 4, whose size is checked, nothing passes through one task, and no bucket holds
-more than its width in files, because every file in it has at least one byte.
+Nothing passes through one task or the driver, and no bucket holds more than its width in files,
+because every file in it has at least one byte.
 """
 
 from __future__ import annotations
@@ -33,8 +33,6 @@ from corpusmill.operators.ordering import running_sums
 
 LOOKUP_BUCKET_BYTES = 1024 * 1024
 TOUCHED_BUCKETS = 1024 * 1024
-FOLLOW_ROWS = 200_000
-BROADCAST_ROWS = 100_000
 
 
 def _div(value: Column, width: int) -> Column:
@@ -113,16 +111,6 @@ def _wider(jumps: DataFrame, span: int, reach: int) -> DataFrame:
 _START = "at long, shard long, after_file boolean"
 
 
-def _follow(jumps: DataFrame) -> list[tuple[int, int, bool]]:
-    """Starts met from byte 0 on, with their shard numbers. ``jumps`` must be small."""
-    onward = {row["at"]: row for row in jumps.toArrow().to_pylist()}
-    met = [(0, 0, True)]
-    while met[-1][0] in onward:
-        jump = onward[met[-1][0]]
-        met.append((jump["to"], met[-1][1] + jump["hops"], jump["after_file"]))
-    return met
-
-
 def _taken_starts(
     first: DataFrame, giants: DataFrame | None, bounds: Row, shortest: int, reach: int
 ) -> tuple[DataFrame, int]:
@@ -132,7 +120,7 @@ def _taken_starts(
     at the same byte belong to the new shard. ``giants`` holds the ends of files of at least
     ``target`` bytes, if there are any.
     """
-    total, rows = bounds["total"], bounds["rows"]
+    total = bounds["total"]
     # a jump to the very end opens no further shard
     jumps = first.filter(F.col("to") < total).withColumn("hops", F.lit(1).cast("long"))
     if giants is None:
@@ -141,15 +129,11 @@ def _taken_starts(
         marked = jumps.join(giants.withColumn("after_giant", F.lit(True)), "at", "left")
         jumps = marked.withColumn("after_giant", F.coalesce("after_giant", F.lit(False)))
     levels, span = [jumps], shortest
-    while span < total and rows > FOLLOW_ROWS:
+    while span < total:
+        levels.append(staging.stage(_wider(levels[-1], span * 2, reach), "jumps"))
         span *= 2
-        levels.append(staging.stage(_wider(levels[-1], span, reach), "jumps"))
-        rows = levels[-1].count()
 
-    met = _follow(levels[-1])
-    starts = first.sparkSession.createDataFrame(met, _START)
-    if len(levels) == 1:
-        return starts, len(met)
+    starts = first.sparkSession.createDataFrame([(0, 0, True)], _START)
     for jumps in reversed(levels[:-1]):
         inner = starts.select("at", "shard").join(jumps, "at")
         inner = inner.filter(_div(F.col("at"), span) == _div(F.col("to"), span))
@@ -227,8 +211,6 @@ def assign_shards(
         "low",
         "high",
     )
-    if count <= BROADCAST_ROWS:
-        covering = F.broadcast(covering)
     placed = files.withColumn("_key", key).withColumn("_bucket", _div(F.col("_key"), width))
     return (
         placed.join(covering, "_bucket")

@@ -47,12 +47,6 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("name", ["uniform", "max_branch", "giant_file", "no_minimum", "many_giants"])
-def test_spans_all_the_way_up(spark, monkeypatch, name):
-    monkeypatch.setattr(packing, "FOLLOW_ROWS", 0)
-    check(spark, *CASES[name])
-
-
 @pytest.mark.parametrize("name", CASES)
 def test_matches_sequential_rule(spark, name):
     check(spark, *CASES[name])
@@ -76,11 +70,6 @@ def test_narrow_lookup_buckets(spark, monkeypatch):
     check(spark, [rng.choice([0, 1, 3, 50, 400]) for _ in range(400)], 120, 30, 150)
 
 
-def test_large_shard_table_is_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(packing, "BROADCAST_ROWS", 0)
-    check(spark, [7] * 200, 20, 10, 40)
-
-
 def test_offsets_beyond_double_precision(spark):
     big = 2**55
     check(spark, [big, 1, 1, big + 1, 3, 0, 5], 2**55, 2**50, 2**56)
