@@ -39,13 +39,14 @@ def summary_totals(rollup: DataFrame) -> DataFrame:
 
 
 def reconcile(actual: DataFrame, expected: DataFrame) -> DataFrame:
-    """Compare two one-row totals (``total_tokens, total_files``)."""
+    """Compare two one-row totals (``total_tokens, total_files``); no row if nothing is expected."""
     names = {"total_tokens": "tokens", "total_files": "files"}
     both = actual.select(*[F.col(c).alias(f"actual_{n}") for c, n in names.items()]).unionByName(
         expected.select(*[F.col(c).alias(f"expected_{n}") for c, n in names.items()]),
         allowMissingColumns=True,
     )
     sides = both.agg(*[F.max(c).alias(c) for c in both.columns])  # one row from each side
+    sides = sides.filter("expected_tokens IS NOT NULL AND expected_files IS NOT NULL")
     return sides.select(
         "expected_tokens",
         "actual_tokens",

@@ -7,27 +7,41 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill import staging, storage
 from corpusmill.constants import CHUNK_ROWS, MAX_FILE_SIZE, SHARD_MAX, SHARD_MIN, SHARD_TARGET
 from corpusmill.functions.tokens import Tokenizer
 from corpusmill.operators import extract, packing, rollup
 from corpusmill.operators.repo_stats import token_counter, uncounted
+from corpusmill.schemas import INDEX
 from corpusmill.sinks import shards, tables
 from corpusmill.sources import state, tree
 
 
 @dataclass
 class Built:
-    """What a build has written. ``pending`` are files of shards that failed, to be tried again."""
+    """What a build has written.
+
+    ``pending`` are files of shards that lack their archive, ``failures`` files and shards that could
+    not be archived, with the error. ``reconciled`` compares the final table with the expected
+    totals (no row without them), ``archived`` compares it with the index.
+    """
 
     index: DataFrame
     pending: DataFrame
+    failures: DataFrame
     final: DataFrame
     projects: DataFrame
     totals: DataFrame
     reconciled: DataFrame
+    archived: DataFrame
     summary_updated: bool
 
 
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end."""
+    return state.path_exists(spark, f"{path}/_SUCCESS")
+
+
 def build_dataset(
     spark: SparkSession,
     root: str,
@@ -44,35 +58,44 @@ def build_dataset(
 ) -> Built:
     """Build the dataset of the projects below ``root`` into the folder ``out``.
 
-    Content is read twice: once for metadata and once for the archives; it is never shuffled.
-    ``expected`` names a summary document to reconcile with.
+    A second run on the same ``out`` goes on where the first one stopped: complete metadata, index
+    and shards are taken as they are, and only what is missing is written. Start over in a new
+    folder. Content is read twice: once for metadata and once for the archives; it is never
+    shuffled. ``expected`` names a summary document to reconcile with.
     """
-    listing = tree.scan_tree(spark, root, skip=".git")
-    files = tree.read_content(extract.candidates(listing, max_size=max_file_size), root)
-    metadata = extract.extract_metadata(files, root=root, max_size=max_file_size, tokenizer=tokenizer)
-    tables.write_chunks(metadata, f"{out}/metadata_chunks", rows_per_file=rows_per_chunk)
-
-    chunks = state.read_chunks(spark, f"{out}/metadata_chunks")
-    index = tables.write_index(extract.build_index(chunks), f"{out}/global_index")
-
-    assigned = packing.assign_shards(index, target=target, min_size=min_size, max_size=max_size)
-    manifest = shards.write_shards(
-        assigned, root=root, archives=f"{out}/shards", manifest=f"{out}/shard_metadata"
-    )
-
-    pending = shards.pending_shards(assigned, manifest, shards.archived_shards(spark, f"{out}/shards"))
-
-    final = tables.write_final(manifest, f"{out}/final_metadata")
+    root, out = storage.qualified(spark, root), storage.qualified(spark, out)
+    chunks, indexed, sharded = f"{out}/metadata_chunks", f"{out}/global_index", f"{out}/sharded_index"
+    archives, manifests, failed = f"{out}/shards", f"{out}/shard_metadata", f"{out}/shard_failures"
+    with staging.scope(spark):
+        if not _complete(spark, chunks):
+            storage.delete(spark, chunks)
+            listing = tree.scan_tree(spark, root, skip=".git")
+            files = tree.read_content(extract.candidates(listing, max_size=max_file_size), root)
+            metadata = extract.extract_metadata(files, root=root, max_size=max_file_size, tokenizer=tokenizer)
+            tables.write_chunks(metadata, chunks, rows_per_file=rows_per_chunk)
+        if not _complete(spark, indexed):
+            storage.delete(spark, indexed)
+            tables.write_index(extract.build_index(state.read_chunks(spark, chunks)), indexed)
+        index = spark.read.schema(INDEX).parquet(indexed)
+        if not _complete(spark, sharded):
+            storage.delete(spark, sharded)
+            packed = packing.assign_shards(index, target=target, min_size=min_size, max_size=max_size)
+            tables.write_index(packed, sharded)
+        assigned = spark.read.schema(INDEX).parquet(sharded)
+        manifest = shards.write_shards(
+            assigned, root=root, archives=archives, manifest=manifests, failures=failed
+        )
+        final = tables.write_final(manifest, f"{out}/final_metadata")
+
+    pending = shards.pending_shards(assigned, manifest, shards.archived_shards(spark, archives))
     projects = rollup.project_rollup(final)
     totals = rollup.corpus_totals(final)
-    wanted = (
-        rollup.summary_totals(state.read_token_counts(spark, expected)) if expected is not None else totals
-    )
+    wanted = state.read_summary(spark, expected)[0] if expected is not None else totals.limit(0)
     reconciled = rollup.reconcile(totals, wanted)
-    updated = tables.update_summary(
-        projects, reconciled, f"{out}/token_counts", update=update_counts
-    )
-    return Built(index, pending, final, projects, totals, reconciled, updated)
+    archived = rollup.reconcile(totals, rollup.corpus_totals(index))
+    updated = tables.update_summary(projects, reconciled, f"{out}/token_counts", update=update_counts)
+    failures = shards.read_failures(spark, failed)
+    return Built(index, pending, failures, final, projects, totals, reconciled, archived, updated)
 
 
 def count_tree(

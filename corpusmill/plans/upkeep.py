@@ -42,11 +42,7 @@ def update_token_counts(
 
     The repository total is the number of project directories, counted or not.
     """
-    stored = (
-        tables.read_summary(spark, summary)
-        if state.path_exists(spark, summary)
-        else spark.createDataFrame([], "project_name string, tokens long, files_processed long")
-    )
+    stored = state.read_token_counts(spark, summary)
     counted = count_tree(spark, root, already=stored, tokenizer=tokenizer)
     whole = staging.stage(rollup.add_rollups(stored, counted), "token-counts")
     projects = tree.list_projects(spark, root).count()

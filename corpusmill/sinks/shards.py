@@ -9,7 +9,6 @@ bytes again.
 from __future__ import annotations
 
 import io
-import os
 import tarfile
 from collections.abc import Iterator
 
@@ -18,33 +17,41 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StringType, StructField, StructType
 
-from corpusmill import staging
+from corpusmill import staging, storage
 from corpusmill.constants import ZSTD_LEVEL
 from corpusmill.functions import paths
 from corpusmill.operators.extract import conform
+from corpusmill.operators.ordering import running_sums
 from corpusmill.schemas import INDEX
 from corpusmill.sources.state import path_exists
-from corpusmill.sources.tree import BYTES_PER_READ_TASK, _local_path, _remote, list_directory, read_bytes
+from corpusmill.sources.tree import BYTES_PER_READ_TASK, list_names, read_bytes
+from corpusmill.storage import Clients
+
+#: How often a task is tried before it leaves out what fails; Spark's own setting by default.
+ATTEMPTS_CONF = "spark.corpusmill.attempts"
+ERROR = "_error"
+GONE = "gone"
 
 
 class _Archive:
     """One archive being written, under a temporary name until it is finished."""
 
-    def __init__(self, folder: str, shard_id: str, level: int):
+    def __init__(self, clients: Clients, folder: str, shard_id: str, level: int):
         import zstandard
 
-        self.final = f"{folder}/shard_{shard_id}.tar.zst"
-        self.temporary = f"{folder}/.shard_{shard_id}.{TaskContext.get().taskAttemptId()}.tmp"
-        local = _local_path(self.temporary)
-        if local is not None:
-            os.makedirs(os.path.dirname(local), exist_ok=True)
-            self.raw = open(local, "wb")
-        else:
-            filesystem, inner = _remote(self.temporary)
-            self.raw = filesystem.open_output_stream(inner)
-        self.packed = zstandard.ZstdCompressor(level=level).stream_writer(self.raw, closefd=False)
-        self.tar = tarfile.open(fileobj=self.packed, mode="w|")
+        self.filesystem, inner = clients.at(folder)
+        self.final = f"{inner}/shard_{shard_id}.tar.zst"
+        self.temporary = f"{inner}/.shard_{shard_id}.{TaskContext.get().taskAttemptId()}.tmp"
+        self.filesystem.create_dir(inner, recursive=True)
+        self.raw = self.filesystem.open_output_stream(self.temporary)
+        try:
+            self.packed = zstandard.ZstdCompressor(level=level).stream_writer(self.raw, closefd=False)
+            self.tar = tarfile.open(fileobj=self.packed, mode="w|")
+        except BaseException:
+            self.discard()
+            raise
 
     def add(self, name: str, content: bytes) -> None:
         header = tarfile.TarInfo(name)
@@ -55,28 +62,24 @@ class _Archive:
         self.tar.close()
         self.packed.close()
         self.raw.close()
-        local = _local_path(self.temporary)
-        if local is not None:
-            os.replace(local, _local_path(self.final))
-        else:
-            filesystem, inner = _remote(self.temporary)
-            filesystem.move(inner, _remote(self.final)[1])
+        self.filesystem.move(self.temporary, self.final)
 
     def discard(self) -> None:
-        self.raw.close()
-        local = _local_path(self.temporary)
-        if local is not None:
-            os.remove(local)
-        else:
-            filesystem, inner = _remote(self.temporary)
-            filesystem.delete_file(inner)
+        """Remove the temporary file, whatever state it is in."""
+        for step in (self.raw.close, lambda: self.filesystem.delete_file(self.temporary)):
+            try:
+                step()
+            except OSError:
+                pass
 
 
-def _archive_rows(folder: str, level: int, schema: pa.Schema, attempts: int = 1):
+def _archive_rows(folder: str, level: int, schema: pa.Schema, attempts: int):
     """Arrow function over rows sorted by shard: write archives, emit rows as they are archived.
 
-    An error fails the task, so that Spark tries again, up to the last of ``attempts``. Then the
-    shard loses its archive, so that its rows count for nothing, and the others go on.
+    An error fails the task, so that Spark tries again. In the last of ``attempts`` a file that
+    cannot be read is left out and named with its error, and a shard whose archive cannot be
+    written is left out as a whole, its rows named; the others go on. An archive that is not
+    finished leaves no file.
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch]]:
@@ -88,55 +91,79 @@ def _archive_rows(folder: str, level: int, schema: pa.Schema, attempts: int = 1)
                     yield ids[start], batch.slice(start, i - start)
                     start = i
 
-    def add_piece(archive: _Archive, piece: pa.RecordBatch) -> pa.RecordBatch:
-        mask = []
-        members = piece.column(piece.schema.names.index("_member"))
-        locations = piece.column(piece.schema.names.index("_location"))
-        for member, location in zip(members.to_pylist(), locations.to_pylist()):
-            content = read_bytes(location)
-            if content is not None:
-                archive.add(member, content)
-            mask.append(content is not None)
-        return piece.filter(pa.array(mask, pa.bool_())).select(schema.names)
+    def noted(piece: pa.RecordBatch, errors: list[str | None]) -> pa.RecordBatch:
+        columns = [*piece.select(schema.names).columns, pa.array(errors, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, names=[*schema.names, ERROR])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        archive, current = None, None
-        for shard_id, piece in pieces(batches):
-            if shard_id != current:
-                if archive is not None:
-                    archive.finish()
-                archive, current = _Archive(folder, shard_id, level), shard_id
-            if archive is None:
-                continue
-            try:
-                archived = add_piece(archive, piece)
-            except Exception as error:
-                archive.discard()
-                if TaskContext.get().attemptNumber() + 1 < attempts:
-                    raise
-                print(f"shard {shard_id}: {error}")
+        clients = Clients()
+        last = TaskContext.get().attemptNumber() + 1 >= attempts
+        archive, current, broken = None, None, None
+
+        def add(piece: pa.RecordBatch) -> list[str | None]:
+            errors: list[str | None] = []
+            members = piece.column(piece.schema.names.index("_member"))
+            locations = piece.column(piece.schema.names.index("_location"))
+            for member, location in zip(members.to_pylist(), locations.to_pylist(), strict=True):
+                try:
+                    content, error = read_bytes(location, clients), GONE
+                except Exception as reason:
+                    if not last:
+                        raise
+                    content, error = None, f"{type(reason).__name__}: {reason}"
+                if content is not None:
+                    archive.add(member, content)
+                errors.append(None if content is not None else error)
+            return errors
+
+        try:
+            for shard_id, piece in pieces(batches):
+                if shard_id != current:
+                    if archive is not None:
+                        archive.finish()
+                    archive, current, broken = None, shard_id, None
+                if broken is None:
+                    try:
+                        archive = archive or _Archive(clients, folder, shard_id, level)
+                        errors = add(piece)
+                    except Exception as reason:
+                        if not last:
+                            raise
+                        if archive is not None:
+                            archive.discard()
+                        archive, broken = None, f"{type(reason).__name__}: {reason}"
+                yield noted(piece, errors if broken is None else [broken] * piece.num_rows)
+            if archive is not None:
+                archive.finish()
                 archive = None
-                continue
-            yield archived
-        if archive is not None:
-            archive.finish()
+        finally:
+            if archive is not None:
+                archive.discard()
 
     return run
 
 
-def archived_shards(spark: SparkSession, folder: str) -> DataFrame:
-    """Ids of the shards whose archive is complete."""
-    top = spark.createDataFrame([(folder.rstrip("/"),)], "folder string")
+def sweep(spark: SparkSession, folder: str) -> None:
+    """Remove the temporary files that lost tasks have left in a folder of archives. No other run
+    may be writing there."""
+    names = list_names(spark, folder, False).filter(F.col("name").rlike(r"^\.shard_\d+\.\d+\.tmp$"))
+    folder = storage.qualified(spark, folder)
 
     def run(batches):
+        clients = Clients()
         for batch in batches:
-            for row in batch.to_pylist():
-                names = [n for n, is_dir, _ in list_directory(row["folder"]) if not is_dir]
-                yield pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string())})
+            for name in batch.column(0).to_pylist():
+                filesystem, inner = clients.at(f"{folder}/{name}")
+                filesystem.delete_file(inner)
+            yield batch
+
+    names.mapInArrow(run, "name string").count()
 
-    names = top.mapInArrow(run, "name string")
+
+def archived_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of the shards whose archive is complete."""
     shard_id = F.regexp_extract("name", r"^shard_(\d+)\.tar\.zst$", 1)
-    return names.select(shard_id.alias("shard_id")).filter("shard_id <> ''")
+    return list_names(spark, folder, False).select(shard_id.alias("shard_id")).filter("shard_id <> ''")
 
 
 def pending_shards(assigned: DataFrame, manifest: DataFrame, archived: DataFrame) -> DataFrame:
@@ -151,42 +178,63 @@ def read_manifest(spark: SparkSession, path: str, archives: str) -> DataFrame:
     return rows.join(archived_shards(spark, archives), "shard_id", "left_semi").select(*INDEX.fieldNames())
 
 
+def read_failures(spark: SparkSession, path: str) -> DataFrame:
+    """Files that the last run could not archive: index columns and ``error``."""
+    schema = StructType([*INDEX.fields, StructField(ERROR, StringType())])
+    rows = spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+    return rows.withColumnRenamed(ERROR, "error")
+
+
 def write_shards(
-    assigned: DataFrame, *, root: str, archives: str, manifest: str, level: int = ZSTD_LEVEL
+    assigned: DataFrame, *, root: str, archives: str, manifest: str, level: int = ZSTD_LEVEL, failures: str | None = None
 ) -> DataFrame:
     """Write the archives and manifests that are not there yet; returns the whole manifest.
 
-    ``assigned`` is an index with ``shard_id``; files are read below ``root``. Files that are
-    gone are left out of archive and manifest. A shard that fails is left out as a whole and is
-    pending again the next time. Rows are passed on as they are archived, so that a shard of very
-    many small files needs no memory of its own.
+    ``assigned`` is a staged index with ``shard_id``; files are read below ``root``. Files that are
+    gone or cannot be read are left out of archive and manifest, a shard that cannot be written is
+    left out as a whole and is pending again the next time; both are written to ``failures``, if it
+    names a folder. Rows are passed on as they are archived, so that a shard of very many small
+    files needs no memory of its own.
     """
     spark = assigned.sparkSession
-    archives = archives.rstrip("/")
+    archives, root = storage.qualified(spark, archives), storage.qualified(spark, root)
+    sweep(spark, archives)
     rows = conform(assigned)
     if path_exists(spark, manifest):
-        todo = pending_shards(rows, read_manifest(spark, manifest, archives), archived_shards(spark, archives))
-        rows = staging.stage(todo, "pending")  # the manifest is written while it would be read
+        rows = pending_shards(rows, read_manifest(spark, manifest, archives), archived_shards(spark, archives))
+        rows = staging.stage(rows, "pending")  # the manifest is written while it would be read
     project, file_path = F.col("project_name"), F.col("file_path")
     located = rows.withColumn("_member", paths.member_name(project, file_path)).withColumn(
         "_location", paths.source_path(project, file_path, root)
     )
-    # tasks by the bytes to archive: Spark itself would go by the size of the index rows. A shard
-    # of ordinary size gets its own task, tiny ones share one.
-    number = F.col("shard_id").cast("int")
-    bounds = rows.agg(F.min(number).alias("low"), F.max(number).alias("high"), F.sum("size").alias("bytes")).first()
-    shards = 1 if bounds["low"] is None else bounds["high"] - bounds["low"] + 1
+    # tasks by the bytes to archive: Spark itself would go by the size of the index rows. Shards are
+    # dealt out by their rank among the pending ones, which need not have consecutive numbers.
+    pending = rows.groupBy("shard_id").agg(F.sum("size").alias("size"))
+    ranked = running_sums(pending, ["shard_id"], {"_rank": None, "_bytes": "size"})
+    bounds = ranked.agg(F.max("_rank").alias("shards"), F.max("_bytes").alias("bytes")).first()
+    if bounds["shards"] is None:
+        return read_manifest(spark, manifest, archives) if path_exists(spark, manifest) else rows
     wanted = max(-(-(bounds["bytes"] or 0) // BYTES_PER_READ_TASK), spark.sparkContext.defaultParallelism)
-    tasks = min(shards, wanted)
-    spread = located.repartitionById(tasks, F.pmod(number, F.lit(tasks)))
+    tasks = min(bounds["shards"], wanted)
+    dealt = located.join(ranked.select("shard_id", "_rank"), "shard_id")
+    spread = dealt.repartitionById(tasks, F.pmod(F.col("_rank"), F.lit(tasks)).cast("int"))
     ordered = spread.sortWithinPartitions("shard_id", "project_name", "file_path")
-    local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
-    attempts = 1 if local else int(spark.conf.get("spark.task.maxFailures", "4"))
-    written = ordered.mapInArrow(_archive_rows(archives, level, to_arrow_schema(INDEX), attempts), INDEX)
+    attempts = int(spark.conf.get(ATTEMPTS_CONF, spark.conf.get("spark.task.maxFailures", "4")))
+    columns = [*INDEX.fieldNames(), "_member", "_location"]
+    outcome = StructType([*INDEX.fields, StructField(ERROR, StringType())])
+    written = ordered.select(*columns).mapInArrow(_archive_rows(archives, level, to_arrow_schema(INDEX), attempts), outcome)
+    # failed rows go to a folder of their own beside the shards, so that archives are written once
+    target = staging.new_path(spark, "archived")
+    written.write.parquet(target)
+    done = spark.read.schema(outcome).parquet(target)
     (
-        written.write.mode("overwrite")
+        done.filter(F.col(ERROR).isNull())
+        .drop(ERROR)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("shard_id")
         .parquet(manifest)
     )
+    if failures is not None:
+        done.filter(F.col(ERROR).isNotNull()).write.mode("overwrite").parquet(failures)
     return read_manifest(spark, manifest, archives)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill import storage
 from corpusmill.constants import CHUNK_ROWS
 from corpusmill.operators.extract import conform
 from corpusmill.operators.ordering import batch_ids
@@ -35,31 +38,28 @@ def write_index(index: DataFrame, path: str) -> DataFrame:
 
 
 def write_final(manifest: DataFrame, path: str) -> DataFrame:
-    """All shard manifests as one table, read back."""
-    return write_index(manifest, path)
+    """All shard manifests as one table, read back. An earlier table stays until the new one is there."""
+    spark = manifest.sparkSession
+    beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    conform(manifest, INDEX).write.parquet(beside)
+    storage.rename(spark, beside, path)
+    return spark.read.schema(INDEX).parquet(path)
 
 
 def write_summary(rollup: DataFrame, path: str, totals: DataFrame | None = None) -> None:
-    """The summary document; its part files in name order are one JSON document."""
+    """The summary document; its part files in name order are one JSON document. An earlier
+    document stays until the new one is there."""
     lines = summary_lines(rollup, totals).orderBy("part", "project_name")
-    lines.select("line").write.mode("overwrite").text(path)
+    beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    lines.select("line").write.text(beside)
+    storage.rename(rollup.sparkSession, beside, path)
 
 
 def update_summary(rollup: DataFrame, reconciled: DataFrame, path: str, *, update: bool) -> bool:
-    """Rewrite the summary only if asked to and a total differs. ``reconciled`` is one row."""
+    """Rewrite the summary only if asked to and a total differs. ``reconciled`` has one row, or
+    none if there is nothing to compare with; then nothing is written."""
     row = reconciled.select((F.col("tokens_match") & F.col("files_match")).alias("ok")).first()
-    if row["ok"] or not update:
+    if row is None or row["ok"] or not update:
         return False
     write_summary(rollup, path)
     return True
-
-
-def read_summary(spark: SparkSession, path: str) -> DataFrame:
-    """Per-project rows of a summary written by :func:`write_summary`, line by line."""
-    line = F.rtrim(F.ltrim(F.col("value"), F.lit(",")))
-    entry = F.from_json(
-        F.concat(F.lit("{"), line, F.lit("}")), "map<string,struct<tokens:bigint,files_processed:bigint>>"
-    )
-    lines = spark.read.text(path).filter(~F.startswith("value", F.lit("{")) & (F.col("value") != "}}"))
-    entries = lines.select(F.explode_outer(entry).alias("project_name", "t"))
-    return entries.filter("project_name IS NOT NULL").select("project_name", "t.*")

@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 from corpusmill.functions import html as H
 from corpusmill.functions.search import clone_url
-from corpusmill.schemas import FILE_CHUNK, RAW_PAGE, TOKEN_COUNTS
+from corpusmill.schemas import FILE_CHUNK, PROJECT_TOTALS, RAW_PAGE, TOKEN_COUNTS
 from corpusmill.sources.tree import list_projects
+from corpusmill.storage import Clients
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -24,23 +25,82 @@ def read_chunks(spark: SparkSession, path: str, *, skip_corrupt: bool = False) -
     return reader.parquet(path)
 
 
-def read_token_counts(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
-    """Per-project totals of a summary document, empty if it is missing or broken.
+def corrupt_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """``file, error`` of the chunks that ``skip_corrupt`` would leave out: those whose Parquet footer
+    cannot be read. Each chunk is looked at by one task, footers only."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    paths = files.load(path).select("path")
 
-    ``lines``: the files hold one document per line instead of one in all.
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        clients = Clients()
+        for batch in batches:
+            found = []
+            for name in batch.column(0).to_pylist():
+                filesystem, inner = clients.at(name)
+                try:
+                    pq.ParquetFile(inner, filesystem=filesystem).metadata  # noqa: B018
+                except (pa.ArrowInvalid, OSError) as error:
+                    found.append({"file": name, "error": str(error)})
+            if found:
+                yield pa.RecordBatch.from_pylist(found)
+
+    return paths.mapInArrow(run, "file string, error string")
+
+
+def read_summary(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Head totals (``total_tokens, total_repos, total_files``) and per-project totals of a summary.
+
+    Reads both layouts: one JSON document per file, and the text lines that
+    :func:`corpusmill.sinks.tables.write_summary` writes in any number of parts. Both tables are
+    empty if the document is missing or broken; the totals are empty too if it lacks either of the
+    two that are compared.
     """
-    schema = T.StructType(TOKEN_COUNTS.fields)
+    totals = T.StructType([f for f in TOKEN_COUNTS.fields if f.name != "repos"])
+    no_repos = spark.createDataFrame([], "project_name string, tokens long, files_processed long")
     if not path_exists(spark, path):
-        summary = spark.createDataFrame([], schema)
+        return spark.createDataFrame([], totals), no_repos
+    lines = spark.read.text(path)
+    # only our own layout has such a first line, and a last line of these two characters
+    head = lines.filter(F.startswith("value", F.lit('{"total_')) & F.endswith("value", F.lit(',"repos":{')))
+    foot = lines.filter("value = '}}'")
+    if not head.isEmpty() and not foot.isEmpty():
+        found = F.from_json(F.concat("value", F.lit("}}")), totals)
+        heads = head.select(found.alias("t")).select("t.*")
+        body = lines.filter(F.startswith(F.ltrim(F.col("value"), F.lit(",")), F.lit('"')))
+        entry = F.from_json(
+            F.concat(F.lit("{"), F.ltrim(F.col("value"), F.lit(",")), F.lit("}")),
+            T.MapType(T.StringType(), PROJECT_TOTALS),
+        )
+        repos = body.select(F.explode(entry).alias("project_name", "totals"))
     else:
-        summary = spark.read.schema(schema).option("multiLine", not lines).json(path)
-    return summary.select(F.explode("repos").alias("project_name", "totals")).select(
+        documents = spark.read.schema(TOKEN_COUNTS).option("multiLine", True).json(path)
+        heads = documents.select(*totals.fieldNames())
+        repos = documents.select(F.explode("repos").alias("project_name", "totals"))
+    return heads.filter("total_tokens IS NOT NULL AND total_files IS NOT NULL"), _totals(repos)
+
+
+def _totals(repos: DataFrame) -> DataFrame:
+    return repos.select(
         "project_name",
         F.coalesce("totals.tokens", F.lit(0)).alias("tokens"),
         F.coalesce("totals.files_processed", F.lit(0)).alias("files_processed"),
     )
 
 
+def read_token_counts(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
+    """Per-project totals of a summary document, empty if it is missing or broken.
+
+    ``lines``: the files hold one document per line instead of one in all.
+    """
+    if not lines:
+        return read_summary(spark, path)[1]
+    documents = spark.read.schema(TOKEN_COUNTS).json(path)
+    return _totals(documents.select(F.explode("repos").alias("project_name", "totals")))
+
+
 def read_names(spark: SparkSession, path: str, name: str = "name") -> DataFrame:
     """A state set: the strings of a JSON array in any line layout. Empty if missing."""
     if not path_exists(spark, path):

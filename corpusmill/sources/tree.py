@@ -7,6 +7,7 @@ empty files, which would lose every ``__init__.py``. So tasks walk the directori
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from itertools import islice
 
@@ -14,11 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill import staging
+from corpusmill import staging, storage
 from corpusmill.functions import paths
 from corpusmill.schemas import LISTING
+from corpusmill.storage import Clients, local_path
 
 ENTRIES_PER_WALK = 20_000
+FOLDERS_PER_TASK = 50
 BYTES_PER_READ_TASK = 256 * 1024 * 1024
 WALK_BATCH_ROWS = 10_000
 READ_BATCH_BYTES = 16 * 1024 * 1024
@@ -27,56 +30,64 @@ READ_BATCH_BYTES = 16 * 1024 * 1024
 _LEFT_OUT = (FileNotFoundError, NotADirectoryError, IsADirectoryError, PermissionError)
 
 
-def _remote(path: str):
-    """File system and inner path of a location that is not local."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path)
-
-
-def _local_path(path: str) -> str | None:
-    if path.startswith("file:"):
-        return "/" + path[5:].lstrip("/")
-    return path if "://" not in path else None
-
-
-def list_directory(path: str) -> Iterator[tuple[str, bool, int]]:
+def list_directory(
+    path: str, clients: Clients | None = None, follow: bool = False, left_out: list[str] | None = None
+) -> Iterator[tuple[str, bool, int]]:
     """``(name, is_directory, size)`` of the entries of one directory, as they come.
 
-    Linked directories are not entered. What is gone or closed to us is left out; any other
-    error fails the task, which is then tried again.
+    Linked directories count as directories only with ``follow``. A name that is not UTF-8 is given
+    with its odd bytes escaped as Python does (see :func:`shown`). What is gone or closed to us is
+    left out and named in ``left_out``; any other error fails the task, which is then tried again.
     """
-    local = _local_path(path)
+    left_out = [] if left_out is None else left_out
+    local = local_path(path)
     if local is not None:
         try:
             entries = os.scandir(local)
         except _LEFT_OUT:
+            left_out.append(path)
             return
         with entries:
             for entry in entries:
                 try:
-                    if entry.is_dir(follow_symlinks=False):
-                        yield entry.name, True, 0
+                    if entry.is_dir(follow_symlinks=follow):
+                        yield shown(entry.name), True, 0
                     elif entry.is_file():
-                        yield entry.name, False, entry.stat().st_size
+                        yield shown(entry.name), False, entry.stat().st_size
                 except _LEFT_OUT:
-                    continue
+                    left_out.append(f"{path}/{shown(entry.name)}")
         return
     from pyarrow import fs
 
-    filesystem, inner = _remote(path)
+    filesystem, inner = (clients or Clients()).at(path)
     for info in filesystem.get_file_info(fs.FileSelector(inner, allow_not_found=True)):
         yield info.base_name, info.type == fs.FileType.Directory, info.size or 0
 
 
-def read_bytes(path: str) -> bytes | None:
+_ODD = re.compile("[\udc80-\udcff]")
+_MARKED = re.compile("\ufffd([0-9A-F]{2})")
+
+
+def shown(name: str) -> str:
+    """A file name as UTF-8 text: each byte that is not UTF-8 becomes U+FFFD and its two digits, and
+    so does each byte of U+FFFD itself."""
+    plain = name.replace("\ufffd", "\udcef\udcbf\udcbd")
+    return _ODD.sub(lambda m: f"\ufffd{ord(m[0]) - 0xDC00:02X}", plain)
+
+
+def on_disk(name: str) -> str:
+    """The name that :func:`shown` was given."""
+    return _MARKED.sub(lambda m: chr(0xDC00 + int(m[1], 16)), name)
+
+
+def read_bytes(path: str, clients: Clients | None = None) -> bytes | None:
     """Whole content of a file, or None if it is gone or closed to us."""
-    local = _local_path(path)
+    local = local_path(path)
     try:
         if local is not None:
-            with open(local, "rb") as handle:
+            with open(on_disk(local), "rb") as handle:
                 return handle.read()
-        filesystem, inner = _remote(path)
+        filesystem, inner = (clients or Clients()).at(path)
         with filesystem.open_input_stream(inner) as handle:
             return handle.read()
     except _LEFT_OUT:
@@ -84,80 +95,101 @@ def read_bytes(path: str) -> bytes | None:
 
 
 def _walk(root: str, budget: int, skip: str | None):
-    """Arrow function: walk each directory row until ``budget`` entries, hand back the rest."""
-
-    def visit(dir_name: str, start: str) -> Iterator[dict]:
-        pending, seen = [start], 0
-        while pending and seen < budget:
-            inner = pending.pop()
-            if skip is not None and skip in f"{dir_name}/{inner}":
-                continue
-            for name, is_dir, size in list_directory("/".join(p for p in (root, dir_name, inner) if p)):
-                seen += 1
-                path = f"{inner}/{name}" if inner else name
-                if is_dir:
-                    pending.append(path)
-                else:
-                    yield {"dir_name": dir_name, "file_path": path, "size": size, "is_dir": False}
-        for path in pending:
-            yield {"dir_name": dir_name, "file_path": path, "size": 0, "is_dir": True}
+    """Arrow function: walk directory rows until a task has met ``budget`` entries, hand back the rest."""
+
+    def visit(starts: Iterator[dict]) -> Iterator[dict]:
+        clients, seen = Clients(), 0
+        for start in starts:
+            dir_name, pending = start["dir_name"], [start["file_path"]]
+            while pending and seen < budget:
+                inner = pending.pop()
+                if skip is not None and skip in f"{dir_name}/{inner}":
+                    continue
+                left_out: list[str] = []
+                folder = on_disk("/".join(p for p in (root, dir_name, inner) if p))
+                for name, is_dir, size in list_directory(folder, clients, left_out=left_out):
+                    seen += 1
+                    path = f"{inner}/{name}" if inner else name
+                    if is_dir:
+                        pending.append(path)
+                    else:
+                        yield {"dir_name": dir_name, "file_path": path, "size": size, "kind": "file"}
+                for path in left_out:
+                    yield {"dir_name": dir_name, "file_path": shown(path), "size": 0, "kind": "left out"}
+            for path in pending:
+                yield {"dir_name": dir_name, "file_path": path, "size": 0, "kind": "dir"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (
-            found
-            for batch in batches
-            for start in batch.to_pylist()
-            for found in visit(start["dir_name"], start["file_path"])
-        )
+        rows = visit(start for batch in batches for start in batch.to_pylist())
         while held := list(islice(rows, WALK_BATCH_ROWS)):
             yield pa.RecordBatch.from_pylist(held, schema=_WALK_ARROW)
 
     return run
 
 
-_WALK_SCHEMA = "dir_name string, file_path string, size long, is_dir boolean"
+_WALK_SCHEMA = "dir_name string, file_path string, size long, kind string"
 _WALK_ARROW = pa.schema(
-    [("dir_name", pa.string()), ("file_path", pa.string()), ("size", pa.int64()), ("is_dir", pa.bool_())]
+    [("dir_name", pa.string()), ("file_path", pa.string()), ("size", pa.int64()), ("kind", pa.string())]
 )
 
 
-def list_projects(spark: SparkSession, root: str) -> DataFrame:
-    """Directories right below ``root`` that are not hidden: ``dir_name``, ``project_name``."""
-    top = spark.createDataFrame([(root.rstrip("/"),)], "root string")
+def list_names(spark: SparkSession, folder: str, directories: bool) -> DataFrame:
+    """``name`` of the directories (links followed) or of the files right below ``folder``."""
+    top = spark.createDataFrame([(storage.qualified(spark, folder),)], "folder string")
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                names = [n for n, is_dir, _ in list_directory(row["root"]) if is_dir]
-                yield pa.RecordBatch.from_pydict({"dir_name": pa.array(names, pa.string())})
+                names = (n for n, is_dir, _ in list_directory(row["folder"], follow=True) if is_dir == directories)
+                while held := list(islice(names, WALK_BATCH_ROWS)):
+                    yield pa.RecordBatch.from_pydict({"name": pa.array(held, pa.string())})
 
-    dirs = top.mapInArrow(run, "dir_name string").filter(~paths.is_hidden(F.col("dir_name")))
+    return top.mapInArrow(run, "name string")
+
+
+def list_projects(spark: SparkSession, root: str) -> DataFrame:
+    """Directories right below ``root`` that are not hidden: ``dir_name``, ``project_name``."""
+    dirs = list_names(spark, root, True).select(F.col("name").alias("dir_name"))
+    dirs = dirs.filter(~paths.is_hidden(F.col("dir_name")))
     return dirs.withColumn("project_name", paths.dir_to_project(F.col("dir_name")))
 
 
-def scan_tree(
+def walk_tree(
     spark: SparkSession, root: str, *, skip: str | None = None, budget: int = ENTRIES_PER_WALK
 ) -> DataFrame:
-    """Every regular file below every project directory: path, name and size, no content.
-    Directories whose path from the project on contains ``skip`` are not entered.
+    """``dir_name, file_path, size, kind``: every ``file`` below every project directory, and every
+    path that was ``left out`` because it was gone or closed to us.
 
-    The walk goes in rounds. A task walks a directory up to ``budget`` entries and hands the
-    directories it did not reach back to the next round, where they are spread over all tasks
-    again, so one huge project does not become one long task.
+    The walk goes in rounds. A task walks directories up to ``budget`` entries and hands the
+    directories it did not reach back to the next round, which has as many tasks as there are
+    directories left to share out, so one huge project does not become one long task.
     """
-    root = root.rstrip("/")
+    root = storage.qualified(spark, root)
+    least = spark.sparkContext.defaultParallelism
     frontier = list_projects(spark, root).select("dir_name", F.lit("").alias("file_path"))
     rounds: list[DataFrame] = []
+    tasks = least
     while True:
-        spread = frontier.repartition(spark.sparkContext.defaultParallelism, "dir_name", "file_path")
+        spread = frontier.repartition(tasks, "dir_name", "file_path")
         found = staging.stage(spread.mapInArrow(_walk(root, budget, skip), _WALK_SCHEMA), "tree-round")
-        rounds.append(found.filter("not is_dir"))
-        frontier = found.filter("is_dir").select("dir_name", "file_path")
-        if frontier.isEmpty():
+        rounds.append(found.filter("kind <> 'dir'"))
+        frontier = found.filter("kind = 'dir'").select("dir_name", "file_path")
+        left = frontier.count()
+        if not left:
             break
+        tasks = max(least, left // FOLDERS_PER_TASK)
     files = rounds[0]
     for more in rounds[1:]:
         files = files.unionByName(more)
+    return files
+
+
+def scan_tree(
+    spark: SparkSession, root: str, *, skip: str | None = None, budget: int = ENTRIES_PER_WALK
+) -> DataFrame:
+    """Every regular file below every project directory: path, name and size, no content.
+    Directories whose path from the project on contains ``skip`` are not entered."""
+    files = walk_tree(spark, root, skip=skip, budget=budget).filter("kind = 'file'")
     return files.select(
         "dir_name", "file_path", paths.basename(F.col("file_path")).alias("name"), "size"
     ).to(LISTING)
@@ -170,18 +202,19 @@ def read_content(listing: DataFrame, root: str) -> DataFrame:
     over as many tasks as its bytes need, so that big projects are read by many tasks; only
     paths are shuffled.
     """
-    root = root.rstrip("/")
     spark = listing.sparkSession
+    root = storage.qualified(spark, root)
     listed = listing.agg(F.sum("size")).first()[0] or 0
     tasks = max(-(-listed // BYTES_PER_READ_TASK), spark.sparkContext.defaultParallelism)
     schema = listing.schema.add("content", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clients = Clients()
         for batch in batches:
             rows: list[dict] = []
             held = 0
             for row in batch.to_pylist():
-                content = read_bytes(f"{root}/{row['dir_name']}/{row['file_path']}")
+                content = read_bytes(f"{root}/{row['dir_name']}/{row['file_path']}", clients)
                 if content is None:
                     continue
                 rows.append({**row, "content": content})
@@ -203,24 +236,16 @@ def write_tree(files: DataFrame, root: str) -> DataFrame:
 
     For corpora that are held as a table. Lazy: the files appear when the result is used.
     """
-    root = root.rstrip("/")
-
-    def put(path: str, content: bytes) -> None:
-        local = _local_path(path)
-        if local is not None:
-            os.makedirs(os.path.dirname(local), exist_ok=True)
-            with open(local, "wb") as handle:
-                handle.write(content)
-            return
-        filesystem, inner = _remote(path)
-        filesystem.create_dir(os.path.dirname(inner), recursive=True)
-        with filesystem.open_output_stream(inner) as handle:
-            handle.write(content)
+    root = storage.qualified(files.sparkSession, root)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clients = Clients()
         for batch in batches:
             for row in batch.to_pylist():
-                put(f"{root}/{row['dir_name']}/{row['file_path']}", row["content"] or b"")
+                filesystem, inner = clients.at(f"{root}/{row['dir_name']}/{row['file_path']}")
+                filesystem.create_dir(os.path.dirname(inner), recursive=True)
+                with filesystem.open_output_stream(inner) as handle:
+                    handle.write(row["content"] or b"")
             yield batch.select(["dir_name", "file_path"])
 
     chosen = files.select("dir_name", "file_path", F.col("content").cast("binary").alias("content"))

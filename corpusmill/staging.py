@@ -3,29 +3,52 @@ depend on executors that may be lost."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusmill import storage
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+#: Paths to delete at the end of each open scope, innermost last.
+_SCOPES: list[list[str]] = []
+
 
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder the session names; a temporary one only on a local master."""
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="corpusmill-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    return root
+    """Shared folder the session names. Where driver and executors are one process (a local master)
+    and none is named, a temporary folder becomes the session's checkpoint folder."""
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="corpusmill-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path no other run uses."""
-    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes on leaving what was staged inside. What leaves the scope must be written elsewhere."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            storage.delete(spark, path)
 
 
 def stage(df: DataFrame, label: str, *partition_by: str) -> DataFrame:

@@ -7,7 +7,7 @@ their tasks; a task opens them with one client per storage.
 
 from __future__ import annotations
 
-from urllib.parse import unquote, urlsplit
+import re
 
 from pyspark.sql import SparkSession
 
@@ -38,11 +38,14 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
+_URI = re.compile(r"([A-Za-z][A-Za-z0-9+.-]*):(?://([^/]*))?(/.*)?$", re.S)
+
+
 def local_path(path: str) -> str | None:
     """The path on this machine's disk, or None for another storage."""
     if path.startswith("file:"):
         return "/" + path[5:].lstrip("/")
-    return None if urlsplit(path).scheme and ":/" in path else path
+    return None if _URI.match(path) else path
 
 
 class Clients:
@@ -55,14 +58,13 @@ class Clients:
         """File system and path within it."""
         from pyarrow import fs
 
-        own = local_path(path)
-        if own is not None:
-            scheme, authority, inner = "file", "", own
+        own, uri = local_path(path), _URI.match(path)
+        if own is not None or uri is None:
+            scheme, authority, inner = "file", "", own or path
         else:
-            parts = urlsplit(path)
-            scheme, authority, inner = SCHEMES.get(parts.scheme, parts.scheme), parts.netloc, unquote(parts.path)
+            scheme, authority, inner = SCHEMES.get(uri[1], uri[1]), uri[2] or "", uri[3] or "/"
         key = (scheme, authority)
         if key not in self.opened:
-            uri = f"{scheme}://{authority}/"
-            self.opened[key] = fs.LocalFileSystem() if scheme == "file" else fs.FileSystem.from_uri(uri)[0]
+            whole = f"{scheme}://{authority}/"
+            self.opened[key] = fs.LocalFileSystem() if scheme == "file" else fs.FileSystem.from_uri(whole)[0]
         return self.opened[key], f"{authority}{inner}" if scheme in ("s3", "gs", "gcs") else inner

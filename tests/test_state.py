@@ -31,12 +31,20 @@ def test_written_summary_is_one_document(spark, tmp_path):
     rows = [(f"p{i:03d}/é\"{i}", i, 1) for i in range(50)]
     table = spark.createDataFrame(rows, "project_name string, tokens long, files_processed long")
     out = tmp_path / "summary"
-    tables.write_summary(table, str(out))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else one part
+    try:
+        tables.write_summary(table, str(out))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
     text = "".join(p.read_text() for p in sorted(out.glob("part-*")))
     document = json.loads(text)
     assert document["total_repos"] == 50 and document["total_tokens"] == sum(range(50))
     assert document["repos"] == {n: {"tokens": t, "files_processed": f} for n, t, f in rows}
-    assert sorted(tuple(r) for r in tables.read_summary(spark, str(out)).collect()) == sorted(rows)
+    assert len(list(out.glob("part-*"))) > 1
+    totals, repos = state.read_summary(spark, str(out))
+    assert sorted(tuple(r) for r in repos.collect()) == sorted(rows)
+    assert tuple(totals.first()) == (sum(range(50)), 50, 50)
+    assert sorted(tuple(r) for r in state.read_token_counts(spark, str(out)).collect()) == sorted(rows)
 
 
 def test_summary_is_rewritten_only_if_wanted_and_needed(spark, tmp_path):

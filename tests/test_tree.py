@@ -2,6 +2,7 @@ import json
 import os
 import tarfile
 
+import pyarrow as pa
 import pytest
 import zstandard
 
@@ -225,29 +226,35 @@ def test_missing_files_are_left_out(spark, corpus, tmp_path):
     assert extract.existing_files(kept, listing).count() == 9
 
 
-def test_a_failing_shard_leaves_nothing_and_the_others_go_on(monkeypatch, tmp_path):
-    import pyarrow as pa
+class Attempt:
+    """Stands for the task context."""
 
-    class Context:
-        @staticmethod
-        def get():
-            return Context()
+    number = 0
 
-        def taskAttemptId(self):
-            return 7
+    @staticmethod
+    def get():
+        return Attempt()
 
-        def attemptNumber(self):
-            return 0
+    def taskAttemptId(self):
+        return 7
 
-    def content(path):
+    def attemptNumber(self):
+        return Attempt.number
+
+
+SHARD_SCHEMA = pa.schema([("project_name", pa.string()), ("file_path", pa.string()), ("shard_id", pa.string())])
+
+
+@pytest.fixture
+def rows_to_archive(monkeypatch):
+    def content(path, clients):
         if path == "boom":
             raise ValueError("broken")
         return b"ok"
 
-    monkeypatch.setattr(shards, "TaskContext", Context)
+    monkeypatch.setattr(shards, "TaskContext", Attempt)
     monkeypatch.setattr(shards, "read_bytes", content)
-    schema = pa.schema([("project_name", pa.string()), ("file_path", pa.string()), ("shard_id", pa.string())])
-    batch = pa.RecordBatch.from_pydict(
+    return pa.RecordBatch.from_pydict(
         {
             "project_name": ["p"] * 5,
             "file_path": list("abcde"),
@@ -256,13 +263,129 @@ def test_a_failing_shard_leaves_nothing_and_the_others_go_on(monkeypatch, tmp_pa
             "_location": ["x", "x", "x", "boom", "x"],
         }
     )
-    out = list(shards._archive_rows(str(tmp_path), 3, schema)(iter([batch.slice(0, 1), batch.slice(1)])))
-    rows = [tuple(r.values()) for b in out for r in b.to_pylist()]
-    assert [r for r in rows if r[2] != "00001"] == [("p", "a", "00000"), ("p", "b", "00000"), ("p", "e", "00002")]
-    assert sorted(os.listdir(tmp_path)) == ["shard_00000.tar.zst", "shard_00002.tar.zst"]
+
+
+def test_a_bad_file_costs_that_file_only(rows_to_archive, tmp_path):
+    run = shards._archive_rows(str(tmp_path / "first"), 3, SHARD_SCHEMA, attempts=4)
     with pytest.raises(ValueError):  # while Spark can still try again
-        list(shards._archive_rows(str(tmp_path / "again"), 3, schema, attempts=4)(iter([batch])))
-    assert os.listdir(tmp_path / "again") == ["shard_00000.tar.zst"]
+        list(run(iter([rows_to_archive])))
+    assert os.listdir(tmp_path / "first") == ["shard_00000.tar.zst"]
+    run = shards._archive_rows(str(tmp_path / "last"), 3, SHARD_SCHEMA, attempts=1)
+    out = list(run(iter([rows_to_archive.slice(0, 1), rows_to_archive.slice(1)])))
+    errors = {r["file_path"]: r[shards.ERROR] for b in out for r in b.to_pylist()}
+    assert errors == {"a": None, "b": None, "c": None, "d": "ValueError: broken", "e": None}
+    assert sorted(os.listdir(tmp_path / "last")) == [f"shard_0000{i}.tar.zst" for i in range(3)]
+
+
+def test_a_shard_that_cannot_be_written_is_left_out(rows_to_archive, monkeypatch, tmp_path):
+    def add(self, name, content):
+        if name == "c":
+            raise OSError("no space")
+        whole(self, name, content)
+
+    whole = shards._Archive.add
+    monkeypatch.setattr(shards._Archive, "add", add)
+    run = shards._archive_rows(str(tmp_path), 3, SHARD_SCHEMA, attempts=1)
+    rows = [r for b in run(iter([rows_to_archive])) for r in b.to_pylist()]
+    assert [r["file_path"] for r in rows if r[shards.ERROR] is None] == ["a", "b", "e"]
+    assert sorted(os.listdir(tmp_path)) == ["shard_00000.tar.zst", "shard_00002.tar.zst"]
+
+
+def test_an_error_at_the_end_leaves_no_file(rows_to_archive, monkeypatch, tmp_path):
+    def finish(self):
+        raise OSError("cannot move")
+
+    monkeypatch.setattr(shards._Archive, "finish", finish)
+    with pytest.raises(OSError):
+        list(shards._archive_rows(str(tmp_path), 3, SHARD_SCHEMA, attempts=1)(iter([rows_to_archive])))
+    assert os.listdir(tmp_path) == []
+
+
+def test_stale_temporaries_are_swept(spark, corpus, tmp_path):
+    archives = tmp_path / "a"
+    archives.mkdir()
+    (archives / ".shard_00001.99.tmp").write_bytes(b"left by a lost task")
+    shards.write_shards(assigned(spark, corpus), root=corpus, archives=str(archives), manifest=str(tmp_path / "m"))
+    assert not [n for n in os.listdir(archives) if n.endswith(".tmp")]
+
+
+def test_a_second_build_writes_what_is_missing(spark, corpus, tmp_path):
+    out = str(tmp_path / "out")
+    sizes = {"rows_per_chunk": 4, "target": 1000, "min_size": 500, "max_size": 2000}
+    first = build_dataset(spark, corpus, out, **sizes)
+    rows = sorted(map(tuple, first.final.collect()))
+    before = {n: os.stat(f"{out}/shards/{n}").st_mtime_ns for n in os.listdir(f"{out}/shards")}
+    again = build_dataset(spark, corpus, out, **sizes)
+    assert sorted(map(tuple, again.final.collect())) == rows and again.pending.count() == 0
+    assert {n: os.stat(f"{out}/shards/{n}").st_mtime_ns for n in os.listdir(f"{out}/shards")} == before
+    os.remove(f"{out}/shards/shard_00001.tar.zst")
+    third = build_dataset(spark, corpus, out, **sizes)
+    now = {n: os.stat(f"{out}/shards/{n}").st_mtime_ns for n in os.listdir(f"{out}/shards")}
+    assert sorted(map(tuple, third.final.collect())) == rows
+    assert {n for n in now if n.endswith(".zst") and now[n] != before.get(n)} == {"shard_00001.tar.zst"}
+
+
+def test_a_dropped_shard_shows(spark, corpus, tmp_path):
+    out = str(tmp_path / "out")
+    sizes = {"target": 1000, "min_size": 500, "max_size": 2000}
+    index = build_dataset(spark, corpus, out, **sizes).index
+    os.remove(f"{corpus}/repo_a/file_2.py")
+    os.remove(f"{out}/shards/shard_00000.tar.zst")
+    built = build_dataset(spark, corpus, out, **sizes)
+    check = built.archived.first()
+    assert not check.files_match and check.files_diff == -1 and index.count() == 10
+    assert [(r.file_path, r.error) for r in built.failures.collect()] == [("file_2.py", shards.GONE)]
+
+
+def test_reconciling_with_documents(spark, corpus, tmp_path):
+    def build(name, expected, **more):
+        return build_dataset(spark, corpus, str(tmp_path / name), expected=expected, **more)
+
+    tokens = build("plain", None).totals.first().total_tokens
+    assert build("plain", None).reconciled.count() == 0
+    document = tmp_path / "d.json"
+    # the head says one thing, the map another: the head counts
+    repos = {"repo/a": {"tokens": tokens, "files_processed": 10}}
+    document.write_text(json.dumps({"total_tokens": tokens + 5, "total_repos": 1, "total_files": 9, "repos": repos}))
+    check = build("one", str(document)).reconciled.first()
+    assert (check.expected_tokens, check.expected_files, check.tokens_match) == (tokens + 5, 9, False)
+    document.write_text("{broken")
+    for path in (str(document), str(tmp_path / "absent.json")):
+        built = build("two", path, update_counts=True)
+        assert built.reconciled.count() == 0 and not built.summary_updated
+        assert not os.path.exists(tmp_path / "two" / "token_counts")
+
+
+def test_odd_names_links_and_closed_folders(spark, tmp_path):
+    root = str(tmp_path / "r")
+    put(root, "a_b/x.py", b"one")
+    put(str(tmp_path / "elsewhere"), "linked/deep/y.py", b"two")
+    os.symlink(tmp_path / "elsewhere" / "linked", f"{root}/l_ink")
+    os.symlink(tmp_path / "elsewhere", f"{root}/a_b/not_entered")
+    with open(os.fsencode(f"{root}/a_b/") + b"odd\xff\xe9.py", "wb") as handle:
+        handle.write(b"three")
+    put(root, "a_b/\ufffdFF.py", b"four")
+    listing = tree.scan_tree(spark, root)
+    found = {(r.dir_name, r.file_path): bytes(r.content) for r in tree.read_content(listing, root).collect()}
+    assert found == {
+        ("a_b", "x.py"): b"one",
+        ("l_ink", "deep/y.py"): b"two",
+        ("a_b", "odd\ufffdFF\ufffdE9.py"): b"three",
+        ("a_b", "\ufffdEF\ufffdBF\ufffdBDFF.py"): b"four",
+    }
+    left = []
+    assert list(tree.list_directory(f"{root}/gone", left_out=left)) == [] and left == [f"{root}/gone"]
+
+
+def test_a_task_has_one_budget(spark, tmp_path):
+    root = str(tmp_path / "r")
+    for i in range(30):
+        put(root, f"p_{i}/d/e/f.py", b"x")
+    walk = tree._walk(root, 5, None)
+    starts = pa.RecordBatch.from_pydict({"dir_name": [f"p_{i}" for i in range(30)], "file_path": [""] * 30})
+    kinds = [r["kind"] for b in walk(iter([starts])) for r in b.to_pylist()]
+    assert kinds.count("dir") >= 28
+    assert tree.scan_tree(spark, root, budget=5).count() == 30
 
 
 def test_rows_of_a_shard_without_archive_do_not_count(spark, corpus, tmp_path):
