@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.operators.discovery import first_seen, pending
+from corpusmill import storage
+from corpusmill.sources.state import path_exists
 
 BATCH = "_batch"
 
@@ -45,10 +46,46 @@ def _run(stream: DataFrame, out: str, mode: str, sink: Callable[[DataFrame, int]
     query.awaitTermination()
 
 
+def _folders(spark: SparkSession, path: str) -> dict[int, str]:
+    """Batch folders right below ``path`` by their number."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(hadoop_path):
+        return {}
+    names = [s.getPath().getName() for s in system.listStatus(hadoop_path)]
+    return {int(n.partition("=")[2]): f"{path}/{n}" for n in names if n.startswith(f"{BATCH}=")}
+
+
 def _results(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
-    """All micro-batch folders below ``out`` with the number of their batch."""
+    """All micro-batch folders below ``out``, and the last compacted one, with their batch numbers."""
     whole = T.StructType(schema.fields + [T.StructField(BATCH, T.LongType())])
-    return spark.read.schema(whole).parquet(f"{out}/data")
+    last = _compacted(spark, out)
+    frames = [spark.read.schema(schema).parquet(path).withColumn(BATCH, F.lit(n).cast("long")) for n, path in last.items()]
+    if _folders(spark, f"{out}/data"):
+        after = max(last, default=-1)
+        frames.append(spark.read.schema(whole).parquet(f"{out}/data").filter(F.col(BATCH) > after))
+    if not frames:
+        return spark.createDataFrame([], whole)
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+
+def _compacted(spark: SparkSession, out: str) -> dict[int, str]:
+    """The newest compacted folder that was written to its end."""
+    found = {n: p for n, p in _folders(spark, f"{out}/compact").items() if path_exists(spark, f"{p}/_SUCCESS")}
+    return {max(found): found[max(found)]} if found else {}
+
+
+def _compact(spark: SparkSession, out: str, latest: DataFrame) -> None:
+    """Replace the batch folders by ``latest``, what they add up to. A crash leaves the old folders
+    or both; both read the same."""
+    batches, older = _folders(spark, f"{out}/data"), _folders(spark, f"{out}/compact")
+    if not batches:
+        return
+    last = max(batches)
+    latest.write.mode("overwrite").parquet(f"{out}/compact/{BATCH}={last}")
+    for number, path in [*batches.items(), *older.items()]:
+        if path != f"{out}/compact/{BATCH}={last}" and number <= last:
+            storage.delete(spark, path)
 
 
 def append(stream: DataFrame, out: str) -> DataFrame:
@@ -62,19 +99,22 @@ def append(stream: DataFrame, out: str) -> DataFrame:
 
 
 def keep_latest(aggregated: DataFrame, out: str, keys: list[str]) -> DataFrame:
-    """Running aggregate: each micro-batch adds the groups that changed, the last value counts."""
+    """Running aggregate: each micro-batch adds the groups that changed, the last value counts. At
+    the end of a run the batches are compacted to one row per group."""
 
     def sink(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/data/{BATCH}={number}")
 
+    spark = aggregated.sparkSession
     _run(aggregated, out, "update", sink)
-    rows = _results(aggregated.sparkSession, out, aggregated.schema)
     values = [c for c in aggregated.columns if c not in keys]
-    return (
-        rows.groupBy(*keys)
-        .agg(F.max_by(F.struct(*values), F.col(BATCH)).alias("_last"))
-        .select(*keys, "_last.*")
-    )
+
+    def latest() -> DataFrame:
+        rows = _results(spark, out, aggregated.schema).groupBy(*keys)
+        return rows.agg(F.max_by(F.struct(*values), F.col(BATCH)).alias("_last")).select(*keys, "_last.*")
+
+    _compact(spark, out, latest())
+    return _results(spark, out, aggregated.schema).drop(BATCH)
 
 
 def running_totals(stream: DataFrame, out: str, key: str, sums: dict[str, Column]) -> DataFrame:
@@ -97,11 +137,11 @@ def request_rate(
     column: str = "ts",
     window: str = "60 seconds",
     step: str = "10 seconds",
-    late: str = "10 minutes",
 ) -> DataFrame:
-    """Requests per sliding window. ``column`` is cast to a timestamp with zone, which
-    watermarks need; the session time zone should be UTC."""
-    timed = stream.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, late)
+    """Requests per sliding window. Landed files have no order in time, so there is no watermark:
+    the state keeps every window. ``column`` is cast to a timestamp with zone; the session time
+    zone should be UTC."""
+    timed = stream.withColumn(column, F.col(column).cast("timestamp"))
     counts = (
         timed.groupBy(F.window(column, window, step).alias("w"))
         .agg(F.count(F.lit(1)).alias("requests"))
@@ -115,15 +155,19 @@ def request_rate(
 
 
 def merge(stream: DataFrame, out: str, key: str, order_by: list[str]) -> DataFrame:
-    """Append-only merge: a micro-batch adds the keys that no earlier one has."""
-    schema = stream.schema
+    """Append-only merge: a micro-batch adds the keys that no earlier one has, each with its first
+    row of that batch. The keys seen are in the state store, so a batch costs what it holds.
+
+    All rows of a batch have the batch's time, so a group whose oldest and newest time agree is new.
+    """
+    schema, time = stream.schema, F.current_timestamp()
+    first = F.min(F.struct(*order_by, *[c for c in stream.columns if c not in order_by]))
+    grouped = stream.withColumn("_time", time).groupBy(F.col(key).alias("_key"))
+    seen = grouped.agg(first.alias("_first"), F.min("_time").alias("_old"), F.max("_time").alias("_new"))
 
     def sink(batch: DataFrame, number: int) -> None:
-        new = first_seen(batch, key, order_by)
-        if number > 0:
-            earlier = _results(batch.sparkSession, out, schema).filter(F.col(BATCH) < number)
-            new = pending(new, earlier, key)
+        new = batch.filter("_old = _new").select("_first.*").select(*schema.fieldNames())
         new.write.mode("overwrite").parquet(f"{out}/data/{BATCH}={number}")
 
-    _run(stream, out, "append", sink)
+    _run(seen, out, "update", sink)
     return _results(stream.sparkSession, out, schema).drop(BATCH)
