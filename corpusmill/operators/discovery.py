@@ -332,6 +332,30 @@ def next_threshold(levels: DataFrame, states: DataFrame, current: int) -> DataFr
     )
 
 
+def crawl_step(queries: DataFrame, log: DataFrame, done: DataFrame, levels: DataFrame, current: int) -> DataFrame:
+    """What to run next, from the page log: ``query, next_page, current_min_stars, expanded``.
+
+    ``queries`` are those of the current threshold and ``done`` those finished earlier, told by their
+    text alone. A query goes on at the page its log asks for, one without a log at page 1. Once all
+    are done and there is a lower threshold, the done set and the page map are emptied:
+    every query starts again at page 1 with the lower threshold, and ``expanded`` is true.
+    """
+    frontier = query_frontier(log)
+    finished = done.select("query").unionByName(frontier.filter("status = 'done'").select("query")).distinct()
+    asked = queries.select("query").distinct()
+    marked = asked.join(finished.withColumn("_done", F.lit(True)), "query", "left")
+    states = marked.select(F.when(F.col("_done"), "done").otherwise("open").alias("status"))
+    gate = next_threshold(levels, states, current).select(
+        F.col("next_level").alias("current_min_stars"), (F.col("next_level") != F.col("current")).alias("expanded")
+    )
+    pages = marked.join(frontier.select("query", "next_page"), "query", "left")
+    whole = pages.join(F.broadcast(gate))  # one row
+    again = F.col("expanded")
+    page = F.when(again, F.lit(1)).otherwise(F.coalesce("next_page", F.lit(1))).cast("long")
+    todo = whole.filter(again | F.col("_done").isNull())
+    return todo.select("query", page.alias("next_page"), "current_min_stars", "expanded")
+
+
 # --- budgets and running values -------------------------------------------------------
 
 

@@ -84,10 +84,11 @@ def token_counter(
     """
     body = text.truncate(text.lossy_text(F.col("content")), max_chars)
     some = F.length("text") > 0
+    wanted_text = F.when(some, F.col("text"))  # null, so that no tokenizer sees an empty text
     counted = (
         files.filter(~paths.under_git_like(F.col("dir_name"), F.col("file_path")) & (F.col("size") <= max_size))
         .withColumn("text", body)
-        .select("dir_name", F.when(some, count_tokens(F.col("text"), tokenizer)).alias("tokens"), some.alias("some"))
+        .select("dir_name", count_tokens(wanted_text, tokenizer).alias("tokens"), some.alias("some"))
         .groupBy("dir_name")
         .agg(F.sum("tokens").alias("tokens"), F.count_if("some").alias("files_processed"))
     )
@@ -120,39 +121,82 @@ def file_tokens(
     counts = F.col("class").isin("code", "text") & token_eligible(
         F.col("ext"), F.col("size"), txt_cap=txt_cap, size_cap=size_cap
     )
-    body = F.when(counts, text.lossy_text(F.col("content")))
-    tokens = F.when(text.within_length(F.col("_text"), max_chars), count_tokens(F.col("_text"), tokenizer))
+    lossy = F.when(counts, text.lossy_text(F.col("content")))
+    # blanked before the call, as a tokenizer in Python sees every row
+    fitting = F.when(text.within_length(F.col("_lossy"), max_chars), F.col("_lossy"))
     return (
-        typed.withColumn("_text", body)
-        .withColumn("tokens", F.coalesce(tokens, F.lit(0).cast("long")))
-        .drop("_text")
+        typed.withColumn("_lossy", lossy)
+        .withColumn("_text", fitting)
+        .withColumn("tokens", F.coalesce(count_tokens(F.col("_text"), tokenizer), F.lit(0).cast("long")))
+        .drop("_lossy", "_text")
     )
 
 
-def repo_stats(files: DataFrame, *, purge: bool = True, caps: dict[str, int] | None = None, **options) -> DataFrame:
-    """Statistics of every project directory, after a purge unless ``purge`` is off.
-
-    Everything that is left counts towards files and bytes, ``.git`` included. Tokens count for
-    code and text suffixes; ``python_files`` are code files of any language with tokens.
-    """
-    planned = purge_plan(files, **(caps or {}))
-    dropped = (F.col("action") == "drop") & F.lit(purge)
-    # content of dropped files is blanked before it is tokenized
-    kept_only = planned.withColumn("content", F.when(~dropped, F.col("content"))).withColumn("_dropped", dropped)
-    counted = file_tokens(kept_only, **options)
+def listing_stats(planned: DataFrame) -> DataFrame:
+    """Files and bytes of every project directory, of a listing with ``_dropped``."""
     kept = ~F.col("_dropped")
-    some = F.col("tokens") > 0
-    return counted.groupBy("dir_name").agg(
+    return planned.groupBy("dir_name").agg(
         F.count_if(kept).alias("total_files"),
-        F.count_if(some & (F.col("class") == "code")).alias("python_files"),
-        F.sum("tokens").alias("tokens"),
         F.sum(F.when(kept, F.col("size")).otherwise(0)).alias("size_bytes"),
         F.count_if(F.col("_dropped")).alias("files_deleted"),
         F.sum(F.when(F.col("_dropped"), F.col("size")).otherwise(0)).alias("bytes_freed"),
+    )
+
+
+def content_stats(counted: DataFrame) -> DataFrame:
+    """Tokens of every project directory, of files with ``class`` and ``tokens``."""
+    some = F.col("tokens") > 0
+    return counted.groupBy("dir_name").agg(
+        F.count_if(some & (F.col("class") == "code")).alias("python_files"),
+        F.sum("tokens").alias("tokens"),
         F.count_if(some).alias("files_processed"),
     )
 
 
+def with_dropped(files: DataFrame, purge: bool, caps: dict[str, int] | None) -> DataFrame:
+    """Add ``_dropped``: whether a purge removes the file."""
+    planned = purge_plan(files, **(caps or {}))
+    return planned.withColumn("_dropped", (F.col("action") == "drop") & F.lit(purge)).drop("action")
+
+
+STATS = "total_files python_files tokens size_bytes files_deleted bytes_freed files_processed".split()
+
+
+def joined_stats(projects: DataFrame | None, listed: DataFrame, counted: DataFrame) -> DataFrame:
+    """Both halves of the statistics; a project of ``projects`` without files gets zeros."""
+    rows = listed if projects is None else projects.select("dir_name").join(listed, "dir_name", "left")
+    whole = rows.join(counted, "dir_name", "left")
+    return whole.select("dir_name", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in STATS))
+
+
+def repo_stats(
+    files: DataFrame,
+    projects: DataFrame | None = None,
+    *,
+    purge: bool = True,
+    caps: dict[str, int] | None = None,
+    **options,
+) -> DataFrame:
+    """Statistics of every project directory, after a purge unless ``purge`` is off.
+
+    Everything that is left counts towards files and bytes, ``.git`` included. Tokens count for
+    code and text suffixes; ``python_files`` are code files of any language with tokens. With
+    ``projects`` every project of that list has a row. For files on storage see
+    :func:`corpusmill.plans.build.stats_tree`, which reads the content of countable files only.
+    """
+    dropped = with_dropped(files, purge, caps)
+    counted = file_tokens(dropped.filter(~F.col("_dropped")), **options)
+    return joined_stats(projects, listing_stats(dropped), content_stats(counted))
+
+
+def countable(listing: DataFrame, *, txt_cap: int = TXT_SIZE_CAP, size_cap: int = MAX_FILE_SIZE) -> DataFrame:
+    """Files of a listing whose content the statistics need."""
+    ext = paths.suffix(paths.basename(F.col("file_path")))
+    typed = listing.withColumn("_ext", ext)
+    small = token_eligible(F.col("_ext"), F.col("size"), txt_cap=txt_cap, size_cap=size_cap)
+    return typed.filter(extension_class(F.col("_ext")).isin("code", "text") & small).drop("_ext")
+
+
 def recalc_totals(db: DataFrame, stored_tokens: Column) -> DataFrame:
     """Totals from the nested statistics, and whether the stored token total has drifted."""
     return db.agg(

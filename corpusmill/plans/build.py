@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill import staging, storage
 from corpusmill.constants import CHUNK_ROWS, MAX_FILE_SIZE, SHARD_MAX, SHARD_MIN, SHARD_TARGET
 from corpusmill.functions.tokens import Tokenizer
-from corpusmill.operators import extract, packing, rollup
+from corpusmill.functions import paths
+from corpusmill.operators import extract, packing, repo_stats, rollup
 from corpusmill.operators.repo_stats import token_counter, uncounted
-from corpusmill.schemas import INDEX
+from corpusmill.schemas import INDEX, REPO
 from corpusmill.sinks import shards, tables
 from corpusmill.sources import state, tree
 
@@ -107,3 +108,42 @@ def count_tree(
     if already is not None:
         listing, projects = uncounted(listing, already), uncounted(projects, already)
     return token_counter(tree.read_content(listing, root), projects, tokenizer=tokenizer)
+
+
+def stats_tree(
+    spark: SparkSession,
+    root: str,
+    *,
+    purge: bool = True,
+    caps: dict[str, int] | None = None,
+    tokenizer: Tokenizer = "regex",
+) -> DataFrame:
+    """Statistics of every project below ``root``, empty ones included.
+
+    Files and bytes come from the listing; only files that count towards tokens are read.
+    """
+    listing = staging.stage(repo_stats.with_dropped(tree.scan_tree(spark, root), purge, caps), "listing")
+    wanted = repo_stats.countable(listing.filter(~F.col("_dropped")))
+    counted = repo_stats.file_tokens(tree.read_content(wanted, root), tokenizer=tokenizer)
+    return repo_stats.joined_stats(
+        tree.list_projects(spark, root), repo_stats.listing_stats(listing), repo_stats.content_stats(counted)
+    )
+
+
+def record_tree(
+    spark: SparkSession, root: str, db: DataFrame, *, at: Column, stored_tokens: Column | None = None, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Records of all repositories after a look at the tree, and their totals.
+
+    Repositories in ``db`` get the statistics of their folder, folders that ``db`` does not name get
+    a record of their own, and records without a folder stay. ``stored_tokens`` is the total that
+    the state document holds.
+    """
+    stats = staging.stage(stats_tree(spark, root, **options), "tree-stats")
+    named = stats.withColumn("full_name", paths.dir_to_project(F.col("dir_name")))
+    new = F.struct(*(F.col(f"_new.{c}").alias(c) for c in REPO["stats"].dataType.fieldNames()))
+    fresh = named.select("full_name", F.struct(*stats.columns).alias("_new"))
+    known = db.join(fresh, "full_name", "inner").withColumn("stats", new).drop("_new").withColumn("cloned_at", at)
+    records = repo_stats.upsert_repos(db.to(REPO), known.to(REPO))
+    whole = staging.stage(repo_stats.backfill_repos(stats, records, root=root, at=at), "repos")
+    return whole, repo_stats.recalc_totals(whole, F.lit(None).cast("long") if stored_tokens is None else stored_tokens)

@@ -275,6 +275,50 @@ def short_page_stop(spark, sf):
     return D.short_page_stop(page_counts(spark, sf))
 
 
+@query(
+    "pending_queries_by_text",
+    _sql(V.PAGE_LOG_SQL)
+    + _LAST_SQL
+    + """, v_state AS (SELECT *, found > 0 AND CASE WHEN new = 0 THEN page < 5 ELSE page < 10 END AS goes_on FROM v_last)
+    SELECT query, p_type, p_size FROM (SELECT DISTINCT p_brand AS query, p_type, p_size FROM part
+      UNION ALL SELECT query, 'logged', 0 FROM v_last)
+    WHERE query NOT IN (SELECT query FROM v_state WHERE NOT goes_on)""",
+)
+def pending_queries_by_text(spark, sf):
+    """Queries are done by their text alone, whatever sort they were to run with."""
+    parts = V.table(spark, sf, "part").select(F.col("p_brand").alias("query"), "p_type", "p_size").distinct()
+    frontier = query_frontier(spark, sf)
+    logged = frontier.select("query", F.lit("logged").alias("p_type"), F.lit(0).alias("p_size"))
+    done = frontier.filter("status = 'done'")
+    return D.pending(parts.unionByName(logged), done, "query")
+
+
+@query(
+    "crawl_step",
+    _sql(V.PAGE_LOG_SQL, V.REPOS_SQL, _LEVELS_SQL)
+    + _LAST_SQL
+    + """, v_state AS (SELECT *, found > 0 AND CASE WHEN new = 0 THEN page < 5 ELSE page < 10 END AS goes_on FROM v_last),
+      v_asked AS (SELECT query FROM v_last UNION SELECT p_brand FROM part),
+      v_done AS (SELECT query FROM v_state WHERE NOT goes_on UNION SELECT p_brand FROM part WHERE p_size > 25),
+      v_marked AS (SELECT a.query, d.query IS NOT NULL AS done FROM v_asked a LEFT JOIN v_done d ON d.query = a.query),
+      v_step AS (SELECT level, lead(level) OVER (ORDER BY level DESC) AS lower FROM v_levels),
+      v_gate AS (SELECT level, CASE WHEN (SELECT count(*) FROM v_marked WHERE NOT done) = 0 AND lower IS NOT NULL
+        THEN lower ELSE level END AS next_level FROM v_step WHERE level = (SELECT max(level) FROM v_levels))
+    SELECT m.query, CAST(CASE WHEN g.next_level <> g.level THEN 1 ELSE coalesce(CASE WHEN s.goes_on THEN s.page + 1 END, 1)
+        END AS BIGINT) AS next_page, g.next_level AS current_min_stars, g.next_level <> g.level AS expanded
+    FROM v_marked m LEFT JOIN v_state s ON s.query = m.query, v_gate g
+    WHERE g.next_level <> g.level OR NOT m.done""",
+)
+def crawl_step(spark, sf):
+    part = V.table(spark, sf, "part")
+    brands = part.select(F.col("p_brand").alias("query"))
+    log = page_counts(spark, sf)
+    done = part.filter("p_size > 25").select(F.col("p_brand").alias("query"))
+    levels = _levels(spark, sf)
+    highest = levels.agg(F.max("level")).first()[0]
+    return D.crawl_step(brands.unionByName(log.select("query")), log, done, levels, highest)
+
+
 @query(
     "next_threshold",
     _sql(V.PAGE_LOG_SQL, V.REPOS_SQL, _LEVELS_SQL)

@@ -503,7 +503,7 @@ def ext_class(spark, sf):
     return files.select("dir_name", "file_path", "ext", repo_stats.extension_class(F.col("ext")).alias("class"))
 
 
-_STATS_SQL = (
+STATS_SQL = (
     _TYPED_SQL
     + f""",
 v_tokens AS (
@@ -526,7 +526,7 @@ v_stats AS (
 )
 
 
-@query("repo_stats", _with(_STATS_SQL, "SELECT * FROM v_stats"))
+@query("repo_stats", _with(STATS_SQL, "SELECT * FROM v_stats"))
 def repo_stats_query(spark, sf):
     return repo_stats.repo_stats(V.tree_table(spark, sf))
 
@@ -550,7 +550,7 @@ def _repo_db(spark, sf):
 @query(
     "recalc_totals",
     _with(
-        _STATS_SQL,
+        STATS_SQL,
         """SELECT CAST(sum(tokens) AS BIGINT) AS total_tokens, CAST(sum(python_files) AS BIGINT) AS python_files,
           count(*) AS repos, CAST(max(tokens) AS BIGINT) AS stored_tokens, sum(tokens) <> max(tokens) AS drifted
         FROM v_stats""",
@@ -563,7 +563,7 @@ def recalc_totals(spark, sf):
 @query(
     "backfill_repos",
     _with(
-        _STATS_SQL,
+        STATS_SQL,
         """, v_db AS (SELECT DISTINCT t.dir_name FROM v_tree t JOIN labels l USING (doc_id) WHERE l.toxic = 1)
         SELECT regexp_replace(s.dir_name, '_', '/') AS full_name,
           CASE WHEN d.dir_name IS NULL THEN 'unknown' ELSE 'https://example.org/' END AS url,

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from corpusmill import staging
 from corpusmill.operators import packing
 from corpusmill.plans import views as V
-from corpusmill.plans.build import build_dataset, count_tree
+from corpusmill.plans.build import build_dataset, count_tree, stats_tree
+from corpusmill.plans.q_files import STATS_SQL
 from corpusmill.plans.registry import query
 from corpusmill.sinks import shards, tables
 
@@ -123,3 +124,13 @@ def dataset_build(spark, sf):
 @query("tree_token_counts", f"WITH {V.COUNTED_SQL} SELECT project_name, tokens, files_processed FROM v_counted")
 def tree_token_counts(spark, sf):
     return count_tree(spark, V.tree_folder(spark, sf))
+
+
+@query(
+    "tree_repo_stats",
+    f"""WITH {STATS_SQL.strip()}
+    SELECT * FROM v_stats WHERE dir_name NOT LIKE '.%'""",
+)
+def tree_repo_stats(spark, sf):
+    """Statistics of the projects of the tree of files, content read for countable files only."""
+    return stats_tree(spark, V.tree_folder(spark, sf))

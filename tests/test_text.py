@@ -175,3 +175,38 @@ def test_missing_vocabulary_is_an_error(spark):
 def test_eta(spark):
     cases = {86400.0 * 3: "3.0 days", 7300.0: "2.0 hours", 90.0: "1.5 minutes", 86399.0: "24.0 hours"}
     assert column(spark, list(cases), "double", units.eta_text) == list(cases.values())
+
+
+def test_user_tokenizers_never_see_a_null(spark):
+    from corpusmill.functions.tokens import count_tokens
+
+    def lengths(batches):
+        for batch in batches:
+            assert batch.notna().all()
+            yield batch.str.len()
+
+    df = spark.createDataFrame([("ab",), (None,), ("",), ("abcd",)], "t string").repartition(2)
+    got = sorted(df.select("t", count_tokens(F.col("t"), lengths).alias("n")).collect(), key=str)
+    assert [tuple(r) for r in got] == sorted([("ab", 2), (None, None), ("", 0), ("abcd", 4)], key=str)
+
+
+def test_bpe_with_a_tiny_vocabulary(spark):
+    import tiktoken
+
+    from corpusmill.functions.tokens import count_tokens
+
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"abc": 257, b"  ": 258}
+    tiny = tiktoken.Encoding("tiny", pat_str=r"\s+|\S+", mergeable_ranks=ranks, special_tokens={"<|end|>": 259})
+    texts = ["abc", "ab ab", "", "x<|end|>", None, "é  abcab"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(3)
+    got = {r.i: r.n for r in df.select("i", count_tokens(F.col("t"), tiny).alias("n")).collect()}
+    wanted = {i: None if t is None else len(tiny.encode_ordinary(t)) for i, t in enumerate(texts)}
+    assert got == wanted and got[0] == 1
+
+
+def test_an_absent_vocabulary_is_an_error(spark):
+    from corpusmill.functions.tokens import count_tokens
+
+    df = spark.createDataFrame([("a",)], "t string")
+    with pytest.raises(Exception, match="no_such_vocabulary"):
+        df.select(count_tokens(F.col("t"), "no_such_vocabulary")).collect()
