@@ -96,6 +96,27 @@ CRAWL_LICENSES = ["mit", "apache-2.0", "gpl-3.0", "bsd-3-clause"]
 CRAWL_SIZES = [">=50000", ">=20000", ">=10000", ">=5000"]
 CRAWL_FILENAMES = ["train.py", "model.py", "inference.py", "dataset.py", "network.py"]
 CRAWL_RECENT_DATE = "2023-01-01"
+CRAWL_RECENT_TOPICS = 15
+CRAWL_ARCHIVED = [("machine-learning", "ML"), ("deep-learning", "DL")]
+
+# --- Fixed values: query and description of the nine crawl query families -------------
+CRAWL_TEMPLATES = {
+    "topic": ("language:python topic:{topic} stars:{stars}", "ML/DL: {topic} ({label} stars, {sort_label})"),
+    "recent": (
+        "language:python topic:{topic} stars:{stars} pushed:>{date}",
+        "Recent: {topic} ({label} stars, updated 2023+)",
+    ),
+    "broad": ("language:python {topic} stars:{stars}", "Broad: {topic} ({label} stars, {sort_label})"),
+    "year": ("language:python {topic} stars:{stars} created:{year}", "Year {year}: {topic} ({label} stars)"),
+    "readme": ('language:python "{word}" in:readme stars:{stars}', 'README: "{word}" ({label} stars)'),
+    "license": (
+        "language:python machine-learning stars:{stars} license:{license}",
+        "License {license}: ML ({label} stars)",
+    ),
+    "size": ("language:python machine-learning size:{size}", "Large repos: size {size}KB ({sort_label})"),
+    "filename": ("language:python filename:{filename} stars:{stars}", "Filename {filename} ({label} stars)"),
+    "archived": ("language:python {topic} stars:{stars} archived:true", "Archived {short} repos ({label} stars)"),
+}
 
 # --- Fixed values: patterns -----------------------------------------------------------
 RECORD_PATTERN = r'(?s)<div[^>]*search-title[^>]*>.*?href="/([^/]+/[^/"]+)"'

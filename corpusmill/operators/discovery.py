@@ -14,6 +14,9 @@ from corpusmill.operators.ordering import running_sums
 
 # --- query grids ----------------------------------------------------------------------
 
+#: Parts of a query that are ranked on their own.
+SALTS = 32
+
 
 def _array(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
@@ -114,10 +117,11 @@ def crawl_queries(
     def sorted_by(rows: DataFrame, sorts: list[tuple[str, str]] = C.CRAWL_SORT_LABELS) -> DataFrame:
         return rows.select("*", pairs(sorts, "sort", "sort_label"))
 
-    def family(name: str, rows: DataFrame, query: str, description: str, sort: str | None = None) -> DataFrame:
+    def family(name: str, rows: DataFrame, sort: str | None = None) -> DataFrame:
         def filled(template: str) -> Column:
             return fill(template, **{c: F.col(c) for c in rows.columns if "{" + c + "}" in template})
 
+        query, description = C.CRAWL_TEMPLATES[name]
         return rows.select(
             F.lit(name).alias("family"),
             filled(query).alias("query"),
@@ -126,68 +130,17 @@ def crawl_queries(
             F.lit("desc").alias("order"),
         )
 
-    archived = one.select(pairs([("machine-learning", "ML"), ("deep-learning", "DL")], "topic", "short"))
+    dated = topics.filter(F.col("position") <= C.CRAWL_RECENT_TOPICS).withColumn("date", F.lit(C.CRAWL_RECENT_DATE))
     families = [
-        family(
-            "topic",
-            sorted_by(ranged(topics, 3)),
-            "language:python topic:{topic} stars:{stars}",
-            "ML/DL: {topic} ({label} stars, {sort_label})",
-        ),
-        family(
-            "recent",
-            ranged(topics.filter("position <= 15"), 2),
-            "language:python topic:{topic} stars:{stars} pushed:>" + C.CRAWL_RECENT_DATE,
-            "Recent: {topic} ({label} stars, updated 2023+)",
-            "updated",
-        ),
-        family(
-            "broad",
-            sorted_by(ranged(listed("broad", "topic"), 3)),
-            "language:python {topic} stars:{stars}",
-            "Broad: {topic} ({label} stars, {sort_label})",
-        ),
-        family(
-            "year",
-            ranged(listed("core", "topic", listed("year", "year")), 2),
-            "language:python {topic} stars:{stars} created:{year}",
-            "Year {year}: {topic} ({label} stars)",
-            "stars",
-        ),
-        family(
-            "readme",
-            ranged(listed("readme", "word"), 2),
-            'language:python "{word}" in:readme stars:{stars}',
-            'README: "{word}" ({label} stars)',
-            "stars",
-        ),
-        family(
-            "license",
-            ranged(listed("license", "license"), 2),
-            "language:python machine-learning stars:{stars} license:{license}",
-            "License {license}: ML ({label} stars)",
-            "stars",
-        ),
-        family(
-            "size",
-            sorted_by(listed("size", "size"), C.CRAWL_SORT_LABELS[:2]),
-            "language:python machine-learning size:{size}",
-            "Large repos: size {size}KB ({sort_label})",
-        ),
-        family(
-            "filename",
-            ranged(listed("filename", "filename"), 2),
-            "language:python filename:{filename} stars:{stars}",
-            "Filename {filename} ({label} stars)",
-            "stars",
-        ),
-        family(
-            "archived",
-            ranged(archived, 2),
-            "language:python {topic} stars:{stars} archived:true",
-            "Archived {short} repos ({label} stars)",
-            "stars",
-        ),
+        family("topic", sorted_by(ranged(topics, 3))),
+        family("recent", ranged(dated, 2), "updated"),
+        family("broad", sorted_by(ranged(listed("broad", "topic"), 3))),
+        family("year", ranged(listed("core", "topic", listed("year", "year")), 2), "stars"),
+        family("readme", ranged(listed("readme", "word"), 2), "stars"),
+        family("license", ranged(listed("license", "license"), 2), "stars"),
+        family("size", sorted_by(listed("size", "size"), C.CRAWL_SORT_LABELS[:2])),
+        family("filename", ranged(listed("filename", "filename"), 2), "stars"),
+        family("archived", ranged(one.select(pairs(C.CRAWL_ARCHIVED, "topic", "short")), 2), "stars"),
     ]
     return reduce(DataFrame.unionByName, families)
 
@@ -247,10 +200,17 @@ def query_repo_edges(results: DataFrame, repos: DataFrame) -> DataFrame:
 
 
 def top_per_query(hits: DataFrame, metric: str, tie: str, limit: int = C.MAX_PAGES * C.PAGE_SIZE) -> DataFrame:
-    """Best ``limit`` hits of each query. Spark cuts each map partition to ``limit`` rows per
-    query before the shuffle, as long as ``spark.sql.optimizer.windowGroupLimitThreshold`` allows."""
-    ranked = Window.partitionBy("query").orderBy(F.desc(metric), F.asc(tie))
-    return hits.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= limit)
+    """Best ``limit`` hits of each query, ranked first within ``SALTS`` parts of a query, then among
+    what these leave, so that a query with very many hits is cut down by many tasks. Spark cuts each
+    map partition before either shuffle, as long as
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` allows."""
+    order = [F.desc(metric), F.asc(tie)]
+    parted = Window.partitionBy("query", "_part").orderBy(*order)
+    part = F.pmod(F.xxhash64(tie), F.lit(SALTS))
+    survivors = hits.withColumn("_part", part).withColumn("_rank", F.row_number().over(parted))
+    survivors = survivors.filter(F.col("_rank") <= limit).drop("_part", "_rank")
+    ranked = Window.partitionBy("query").orderBy(*order)
+    return survivors.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= limit)
 
 
 # --- page log -------------------------------------------------------------------------

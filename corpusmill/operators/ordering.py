@@ -55,8 +55,8 @@ def running_sums(
     """Add running sums, current row included, in the order of ``order_by``.
 
     ``sums`` maps a new column to the long column it adds up, or to None to count rows. The
-    result is a staged table. ``df`` is read twice (range bounds, then data), so stage it first
-    if it is costly. ``rows``, if known, raises the number of ranges for large tables.
+    result is a staged table. ``df`` is read to be counted, for range bounds, and for its data, so
+    stage it first if it is costly. ``rows`` saves the count if it is known.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     schema = T.StructType(
@@ -64,7 +64,7 @@ def running_sums(
         + [T.StructField(RANGE, T.IntegerType())]
         + [T.StructField(f"_running_{i}", T.LongType()) for i in range(len(sums))]
     )
-    ranges = (rows or 0) // ROWS_PER_RANGE
+    ranges = (df.count() if rows is None else rows) // ROWS_PER_RANGE
     if ranges > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         ranged = df.repartitionByRange(ranges, *order)
     else:

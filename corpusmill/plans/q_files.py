@@ -441,8 +441,12 @@ def token_counts_read(spark, sf):
 
 # --- repository statistics ------------------------------------------------------------
 
-_CODE = "('.py','.pyx','.pyi','.pyw','.ipynb','.js','.ts','.jsx','.tsx','.java','.cpp','.c','.h','.hpp','.cs','.go','.rs','.rb','.php','.swift','.kt','.scala','.r','.jl','.sh','.bash','.zsh','.fish')"
-_TEXT = "('.md','.rst','.txt','.json','.yaml','.yml','.toml','.xml','.cfg','.ini','.conf','.csv','.tsv','.html','.css','.scss','.sass','.less','.lock','.requirements','.gitignore','.gitattributes','.editorconfig','.env')"
+def _sql_list(values: list[str]) -> str:
+    return "(" + ",".join(f"'{v}'" for v in values) + ")"
+
+
+_CODE, _TEXT, _KEEP = map(_sql_list, (C.CODE_EXTENSIONS, C.TEXT_EXTENSIONS, C.ALWAYS_KEEP_NAMES))
+
 
 def _typed_sql(file_cap: int, txt_cap: int, json_cap: int) -> str:
     return (
@@ -457,7 +461,7 @@ v_class AS (
 ),
 v_action AS (
   SELECT *, CASE WHEN list_contains(string_split(file_path, '/'), '.git') THEN 'ignore'
-    WHEN upper(name) IN ('LICENSE','NOTICE','COPYING','AUTHORS') OR name IN ('.git','.github') THEN 'keep'
+    WHEN upper(name) IN {_KEEP} OR name IN {_KEEP} THEN 'keep'
     WHEN ext = '.txt' AND size > {txt_cap} THEN 'drop'
     WHEN ext = '.json' AND size > {json_cap} THEN 'drop'
     WHEN class <> 'other' THEN 'keep' ELSE 'drop' END AS action

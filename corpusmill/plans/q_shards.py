@@ -69,20 +69,14 @@ def shards_pending(spark, sf):
     )
 
 
-_WRITTEN: dict[tuple[str, str], DataFrame] = {}
-
-
 def _manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """Archives of the strictly valid files of the tree, written once per application."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _WRITTEN:
-        _WRITTEN[key] = shards.write_shards(
-            _assigned(V.tree_index(spark, sf)),
-            root=V.tree_folder(spark, sf),
-            archives=staging.new_path(spark, "archives"),
-            manifest=staging.new_path(spark, "manifest"),
-        )
-    return _WRITTEN[key]
+    """Archives of the strictly valid files of the tree."""
+    return shards.write_shards(
+        staging.stage(_assigned(V.tree_index(spark, sf)), "assigned"),
+        root=V.tree_folder(spark, sf),
+        archives=staging.new_path(spark, "archives"),
+        manifest=staging.new_path(spark, "manifest"),
+    )
 
 
 _FINAL = "SELECT project_name, file_path, tokens, size, sha256, shard_id FROM v_assigned"

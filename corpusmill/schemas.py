@@ -79,16 +79,6 @@ REPO = _struct(
     ("note", _S),
 )
 
-QUERY_RESULT = _struct(
-    ("query", _S),
-    ("sort", _S),
-    ("order", _S),
-    ("page", T.IntegerType()),
-    ("repo_ids", T.ArrayType(_S)),
-    ("searched_at", T.TimestampNTZType()),
-    ("found_new", _L),
-)
-
 PROGRESS = _struct(
     ("total_tokens", _L),
     ("repos_cloned", _L),
