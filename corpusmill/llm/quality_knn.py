@@ -91,19 +91,29 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
+def leading(rows: np.ndarray, size: int, rounds: int = 12) -> np.ndarray:
+    """The ``size`` leading right singular vectors of ``rows``, as columns, by subspace iteration.
+
+    Needs a few times ``size`` vectors beside ``rows`` and no square matrix of either side.
+    """
+    start = np.random.default_rng(0).standard_normal((rows.shape[1], size), np.float32)
+    basis = np.linalg.qr(start)[0]
+    for _ in range(rounds):
+        basis = np.linalg.qr(rows.T @ (rows @ basis))[0]
+    turn = np.linalg.svd(rows @ basis, full_matrices=False)[2]
+    return basis @ turn.T
+
+
 def fit(counts: np.ndarray, labels: np.ndarray) -> Model:
     """Latent-semantic vectors of the sample: inverse document frequencies and a truncated SVD."""
     n = len(labels)
     if not n:
         return Model(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0, np.float32), 0.5)
-    weight = np.log((1 + n) / (1 + (counts > 0).sum(0))) + 1
-    weighted = unit(counts * weight)
-    gram = weighted @ weighted.T  # rows by rows; its eigenvectors are the left singular vectors
-    values, left = np.linalg.eigh(gram.astype(np.float64))
-    top = np.argsort(-values)[: min(DIMENSIONS, n)]
-    top = top[values[top] > 1e-9 * max(values.max(), 1e-12)]
-    right = weighted.T @ (left[:, top] / np.sqrt(values[top]))
-    project = (weight[:, None] * right).astype(np.float32)
+    weight = (np.log((1 + n) / (1 + np.count_nonzero(counts, axis=0))) + 1).astype(np.float32)
+    weighted = counts * weight
+    weighted /= np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
+    project = (weight[:, None] * leading(weighted, min(DIMENSIONS, n))).astype(np.float32)
+    del weighted
     return Model(project, unit(counts @ project).astype(np.float32), labels.astype(np.float32), float(labels.mean()))
 
 
@@ -154,7 +164,7 @@ def learn(
             )
 
     taken = sample.mapInArrow(run, "label int, rank bigint, terms binary, weights binary")
-    rows = sorted((r.rank, r.label, bytes(r.terms), bytes(r.weights)) for r in taken.collect())
+    rows = sorted(((r.rank, r.label, r.terms, r.weights) for r in taken.collect()), key=lambda r: (r[0], r[1], bytes(r[2])))
     counts = np.zeros((len(rows), TERMS), np.float32)
     for i, (_, _, terms, weights) in enumerate(rows):
         counts[i, np.frombuffer(terms, np.int32)] = np.frombuffer(weights, np.float32)
