@@ -16,8 +16,6 @@ as they come; an empty table gives an empty table. Other columns are left alone.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +30,6 @@ RELATIVE = 0.2
 HASHES = 2
 SLOTS_PER_GRAM = 16
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
 FIELDS = common.struct(lang=common.TEXT, score=common.REAL)
 #: ASCII letters and all bytes of other characters stay, the rest becomes a space.
 SHAPE = bytes(c if chr(c).isalpha() or c >= 0x80 else 32 for c in range(256))
@@ -152,7 +149,7 @@ def identify(df: DataFrame, filters: Filters, text: str = "text", keep: list[str
         known = filters
 
         def compute(texts: list[str]) -> dict[str, pa.Array]:
-            lettered = np.array([LETTER.search(t) is not None for t in texts])
+            lettered = np.array([any(map(str.isalpha, t)) for t in texts])
             names, scores = np.array([UNDETERMINED] * len(texts), object), np.zeros(len(texts))
             if known.langs:
                 hits, _ = known.counts(texts)
