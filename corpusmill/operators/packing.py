@@ -130,17 +130,22 @@ def _taken_starts(
         jumps = marked.withColumn("after_giant", F.coalesce("after_giant", F.lit(False)))
     levels, span = [jumps], shortest
     while span < total:
-        levels.append(staging.stage(_wider(levels[-1], span * 2, reach), "jumps"))
+        wider = _wider(levels[-1], span * 2, reach)
+        # every other level is worked out again where it is needed, which costs less than to write it
+        levels.append(staging.stage(wider, "jumps") if len(levels) % 2 == 0 else wider)
         span *= 2
 
     starts = first.sparkSession.createDataFrame([(0, 0, True)], _START)
-    for jumps in reversed(levels[:-1]):
+    for level in reversed(range(len(levels) - 1)):
+        jumps = levels[level]
         inner = starts.select("at", "shard").join(jumps, "at")
         inner = inner.filter(_div(F.col("at"), span) == _div(F.col("to"), span))
         more = inner.select(
             F.col("to").alias("at"), (F.col("shard") + F.col("hops")).alias("shard"), "after_file"
         )
-        starts = staging.stage(starts.unionByName(more), "starts")
+        starts = starts.unionByName(more)
+        if level % 2 == 0:
+            starts = staging.stage(starts, "starts")
         span //= 2
     return starts, starts.count()
 

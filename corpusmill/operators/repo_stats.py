@@ -31,11 +31,18 @@ def extension_class(ext: Column) -> Column:
 
 
 def purge_action(
-    file_path: Column, size: Column, *, txt_cap: int = TXT_SIZE_CAP, json_cap: int = JSON_SIZE_CAP
+    file_path: Column,
+    size: Column,
+    *,
+    name: Column | None = None,
+    ext: Column | None = None,
+    txt_cap: int = TXT_SIZE_CAP,
+    json_cap: int = JSON_SIZE_CAP,
 ) -> Column:
-    """``ignore`` under ``.git``, else ``keep`` or ``drop``."""
-    name = paths.basename(file_path)
-    ext = paths.suffix(name)
+    """``ignore`` under ``.git``, else ``keep`` or ``drop``. ``name`` and ``ext`` of the file, if there
+    are columns for them, are not worked out again for every use."""
+    name = paths.basename(file_path) if name is None else name
+    ext = paths.suffix(name) if ext is None else ext
     oversized = ((ext == ".txt") & (size > txt_cap)) | ((ext == ".json") & (size > json_cap))
     return (
         F.when(paths.under_git(file_path), "ignore")
@@ -48,7 +55,10 @@ def purge_action(
 
 def purge_plan(listing: DataFrame, **caps: int) -> DataFrame:
     """Listing with the decision on every file."""
-    return listing.withColumn("action", purge_action(F.col("file_path"), F.col("size"), **caps))
+    named = listing.withColumn("_name", paths.basename(F.col("file_path")))
+    typed = named.withColumn("_ext", paths.suffix(F.col("_name")))
+    action = purge_action(F.col("file_path"), F.col("size"), name=F.col("_name"), ext=F.col("_ext"), **caps)
+    return typed.withColumn("action", action).drop("_name", "_ext")
 
 
 def purge_stats(plan: DataFrame) -> DataFrame:
