@@ -91,3 +91,15 @@ def test_upsert_last_write_wins(spark):
     new = record(spark, [("a", "2024-01-02", 10), ("b", "2024-01-01", 20), ("c", "2024-01-01", 30), ("d", "2024-01-01", 40)])
     got = {r.full_name: r.stars for r in repo_stats.upsert_repos(old, new).collect()}
     assert got == {"a": 10, "b": 2, "c": 30, "d": 40}
+
+
+def test_corrupt_chunks_are_named(spark, tmp_path):
+    path = str(tmp_path / "chunks")
+    spark.range(3).selectExpr(
+        "'p' AS project_name", "'f' AS relative_path", "id AS file_size", "'h' AS sha256", "id AS token_count", "'a' AS absolute_path"
+    ).coalesce(1).write.parquet(path)
+    assert state.corrupt_chunks(spark, path).count() == 0
+    (tmp_path / "chunks" / "part-9.parquet").write_bytes(b"PAR1 broken")
+    found = state.corrupt_chunks(spark, path).collect()
+    assert [r.file.rsplit("/", 1)[1] for r in found] == ["part-9.parquet"] and found[0].error
+    assert state.read_chunks(spark, path, skip_corrupt=True).count() == 3
