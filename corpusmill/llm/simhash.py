@@ -31,22 +31,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill import staging
-from corpusmill.llm import common, components, skew
+from corpusmill.llm import common, components, near_copies, skew
+from corpusmill.llm.shingles import SEED, shingle_hashes, words_of
 
 SHINGLE = 3
 DISTANCE = 2
-LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 #: Groups of so many members at most are never split or searched by look-up.
 PAIRWISE = 1500
 #: Larger groups are searched by look-up if they have so many members for each difference to look up.
 LOOKUP = 2
-SEED = 42
 #: ``proofs`` are further fingerprints, of other shingles, that linked rows must agree on.
 FIELDS = common.struct(fingerprint=common.LONG, proofs=T.ArrayType(common.LONG))
 
@@ -67,23 +65,6 @@ class Proof(NamedTuple):
 FIVE_WORDS = Proof(5, 0.8, (SEED, SEED + 1))
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.encode().translate(LOWER).split()
-
-
-def shingle_hashes(words: list[bytes], size: int, seed: int = SEED) -> np.ndarray:
-    """XXH64 of every shingle, repeats included."""
-    if not words:
-        return np.zeros(0, np.uint64)
-    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
-    if len(words) < size:
-        return np.array([digest(joined, seed)], np.uint64)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = np.concatenate([[0], ends[:-1]])[: len(words) - size + 1].tolist()
-    stops = (ends[size - 1 :] - 1).tolist()
-    return np.array([digest(joined[a:b], seed) for a, b in zip(starts, stops, strict=True)], np.uint64)
-
-
 def fingerprint(hashes: np.ndarray) -> int:
     """Bits set in over half of ``hashes``, as a signed number."""
     if not len(hashes):
@@ -330,17 +311,12 @@ def near_duplicates(
     return group_prints(staging.stage(made, "simhash-prints"), distance, proof)
 
 
-def drop_near_duplicates(
-    df: DataFrame, text: str = "text", id: str = "doc_id", distance: int = 4, proof: Proof = FIVE_WORDS
-) -> DataFrame:
-    """One row of each group of near copies, the one with the smallest id (of rows with that id, the
-    first in order of their text), all columns.
-
-    Fingerprints of single words, which small changes hardly move, are searched with a wide
-    ``distance``; fingerprints of five-word shingles must agree on 0.8 of their bits. Rows with a
-    null id belong to no group and stay.
+def drop_near_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+    """One row of each group of near copies (``near_copies``), the one with the smallest id (of rows
+    with that id, the first in order of their text), all columns. Rows with a null id belong to no
+    group and stay.
     """
-    made = near_duplicates(df, text, id, 1, distance, proof)
+    made = near_copies.groups(df, text, id)
     chosen = made.where(F.col("id") == F.col("component")).select(F.col("id").alias("__id")).distinct()
     packed = df.select(F.col(f"`{id}`").cast("bigint").alias("__id"), F.struct("*").alias("row"))
     place = F.row_number().over(Window.partitionBy("__id").orderBy(F.col("row").getField(text)))
