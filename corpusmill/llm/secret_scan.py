@@ -1,9 +1,11 @@
 """Secret scan by dictionary-primed zstandard novelty.
 
-Three patterns give the base spans. The method adds strings that stand near a sensitive word and
-that zstandard cannot shorten although it is primed with common identifiers and with the text
-around them (other copies of the string taken out): their marginal compressed size is close to
-their length.
+Three patterns give the base spans. The method adds strings that stand near a sensitive word, at
+most ``REACH`` characters behind or in front of it, and that zstandard cannot shorten although it is
+primed with common identifiers and with the text around them (other copies of the string taken out):
+their marginal compressed size is close to their length. Candidates are runs of at least 16 of the
+characters of encoded keys, and of at least 16 printable ASCII characters without quotes, brackets
+and ``,;:=``; sensitive words part them. No class of characters is asked for.
 
 Defined results: a null or empty text has no spans; text of any length is scanned whole; spans are
 in code points with an exclusive end, ordered by start, then by kind as in ``KINDS``; repeated
@@ -13,6 +15,7 @@ rows give repeated results; an empty table gives an empty table. Other columns a
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 import zstandard
@@ -37,7 +40,11 @@ SENSITIVE = re.compile(
 )
 SENSITIVE_WORDS = [*ASSIGN_WORDS, "passphrase", "credential", "bearer", "authorization", "key"]
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-REST = re.compile(r"[A-Za-z0-9+/_=-]*")
+#: Runs with symbols; of these, ``EDGES`` are punctuation at the end of a run.
+BROKEN = re.compile(r"""[^\s"'`<>(){}\[\],;:=\x00-\x20\x7f-\U0010ffff]{16,}""")
+EDGES = ".!?"
+LEAST = 16
+REACH = 48
 IDENTIFIERS = (
     "access account action address admin algorithm api app application argument array async attribute auth await "
     "base64 boolean buffer build bucket byte cache callback certificate char class client cloud code command "
@@ -90,24 +97,54 @@ def marginal_bytes(candidate: str, around: str, identifiers: str = IDENTIFIERS,
     return len(packer.compress(primed + candidate.encode())) - len(packer.compress(primed))
 
 
+def pieces(run: re.Match, words: list[tuple[int, int]], starts: list[int]) -> list[tuple[int, int]]:
+    """What sensitive words leave of a run, if long enough."""
+    at, out = run.start(), []
+    for start, end in words[max(bisect_left(starts, at) - 1, 0) : bisect_left(starts, run.end())]:
+        if end > at:
+            out.append((at, start))
+            at = end
+    return [(a, b) for a, b in [*out, (at, run.end())] if b - a >= LEAST]
+
+
+def candidates(text: str, reach: int = REACH) -> list[tuple[int, int]]:
+    """Places of strings that start or end at most ``reach`` characters from a sensitive word, longer
+    ones before those within them."""
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    if not words:
+        return []
+    starts, ends = [w[0] for w in words], [w[1] for w in words]
+    found = set()
+    for run in CANDIDATE.finditer(text):
+        found.update(pieces(run, words, starts))
+    for run in BROKEN.finditer(text):
+        for start, end in pieces(run, words, starts):
+            end = start + len(text[start:end].rstrip(EDGES))
+            if end - start >= LEAST:
+                found.add((start, end))
+
+    def near(start: int, end: int) -> bool:
+        behind, front = bisect_right(ends, start) - 1, bisect_left(starts, end)
+        return behind >= 0 and start - ends[behind] <= reach or front < len(starts) and starts[front] - end <= reach
+
+    return sorted((c for c in found if near(*c)), key=lambda c: (c[0], -c[1]))
+
+
 def novel_spans(
-    text: str, lowered: str, base: list[tuple[int, int, int]], reach: int = 48, around: int = 1024, ratio: float = 0.7
+    text: str, lowered: str, base: list[tuple[int, int, int]], reach: int = REACH, around: int = 1024, ratio: float = 0.7
 ) -> list[tuple[int, int, int]]:
-    """Incompressible strings at most ``reach`` characters behind a sensitive word, outside base spans."""
+    """Incompressible strings near a sensitive word, outside base spans; none within another."""
     if not any(word in lowered for word in SENSITIVE_WORDS):
         return []
     found, done = [], 0
-    for word in SENSITIVE.finditer(text):
-        for m in CANDIDATE.finditer(text, max(word.end(), done), min(len(text), word.end() + reach)):
-            tail = REST.match(text, m.end()).end()
-            done, value = tail, text[m.start() : tail]
-            if not (re.search("[0-9]", value) and re.search("[A-Za-z]", value)):
-                continue
-            if any(start <= m.start() and tail <= end for start, _, end in base):
-                continue
-            near = text[max(0, m.start() - around) : m.start()] + " " + text[tail : tail + around]
-            if marginal_bytes(value, near) >= ratio * len(value):
-                found.append((m.start(), 3, tail))
+    for start, end in candidates(text, reach):
+        if end <= done or any(s <= start and end <= e for s, _, e in base):
+            continue
+        value = text[start:end]
+        near = text[max(0, start - around) : start] + " " + text[end : end + around]
+        if marginal_bytes(value, near) >= ratio * len(value):
+            found.append((start, 3, end))
+            done = end
     return found
 
 

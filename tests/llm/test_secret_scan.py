@@ -59,6 +59,28 @@ def test_novel_strings_near_sensitive_words():
     assert kinds(repeated) == ([RANDOM, RANDOM], 0)
 
 
+def test_novel_strings_anywhere_within_reach():
+    for gap in (1, 31, 32, 33, 47, 48):
+        assert kinds("the private key" + " " * gap + RANDOM) == ([RANDOM], 0), gap
+        assert kinds(RANDOM + " " * gap + "private key") == ([RANDOM], 0), gap
+    assert kinds("the private key" + " " * 49 + RANDOM) == ([], 0)
+    assert kinds(RANDOM + " " * 49 + "private key") == ([], 0)
+
+
+def test_novel_strings_of_any_characters():
+    rng = random.Random(6)
+    letters = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", k=40))
+    broken = "q7Zr0!XvB2@Kd93.wTfH$yNcG#8sPa%eU"
+    assert kinds(f"the passphrase is {letters} here") == ([letters], 0)
+    assert kinds(f"bearer {broken}.") == ([broken], 0)
+    assert kinds("the credential of internationalization") == ([], 0)
+
+
+def test_sensitive_words_part_a_run():
+    assert kinds(f"bearer{RANDOM}") == ([RANDOM], 0)
+    assert kinds(f"{RANDOM}bearer") == ([RANDOM], 0)
+
+
 def test_marginal_bytes():
     assert secret_scan.marginal_bytes(RANDOM, "") >= len(RANDOM) * 0.8
     assert secret_scan.marginal_bytes("authorization_token_password", "") < 20
