@@ -122,3 +122,29 @@ def test_query(spark, tmp_path):
     rows = {r.doc_id: r for r in queries.op1_sentencepiece(spark, sf).collect()}
     assert all(r.exact and r.n_tokens == len(r.ids) for r in rows.values())
     assert rows[2].n_byte_tokens >= 1
+
+
+def test_shipped_model_against_brute_force():
+    """The codec that the queries use, unaltered: whole texts have the best sum of its scores."""
+    import pyarrow.parquet as pq
+    from sentencepiece import sentencepiece_model_pb2
+
+    with open(queries.TOKENIZER, "rb") as file:
+        raw = file.read()
+    codec = P.load(raw)
+    own = {p.piece: p.score for p in sentencepiece_model_pb2.ModelProto.FromString(raw).pieces if p.type in (P.NORMAL, 4)}
+    longest = max(map(len, own))
+    column = pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"]).column(0).to_pylist()
+    texts = sorted({t for t in column if t}, key=lambda t: (len(t), t))[:40] + samples()[:40]
+    ids, ends = P.Encoder(codec).encode(texts)
+    for i, text in enumerate(texts):
+        whole = P.prepared(text, codec)
+        best = [0.0]
+        for end in range(1, len(whole) + 1):
+            cuts = [best[a] + own[whole[a:end]] for a in range(max(0, end - longest), end) if whole[a:end] in own]
+            if whole[end - 1] not in own:
+                cuts.append(best[end - 1] + codec.unknown_score)
+            best.append(max(cuts))
+        found = [j for j in ids[ends[i] : ends[i + 1]].tolist() if j not in codec.bytes_at and j != codec.unknown]
+        lost = sum(c not in own for c in whole)
+        assert abs(sum(float(codec.scores[j]) for j in found) + lost * codec.unknown_score - best[-1]) < 1e-3, text
