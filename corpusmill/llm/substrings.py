@@ -1,10 +1,12 @@
 """Substring deduplication by hashing lines.
 
 Every line is a unit, and so is every sentence of a line that has several (a passage that was
-pasted into a line is found by its sentences). Units are normalised (lower case, white space runs
-as one space), digests are grouped over the whole corpus, the occurrence ranked first stays and
-every later one is removed. Ranks go by document id, then by place in the document. Units with
-fewer words than ``LINE_WORDS`` or ``SENTENCE_WORDS`` repeat by chance and stay.
+pasted into a line is found by its sentences) and every paragraph of several lines, which are those
+between lines without words (a passage that was wrapped into short lines is found by it). Units are
+normalised (lower case, white space runs as one space), digests are grouped over the whole corpus,
+the occurrence ranked first stays and every later one is removed. Ranks go by document id, then by
+place in the document. Units with fewer than ``UNIT_CHARS`` characters besides white space repeat by
+chance and stay; words are not counted, as some scripts write none.
 
 Digests are grouped with partial aggregation to the first occurrence and a count; only digests that
 come twice or more meet their occurrences again, the hot ones without a shuffle. Removed stretches
@@ -30,8 +32,7 @@ from pyspark.sql import types as T
 from corpusmill import staging
 from corpusmill.llm import common, skew
 
-LINE_WORDS = 5
-SENTENCE_WORDS = 8
+UNIT_CHARS = 10
 SENTENCE_END = re.compile(r"[.!?…][\"'”’)\]]*(?=\s)|[。！？]")
 SPANS = common.span(start=common.LONG, end=common.LONG)
 SPAN_ARROW = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -50,22 +51,33 @@ def sentences(line: str, offset: int) -> list[tuple[int, int]]:
 
 
 def units(text: str) -> list[tuple[int, int, int]]:
-    """``(start, end, digest)`` of every unit of a text, in order of their start."""
+    """``(start, end, digest)`` of every unit of a text, in order of their start and end."""
     out = []
     at = 0
-    for line in text.split("\n"):
+    paragraph: list[str] = []
+    first = last = lines = 0
+
+    def add(start: int, end: int, words: list[str]) -> None:
+        if sum(map(len, words)) >= UNIT_CHARS:
+            out.append((start, end, digest(words)))
+
+    for line in [*text.split("\n"), ""]:
         words = line.lower().split()
-        if len(words) >= LINE_WORDS:
-            out.append((at, at + len(line), digest(words)))
-            if len(words) >= SENTENCE_WORDS:
-                parts = sentences(line, at)
-                if len(parts) > 1:
-                    for start, end in parts:
-                        words = text[start:end].lower().split()
-                        if len(words) >= SENTENCE_WORDS:
-                            out.append((start, end, digest(words)))
+        if words:
+            add(at, at + len(line), words)
+            parts = sentences(line, at)
+            if len(parts) > 1:
+                for start, end in parts:
+                    add(start, end, text[start:end].lower().split())
+            first = first if lines else at
+            last, lines = at + len(line), lines + 1
+            paragraph += words
+        elif lines:
+            if lines > 1:
+                add(first, last, paragraph)
+            paragraph, lines = [], 0
         at += len(line) + 1
-    return out
+    return sorted(out)
 
 
 def digest(words: list[str]) -> int:

@@ -1,4 +1,5 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -65,6 +66,47 @@ def test_sentences_cover_the_line():
         assert "".join(line[a - 7 : b - 7] for a, b in parts) == line
 
 
+def own_units(text):
+    """Lines, their sentences and paragraphs as places and words, of at least ten characters."""
+    found = set()
+    for paragraph in re.finditer(r"(?:^[^\n]*\S[^\n]*$\n?)+", text, re.M):
+        found.add((paragraph.start(), paragraph.start() + len(paragraph[0].rstrip("\n"))))
+    for line in re.finditer(r"[^\n]+", text):
+        found.add(line.span())
+        start = line.start()
+        for end in re.finditer(r"[.!?](?=\s)|。|$", line[0]):
+            found.add((start, line.start() + end.end()))
+            start = line.start() + end.end()
+    keyed = [(a, b, " ".join(text[a:b].lower().split())) for a, b in sorted(found)]
+    return [u for u in keyed if len(u[2].replace(" ", "")) >= 10]
+
+
+def test_short_lines_and_unspaced_scripts_against_own_units(spark):
+    rng = random.Random(9)
+    lines = ["Read more here", "internationalization", "See also: maps.", "ab cd", "yes.", "", " ", "Thank you all. Good bye to all of you!"]
+    lines += ["日本語の文章はここにあります。次の文章もここにあります。", "これは重複した段落です", "ภาษาไทยไม่มีช่องว่าง"]
+    own = ["\n".join(rng.choices(lines, k=rng.randint(1, 7))) for _ in range(60)]
+    rows = {r.row.doc_id: r for r in substrings.remove_repeats(helpers.documents(spark, own)).collect()}
+    seen = set()
+    for number, text in enumerate(own):
+        covered = set()
+        for start, end, words in own_units(text):
+            if words in seen:
+                covered.update(range(start, end))
+            seen.add(words)
+        assert {i for s in rows[number].removed for i in range(s.start, s.end)} == covered, text
+    assert sum("Read more here" in r.kept for r in rows.values()) == 1
+
+
+def test_copies_without_spaces_or_wrapped_short_are_removed(spark):
+    copied = "吾輩は猫である名前はまだ無い"
+    wrapped = "one two\nthree\nfour five\nsix\nseven"
+    own = [copied, copied, f"{wrapped}\n\nown a", f"own b\n\n{wrapped}", "one two three four five six seven"]
+    kept = {r.row.doc_id: r.kept for r in substrings.remove_repeats(helpers.documents(spark, own)).collect()}
+    assert kept[0] == copied and kept[1] == "" and kept[2] == own[2]
+    assert kept[3].strip() == "own b" and kept[4] == ""
+
+
 def test_hot_line(spark):
     line = "this very line stands in each and every document of all"
     rows = substrings.remove_repeats(helpers.documents(spark, [f"{line}\nown words number {i}" for i in range(300)])).collect()
