@@ -10,6 +10,7 @@ from corpusmill.llm import (
     decontaminate,
     language_id,
     licenses,
+    periodic_runs,
     piece_codec,
     quality_knn,
     quality_rules,
@@ -181,3 +182,34 @@ def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_union("result.base_labels", own)), ",").alias("labels"),
         "result.score",
     )
+
+
+def looped_text(doc_id: Column, text: Column) -> Column:
+    """The text of every document, but a tenth of them repeat a stretch of their words to the end."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text, "[ \\x09-\\x0D]+"), lambda w: w != "")
+    n = F.size(words)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    looped = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, a + (i - a) % p)))
+    return F.when((h % 10 == 0) & text.rlike("[^ \\x09-\\x0D]"), F.array_join(looped, " ")).otherwise(text)
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents")
+    looped = documents.select("doc_id", looped_text(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.find_runs(looped, keep=["doc_id"])
+    line = F.transform("result.runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    lines = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.select(
+        "row.doc_id",
+        F.size("result.runs").cast("long").alias("n_runs"),
+        "result.best.start",
+        "result.best.length",
+        "result.best.period",
+        F.expr("(1000 * result.best.length) div result.best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("result.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
