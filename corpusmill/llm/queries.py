@@ -14,6 +14,7 @@ from corpusmill.llm import (
     piece_codec,
     quality_knn,
     quality_rules,
+    ring_shards,
     secret_scan,
     simhash,
     substrings,
@@ -184,6 +185,86 @@ def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: CRC-32 byte by byte over the hexadecimal digits of the UTF-8 text; polynomial 0xEDB88320.
+OP12_SQL = """
+WITH crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+    lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS codes
+), points AS (
+  SELECT row_number() OVER (ORDER BY place, shard) - 1 AS node, place, shard,
+    row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS part
+  FROM (SELECT i % 40 AS shard, CAST('0x' || substr(md5('shard-' || (i % 40) || '-' || (i // 40)), 1, 15) AS BIGINT) AS place
+        FROM range(40 * 64) t(i))
+), docs AS (
+  SELECT doc_id, strlen(body) + 16 AS size, hex(encode(body)) AS digits,
+    CAST('0x' || substr(md5(body), 1, 15) AS BIGINT) AS place, CAST('0x' || substr(md5(body), 16, 15) AS BIGINT) AS rank
+  FROM (SELECT doc_id, coalesce(text, '') AS body FROM documents)
+), homed AS (
+  SELECT doc_id, size, digits, rank, coalesce(p.node, z.node) AS node, coalesce(p.shard, z.shard) AS home
+  FROM docs d ASOF LEFT JOIN points p ON d.place <= p.place, (SELECT node, shard FROM points WHERE node = 0) z
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY home ORDER BY rank, doc_id) - 1 AS slot FROM homed
+), loads AS (
+  SELECT s AS shard, least(n, capacity) AS own, capacity - least(n, capacity) AS room
+  FROM (SELECT s, (SELECT count(*) FROM ranked WHERE home = s) AS n,
+          total // 40 + CASE WHEN s < total % 40 THEN 1 ELSE 0 END AS capacity
+        FROM range(40) t(s), (SELECT count(*) AS total FROM documents))
+), filled AS (
+  SELECT node, p.shard, coalesce(e.over, 0) AS over, room // 64 + CASE WHEN part < room % 64 THEN 1 ELSE 0 END AS spare
+  FROM points p JOIN loads USING (shard)
+  LEFT JOIN (SELECT node, count(*) AS over FROM ranked r JOIN loads l ON l.shard = r.home WHERE slot >= own GROUP BY node) e
+    USING (node)
+), summed AS (
+  SELECT *, sum(over - spare) OVER (ORDER BY round, node) AS so_far
+  FROM filled, (SELECT unnest([0, 1]) AS round)
+), passing AS (
+  SELECT *, so_far - least(0, min(so_far) OVER (ORDER BY round, node)) AS on_ FROM summed
+), taking AS (
+  SELECT *, coalesce(lag(on_) OVER (ORDER BY round, node), 0) + over - on_ AS taken FROM passing
+), flows AS (
+  SELECT node, shard, taken, (node - min(node) FILTER (on_ = 0) OVER () + 2 * 2560 - 1) % 2560 AS turn
+  FROM taking WHERE round = 1
+), offers AS (
+  SELECT shard, own + coalesce(within, 0) AS first, upto - taken AS low, upto AS high
+  FROM (SELECT shard, taken, sum(taken) OVER (ORDER BY turn) AS upto,
+          sum(taken) OVER (PARTITION BY shard ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS within
+        FROM flows) JOIN loads USING (shard)
+  WHERE taken > 0
+), waiting AS (
+  SELECT doc_id, size, digits, row_number() OVER (ORDER BY turn, rank, doc_id) - 1 AS unit
+  FROM ranked r JOIN loads l ON l.shard = r.home JOIN flows f ON f.node = r.node
+  WHERE slot >= own
+), placed AS (
+  SELECT doc_id, size, digits, home AS shard, slot FROM ranked r JOIN loads l ON l.shard = r.home WHERE slot < own
+  UNION ALL
+  SELECT doc_id, size, digits, shard, first + unit - low FROM waiting JOIN offers ON unit >= low AND unit < high
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size,
+  CAST(xor(list_reduce(list_prepend(4294967295, range(CAST(size - 16 AS BIGINT))), lambda c, i:
+    xor(c >> 8, codes[(xor(c & 255, CAST('0x' || substr(digits, 2 * i + 1, 2) AS BIGINT)) & 255) + 1])), 4294967295) AS BIGINT)
+    AS text_crc32,
+  'rows' AS law, CAST(shard AS INT) AS shard, CAST(slot AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard
+FROM placed, crc
+"""
+
+
+@query
+def op12_ring_shards(spark: SparkSession, sf: str) -> DataFrame:
+    placed = ring_shards.place_documents(table(spark, sf, "documents").select("doc_id", "text"))
+    return placed.select(
+        "row.doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+ORACLE["op12_ring_shards"] = OP12_SQL
+
+
 def looped_text(doc_id: Column, text: Column) -> Column:
     """The text of every document, but a tenth of them repeat a stretch of their words to the end."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
