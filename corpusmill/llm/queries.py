@@ -17,6 +17,7 @@ from corpusmill.llm import (
     ring_shards,
     secret_scan,
     simhash,
+    sliced_search,
     substrings,
     warc,
 )
@@ -185,6 +186,47 @@ def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, terms, len(terms) AS n
+  FROM (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents)
+  WHERE len(terms) > 0
+), asked AS (
+  SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), counts AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY row, term
+), totals AS (
+  SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM docs
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts, totals GROUP BY term, all_docs
+), scored AS (
+  SELECT item, item_id, row, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * all_docs) // all_terms)))) AS BIGINT) AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN docs USING (row), totals
+  GROUP BY item, item_id, row, doc_id
+)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+@query
+def op11_sliced_search(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    index = staging.stage(sliced_search.build_index(documents), "search-index")
+    found = sliced_search.search(documents, index, table(spark, sf, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+ORACLE["op11_sliced_search"] = OP11_SQL
+
+
 #: CRC-32 byte by byte over the hexadecimal digits of the UTF-8 text; polynomial 0xEDB88320.
 OP12_SQL = """
 WITH crc AS (
