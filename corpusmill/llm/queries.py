@@ -315,7 +315,9 @@ def looped_text(doc_id: Column, text: Column) -> Column:
     n = F.size(words)
     a = (g % n).cast("int")
     p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
-    looped = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, a + (i - a) % p)))
+    turns = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), turns)), 1, n - a)
+    looped = F.concat(F.slice(words, 1, a), tail)
     return F.when((h % 10 == 0) & text.rlike("[^ \\x09-\\x0D]"), F.array_join(looped, " ")).otherwise(text)
 
 
