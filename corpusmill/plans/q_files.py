@@ -11,7 +11,7 @@ from corpusmill.operators import extract, ordering, repo_stats, rollup
 from corpusmill.plans import views as V
 from corpusmill.plans.registry import query
 from corpusmill.sinks import tables
-from corpusmill.sources import state, tree
+from corpusmill.sources import code_tree, state, tree
 
 # Scaled limits: documents are far smaller than the real caps, so the queries about a cap use
 # smaller ones. Queries that compose rules use the real caps.
@@ -40,7 +40,7 @@ def projects_list(spark, sf):
     _with(V.TREE_SQL, "SELECT dir_name, file_path, name, size FROM v_tree WHERE dir_name NOT LIKE '.%'"),
 )
 def tree_scan(spark, sf):
-    return tree.scan_tree(spark, V.tree_folder(spark, sf))
+    return code_tree.load_tree(spark, V.tree_folder(spark, sf))
 
 
 @query(
@@ -55,7 +55,7 @@ def tree_scan(spark, sf):
 def tree_content(spark, sf):
     root = V.tree_folder(spark, sf)
     content = F.col("content")
-    return tree.read_content(tree.scan_tree(spark, root), root).select(
+    return code_tree.load_tree(spark, root, [*FILE, "content"]).select(
         *FILE,
         text.has_nul(content).alias("has_nul"),
         text.is_utf8(content).alias("is_utf8"),

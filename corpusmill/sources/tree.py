@@ -94,7 +94,7 @@ def read_bytes(path: str, clients: Clients | None = None) -> bytes | None:
         return None
 
 
-def _walk(root: str, budget: int, skip: str | None):
+def _walk(root: str, budget: int, skip: str | None, per_folder: bool):
     """Arrow function: walk directory rows until a task has met ``budget`` entries, hand back the rest."""
 
     def visit(starts: Iterator[dict]) -> Iterator[dict]:
@@ -107,13 +107,18 @@ def _walk(root: str, budget: int, skip: str | None):
                     continue
                 left_out: list[str] = []
                 folder = on_disk("/".join(p for p in (root, dir_name, inner) if p))
+                files = held = 0
                 for name, is_dir, size in list_directory(folder, clients, left_out=left_out):
                     seen += 1
                     path = f"{inner}/{name}" if inner else name
                     if is_dir:
                         pending.append(path)
+                    elif per_folder:
+                        files, held = files + 1, held + size
                     else:
                         yield {"dir_name": dir_name, "file_path": path, "size": size, "kind": "file"}
+                if files:
+                    yield {"dir_name": dir_name, "file_path": inner, "size": held, "kind": "folder", "files": files}
                 for path in left_out:
                     yield {"dir_name": dir_name, "file_path": shown(path), "size": 0, "kind": "left out"}
             for path in pending:
@@ -127,9 +132,9 @@ def _walk(root: str, budget: int, skip: str | None):
     return run
 
 
-_WALK_SCHEMA = "dir_name string, file_path string, size long, kind string"
+_WALK_SCHEMA = "dir_name string, file_path string, size long, kind string, files long"
 _WALK_ARROW = pa.schema(
-    [("dir_name", pa.string()), ("file_path", pa.string()), ("size", pa.int64()), ("kind", pa.string())]
+    [("dir_name", pa.string()), ("file_path", pa.string()), ("size", pa.int64()), ("kind", pa.string()), ("files", pa.int64())]
 )
 
 
@@ -155,10 +160,16 @@ def list_projects(spark: SparkSession, root: str) -> DataFrame:
 
 
 def walk_tree(
-    spark: SparkSession, root: str, *, skip: str | None = None, budget: int = ENTRIES_PER_WALK
+    spark: SparkSession,
+    root: str,
+    *,
+    skip: str | None = None,
+    budget: int = ENTRIES_PER_WALK,
+    per_folder: bool = False,
 ) -> DataFrame:
-    """``dir_name, file_path, size, kind``: every ``file`` below every project directory, and every
-    path that was ``left out`` because it was gone or closed to us.
+    """``dir_name, file_path, size, kind, files``: every ``file`` below every project directory, and every
+    path that was ``left out`` because it was gone or closed to us. ``per_folder``: instead of its files
+    a ``folder`` for each directory that holds any, with their number and their bytes.
 
     The walk goes in rounds. A task walks directories up to ``budget`` entries and hands the
     directories it did not reach back to the next round, which has as many tasks as there are
@@ -171,7 +182,7 @@ def walk_tree(
     tasks = least
     while True:
         spread = frontier.repartition(tasks, "dir_name", "file_path")
-        found = staging.stage(spread.mapInArrow(_walk(root, budget, skip), _WALK_SCHEMA), "tree-round")
+        found = staging.stage(spread.mapInArrow(_walk(root, budget, skip, per_folder), _WALK_SCHEMA), "tree-round")
         rounds.append(found.filter("kind <> 'dir'"))
         frontier = found.filter("kind = 'dir'").select("dir_name", "file_path")
         left = frontier.count()
