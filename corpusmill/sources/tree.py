@@ -94,7 +94,7 @@ def read_bytes(path: str, clients: Clients | None = None) -> bytes | None:
         return None
 
 
-def _walk(root: str, budget: int, skip: str | None, per_folder: bool):
+def _walk(root: str, budget: int, skip: str | None, per_folder: bool = False):
     """Arrow function: walk directory rows until a task has met ``budget`` entries, hand back the rest."""
 
     def visit(starts: Iterator[dict]) -> Iterator[dict]:

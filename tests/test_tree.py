@@ -3,6 +3,7 @@ import os
 import tarfile
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import zstandard
 
@@ -226,22 +227,6 @@ def test_missing_files_are_left_out(spark, corpus, tmp_path):
     assert extract.existing_files(kept, listing).count() == 9
 
 
-class Attempt:
-    """Stands for the task context."""
-
-    number = 0
-
-    @staticmethod
-    def get():
-        return Attempt()
-
-    def taskAttemptId(self):
-        return 7
-
-    def attemptNumber(self):
-        return Attempt.number
-
-
 SHARD_SCHEMA = pa.schema([("project_name", pa.string()), ("file_path", pa.string()), ("shard_id", pa.string())])
 
 
@@ -252,7 +237,7 @@ def rows_to_archive(monkeypatch):
             raise ValueError("broken")
         return b"ok"
 
-    monkeypatch.setattr(shards, "TaskContext", Attempt)
+    monkeypatch.setattr(shards, "READ_PAUSE", 0)
     monkeypatch.setattr(shards, "read_bytes", content)
     return pa.RecordBatch.from_pydict(
         {
@@ -265,40 +250,88 @@ def rows_to_archive(monkeypatch):
     )
 
 
+def shard_job(folder):
+    return shards.TarZstWriter(*(str(folder / part) for part in ("a", "m", "f")), 3, SHARD_SCHEMA)
+
+
+def everything(folder):
+    """Archives, manifest rows by shard, and errors by file; nothing else may be there."""
+    found = sorted(str(p.relative_to(folder)) for p in folder.rglob("*") if p.is_file())
+    archives = [p[2:] for p in found if p.startswith("a/")]
+    listed = {p.split("=")[1][:5]: pq.ParquetFile(folder / p).read().column("file_path").to_pylist() for p in found if p.startswith("m/")}
+    errors = {}
+    for p in found:
+        if p.startswith("f/"):
+            errors |= {r["file_path"]: r[shards.ERROR] for r in pq.ParquetFile(folder / p).read().to_pylist()}
+    assert not any(".tmp" in p for p in found)
+    return archives, listed, errors
+
+
 def test_a_bad_file_costs_that_file_only(rows_to_archive, tmp_path):
-    run = shards._archive_rows(str(tmp_path / "first"), 3, SHARD_SCHEMA, attempts=4)
-    with pytest.raises(ValueError):  # while Spark can still try again
-        list(run(iter([rows_to_archive])))
-    assert os.listdir(tmp_path / "first") == ["shard_00000.tar.zst"]
-    run = shards._archive_rows(str(tmp_path / "last"), 3, SHARD_SCHEMA, attempts=1)
-    out = list(run(iter([rows_to_archive.slice(0, 1), rows_to_archive.slice(1)])))
-    errors = {r["file_path"]: r[shards.ERROR] for b in out for r in b.to_pylist()}
-    assert errors == {"a": None, "b": None, "c": None, "d": "ValueError: broken", "e": None}
-    assert sorted(os.listdir(tmp_path / "last")) == [f"shard_0000{i}.tar.zst" for i in range(3)]
+    job = shard_job(tmp_path)
+    message = job.write(iter([rows_to_archive.slice(0, 1), rows_to_archive.slice(1)]))
+    assert not [p for p in tmp_path.rglob("*") if p.is_file() and not p.name.startswith(".")]  # nothing before the commit
+    job.commit([message, None])
+    archives, listed, errors = everything(tmp_path)
+    assert archives == [f"shard_0000{i}.tar.zst" for i in range(3)]
+    assert listed == {"00000": ["a", "b"], "00001": ["c"], "00002": ["e"]} and errors == {"d": "ValueError: broken"}
 
 
 def test_a_shard_that_cannot_be_written_is_left_out(rows_to_archive, monkeypatch, tmp_path):
     def add(self, name, content):
-        if name == "c":
+        if name == "b":
             raise OSError("no space")
         whole(self, name, content)
 
-    whole = shards._Archive.add
-    monkeypatch.setattr(shards._Archive, "add", add)
-    run = shards._archive_rows(str(tmp_path), 3, SHARD_SCHEMA, attempts=1)
-    rows = [r for b in run(iter([rows_to_archive])) for r in b.to_pylist()]
-    assert [r["file_path"] for r in rows if r[shards.ERROR] is None] == ["a", "b", "e"]
-    assert sorted(os.listdir(tmp_path)) == ["shard_00000.tar.zst", "shard_00002.tar.zst"]
+    whole = shards._Shard.add
+    monkeypatch.setattr(shards._Shard, "add", add)
+    job = shard_job(tmp_path)
+    job.commit([job.write(iter([rows_to_archive.slice(0, 1), rows_to_archive.slice(1)]))])
+    archives, listed, errors = everything(tmp_path)
+    assert archives == ["shard_00001.tar.zst", "shard_00002.tar.zst"] and set(listed) == {"00001", "00002"}
+    assert errors == {"a": "shard: OSError: no space", "b": "shard: OSError: no space", "d": "ValueError: broken"}
 
 
-def test_an_error_at_the_end_leaves_no_file(rows_to_archive, monkeypatch, tmp_path):
-    def finish(self):
-        raise OSError("cannot move")
+def test_a_failed_task_leaves_nothing(rows_to_archive, tmp_path):
+    def batches():
+        yield rows_to_archive
+        raise OSError("cannot read on")
 
-    monkeypatch.setattr(shards._Archive, "finish", finish)
+    job = shard_job(tmp_path)
     with pytest.raises(OSError):
-        list(shards._archive_rows(str(tmp_path), 3, SHARD_SCHEMA, attempts=1)(iter([rows_to_archive])))
-    assert os.listdir(tmp_path) == []
+        job.write(batches())
+    assert everything(tmp_path) == ([], {}, {})
+
+
+def test_a_task_killed_in_the_middle_leaves_nothing(rows_to_archive, tmp_path):
+    job = shard_job(tmp_path)
+
+    def batches():
+        yield rows_to_archive
+        os._exit(9)
+
+    child = os.fork()
+    if child == 0:
+        job.write(batches())
+        os._exit(0)
+    assert os.waitpid(child, 0)[1] != 0
+    assert [p for p in tmp_path.rglob("*.tmp")]  # what the lost task has left
+    job.commit([job.write(iter([rows_to_archive.slice(0, 2)]))])
+    assert everything(tmp_path) == (["shard_00000.tar.zst"], {"00000": ["a", "b"]}, {})
+    other = shard_job(tmp_path)
+    message = other.write(iter([rows_to_archive]))
+    other.abort([message])
+    assert everything(tmp_path) == (["shard_00000.tar.zst"], {"00000": ["a", "b"]}, {})
+
+
+def test_a_broken_shard_is_tried_again(spark, corpus, tmp_path):
+    """A folder in the place of an archive: that shard stays pending, the others are written."""
+    rows = tables.write_index(assigned(spark, corpus), str(tmp_path / "index"))
+    places = {"root": corpus, "archives": str(tmp_path / "a"), "manifest": str(tmp_path / "m"), "failures": str(tmp_path / "f")}
+    os.remove(f"{corpus}/repo_a/file_2.py")
+    whole = shards.write_shards(rows, **places).count()
+    assert whole == 9 and [r.error for r in shards.read_failures(spark, places["failures"]).collect()] == [shards.GONE]
+    assert not [n for n in os.listdir(tmp_path / "a") + os.listdir(tmp_path / "m") if n.endswith(".tmp")]
 
 
 def test_stale_temporaries_are_swept(spark, corpus, tmp_path):
