@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -292,28 +293,42 @@ def next_threshold(levels: DataFrame, states: DataFrame, current: int) -> DataFr
     )
 
 
-def crawl_step(queries: DataFrame, log: DataFrame, done: DataFrame, levels: DataFrame, current: int) -> DataFrame:
-    """What to run next, from the page log: ``query, next_page, current_min_stars, expanded``.
-
-    ``queries`` are those of the current threshold and ``done`` those finished earlier, told by their
-    text alone. A query goes on at the page its log asks for, one without a log at page 1. Once all
-    are done and there is a lower threshold, the done set and the page map are emptied:
-    every query starts again at page 1 with the lower threshold, and ``expanded`` is true.
+def crawl_step(
+    generate: Callable[[int], DataFrame], log: DataFrame, done: DataFrame, levels: list[int], current: int
+) -> DataFrame:
+    """What to run next: the columns of ``generate`` and ``next_page, current_min_stars, expanded``.
+
+    ``generate`` gives the queries of a threshold (:func:`crawl_queries`), ``levels`` holds the
+    thresholds from the highest down. ``log`` (pages with the ``threshold`` they were run for) and
+    ``done`` (``query, threshold``, finished otherwise) count for their own threshold only, so an
+    expansion empties the done set and the page map without a change to either. A query goes on at the
+    page its log asks for, one without a log at page 1. Once all queries of the current threshold are
+    done and there is a lower one, the queries of that threshold start at page 1, ``expanded`` is true,
+    and the caller goes on with ``current_min_stars``.
     """
-    frontier = query_frontier(log)
-    finished = done.select("query").unionByName(frontier.filter("status = 'done'").select("query")).distinct()
-    asked = queries.select("query").distinct()
+    frontier = query_frontier(log.filter(F.col("threshold") == current).drop("threshold"))
+    finished = done.filter(F.col("threshold") == current).select("query")
+    finished = finished.unionByName(frontier.filter("status = 'done'").select("query")).distinct()
+    asked = generate(current)
     marked = asked.join(finished.withColumn("_done", F.lit(True)), "query", "left")
-    states = marked.select(F.when(F.col("_done"), "done").otherwise("open").alias("status"))
-    gate = next_threshold(levels, states, current).select(
-        F.col("next_level").alias("current_min_stars"), (F.col("next_level") != F.col("current")).alias("expanded")
-    )
-    pages = marked.join(frontier.select("query", "next_page"), "query", "left")
-    whole = pages.join(F.broadcast(gate))  # one row
-    again = F.col("expanded")
-    page = F.when(again, F.lit(1)).otherwise(F.coalesce("next_page", F.lit(1))).cast("long")
-    todo = whole.filter(again | F.col("_done").isNull())
-    return todo.select("query", page.alias("next_page"), "current_min_stars", "expanded")
+    pages = frontier.select("query", F.col("next_page").alias("_page"))
+    todo = marked.filter(F.col("_done").isNull()).join(pages, "query", "left")
+
+    def step(rows: DataFrame, page: Column, level: int) -> DataFrame:
+        return rows.select(
+            *asked.columns,
+            page.cast("long").alias("next_page"),
+            F.lit(level).cast("long").alias("current_min_stars"),
+            F.lit(level != current).alias("expanded"),
+        )
+
+    going_on = step(todo, F.coalesce("_page", F.lit(1)), current)
+    if current not in levels[:-1]:
+        return going_on
+    lower = levels[levels.index(current) + 1]
+    gate = marked.agg(F.count_if(F.col("_done").isNull()).alias("_open"))  # one row
+    fresh = generate(lower).join(F.broadcast(gate)).filter("_open = 0")
+    return going_on.unionByName(step(fresh, F.lit(1), lower))
 
 
 # --- budgets and running values -------------------------------------------------------

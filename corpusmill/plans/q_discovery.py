@@ -64,21 +64,21 @@ def query_grid_scraper(spark, sf):
     return D.web_queries(state.topics(V.topic_words(spark, sf)))
 
 
-_CRAWL_SQL = (
-    _sql(V.TOPICS_SQL)
-    + f""", t AS (SELECT topic, row_number() OVER (ORDER BY topic) AS position FROM v_topics),
+def _crawl_sql(current: int) -> str:
+    """Views ending in ``v_crawl``, the queries of one threshold."""
+    return f"""t AS (SELECT topic, row_number() OVER (ORDER BY topic) AS position FROM v_topics),
     lv(level) AS (SELECT CAST(column0 AS BIGINT) FROM (VALUES {_values(C.STAR_LEVELS)}) x(column0)),
     rg AS (SELECT level, lag(level) OVER (ORDER BY level DESC) - 1 AS upper,
-      row_number() OVER (ORDER BY level DESC) AS tier FROM lv),
+      row_number() OVER (ORDER BY level DESC) - (SELECT count(*) FROM lv WHERE level > {current}) AS tier FROM lv),
     r AS (SELECT tier, CASE WHEN upper IS NULL THEN '>=' || level ELSE level || '..' || upper END AS stars,
-      CASE WHEN upper IS NULL THEN level || '+' ELSE level || '-' || upper END AS label FROM rg WHERE tier <= 3),
+      CASE WHEN upper IS NULL THEN level || '+' ELSE level || '-' || upper END AS label FROM rg WHERE tier BETWEEN 1 AND 3),
     s(sort, sort_label) AS (VALUES ('stars', 'most stars'), ('updated', 'recently updated'), ('forks', 'most forks')),
     b(topic) AS (VALUES {_values(C.CRAWL_BROAD_TOPICS)}), y(year) AS (VALUES {_values(C.CRAWL_YEARS)}),
     k(topic) AS (VALUES {_values(C.CRAWL_CORE_TOPICS)}), w(word) AS (VALUES {_values(C.CRAWL_README_WORDS)}),
     li(license) AS (VALUES {_values(C.CRAWL_LICENSES)}), z(size) AS (VALUES {_values(C.CRAWL_SIZES)}),
     f(filename) AS (VALUES {_values(C.CRAWL_FILENAMES)}),
     a(topic, short) AS (VALUES ('machine-learning', 'ML'), ('deep-learning', 'DL'))
-    SELECT 'topic' AS family, 'language:python topic:' || topic || ' stars:' || stars AS query,
+    , v_crawl AS (SELECT 'topic' AS family, 'language:python topic:' || topic || ' stars:' || stars AS query,
       'ML/DL: ' || topic || ' (' || label || ' stars, ' || sort_label || ')' AS description, sort, 'desc' AS "order" FROM t, r, s
     UNION ALL SELECT 'recent', 'language:python topic:' || topic || ' stars:' || stars || ' pushed:>2023-01-01',
       'Recent: ' || topic || ' (' || label || ' stars, updated 2023+)', 'updated', 'desc' FROM t, r WHERE position <= 15 AND tier <= 2
@@ -95,11 +95,10 @@ _CRAWL_SQL = (
     UNION ALL SELECT 'filename', 'language:python filename:' || filename || ' stars:' || stars,
       'Filename ' || filename || ' (' || label || ' stars)', 'stars', 'desc' FROM f, r WHERE tier <= 2
     UNION ALL SELECT 'archived', 'language:python ' || topic || ' stars:' || stars || ' archived:true',
-      'Archived ' || short || ' repos (' || label || ' stars)', 'stars', 'desc' FROM a, r WHERE tier <= 2"""
-)
+      'Archived ' || short || ' repos (' || label || ' stars)', 'stars', 'desc' FROM a, r WHERE tier <= 2)"""
 
 
-@query("query_grid_crawler", _CRAWL_SQL)
+@query("query_grid_crawler", _sql(V.TOPICS_SQL) + ", " + _crawl_sql(C.STAR_LEVELS[0]) + " SELECT * FROM v_crawl")
 def query_grid_crawler(spark, sf):
     topics = running_sums(state.topics(V.topic_words(spark, sf)), ["topic"], {"position": None})
     return D.crawl_queries(topics, current=C.STAR_LEVELS[0])
@@ -293,30 +292,70 @@ def pending_queries_by_text(spark, sf):
     return D.pending(parts.unionByName(logged), done, "query")
 
 
+_CRAWLED_SQL = (
+    _sql(V.TOPICS_SQL, V.PAGE_LOG_SQL)
+    + ", "
+    + _crawl_sql(C.STAR_LEVELS[0])
+    + """, v_asked AS (SELECT query, row_number() OVER (ORDER BY query) AS number FROM (SELECT DISTINCT query FROM v_crawl)),
+    v_brands AS (SELECT query AS brand, row_number() OVER (ORDER BY query) - 1 AS place, count(*) OVER () AS brands
+      FROM (SELECT DISTINCT query FROM v_log))"""
+)
+
+
+def _crawl_log(spark: SparkSession, sf: str, queries: DataFrame, threshold: int) -> DataFrame:
+    """A page log of generated queries: each has the log of one brand, dealt out in turn."""
+    log = page_counts(spark, sf)
+    brands = running_sums(log.select(F.col("query").alias("brand")).distinct(), ["brand"], {"place": None})
+    count = brands.count()
+    asked = running_sums(queries.select("query").distinct(), ["query"], {"number": None})
+    dealt = asked.join(brands, F.col("number") % count == F.col("place") - 1).select("query", "brand")
+    pages = dealt.join(log.withColumnRenamed("query", "brand"), "brand").drop("brand")
+    return pages.withColumn("threshold", F.lit(threshold))
+
+
+def _generator(spark: SparkSession, sf: str):
+    topics = running_sums(state.topics(V.topic_words(spark, sf)), ["topic"], {"position": None})
+    return lambda level: D.crawl_queries(topics, current=level)
+
+
+_STEPPED_SQL = """ SELECT family, c.query, description, sort, "order", {page} AS next_page,
+      CAST({level} AS BIGINT) AS current_min_stars, {expanded} AS expanded FROM v_crawl c"""
+
+
 @query(
     "crawl_step",
-    _sql(V.PAGE_LOG_SQL, V.REPOS_SQL, _LEVELS_SQL)
-    + _LAST_SQL
-    + """, v_state AS (SELECT *, found > 0 AND CASE WHEN new = 0 THEN page < 5 ELSE page < 10 END AS goes_on FROM v_last),
-      v_asked AS (SELECT query FROM v_last UNION SELECT p_brand FROM part),
-      v_done AS (SELECT query FROM v_state WHERE NOT goes_on UNION SELECT p_brand FROM part WHERE p_size > 25),
-      v_marked AS (SELECT a.query, d.query IS NOT NULL AS done FROM v_asked a LEFT JOIN v_done d ON d.query = a.query),
-      v_step AS (SELECT level, lead(level) OVER (ORDER BY level DESC) AS lower FROM v_levels),
-      v_gate AS (SELECT level, CASE WHEN (SELECT count(*) FROM v_marked WHERE NOT done) = 0 AND lower IS NOT NULL
-        THEN lower ELSE level END AS next_level FROM v_step WHERE level = (SELECT max(level) FROM v_levels))
-    SELECT m.query, CAST(CASE WHEN g.next_level <> g.level THEN 1 ELSE coalesce(CASE WHEN s.goes_on THEN s.page + 1 END, 1)
-        END AS BIGINT) AS next_page, g.next_level AS current_min_stars, g.next_level <> g.level AS expanded
-    FROM v_marked m LEFT JOIN v_state s ON s.query = m.query, v_gate g
-    WHERE g.next_level <> g.level OR NOT m.done""",
+    _CRAWLED_SQL
+    + """, v_pages AS (SELECT a.query, l.page, l.found, l.new FROM v_asked a JOIN v_brands b ON a.number % b.brands = b.place
+        JOIN v_log l ON l.query = b.brand),
+      v_last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY page DESC) AS rn FROM v_pages) WHERE rn = 1),
+      v_state AS (SELECT *, found > 0 AND CASE WHEN new = 0 THEN page < 5 ELSE page < 10 END AS goes_on FROM v_last)"""
+    + _STEPPED_SQL.format(page="CAST(coalesce(s.page + 1, 1) AS BIGINT)", level=C.STAR_LEVELS[0], expanded="false")
+    + """ LEFT JOIN v_state s ON s.query = c.query WHERE coalesce(s.goes_on, true) AND c.family <> 'size'""",
 )
 def crawl_step(spark, sf):
-    part = V.table(spark, sf, "part")
-    brands = part.select(F.col("p_brand").alias("query"))
-    log = page_counts(spark, sf)
-    done = part.filter("p_size > 25").select(F.col("p_brand").alias("query"))
-    levels = _levels(spark, sf)
-    highest = levels.agg(F.max("level")).first()[0]
-    return D.crawl_step(brands.unionByName(log.select("query")), log, done, levels, highest)
+    """The queries of the highest threshold: some logged, some not yet, one family finished otherwise.
+    What is logged for the next threshold does not count."""
+    generate, (now, lower) = _generator(spark, sf), C.STAR_LEVELS[:2]
+    queries = generate(now)
+    log = _crawl_log(spark, sf, queries, now)
+    log = log.unionByName(log.withColumn("page", F.col("page") + 1).withColumn("threshold", F.lit(lower)))
+    done = queries.filter("family = 'size'").select("query", F.lit(now).alias("threshold"))
+    return D.crawl_step(generate, log, done, C.STAR_LEVELS, now)
+
+
+@query(
+    "crawl_step_expanded",
+    _sql(V.TOPICS_SQL)
+    + ", "
+    + _crawl_sql(C.STAR_LEVELS[1])
+    + _STEPPED_SQL.format(page="CAST(1 AS BIGINT)", level=C.STAR_LEVELS[1], expanded="true"),
+)
+def crawl_step_expanded(spark, sf):
+    """All queries of the highest threshold are done: those of the next one are generated and start."""
+    generate, (now, lower) = _generator(spark, sf), C.STAR_LEVELS[:2]
+    done = generate(now).select("query", F.lit(now).alias("threshold"))
+    log = _crawl_log(spark, sf, generate(lower), lower)
+    return D.crawl_step(generate, log, done, C.STAR_LEVELS, now)
 
 
 @query(

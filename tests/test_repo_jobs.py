@@ -66,22 +66,42 @@ def test_records_of_a_tree(spark, tmp_path):
     assert totals.first().total_tokens == 104 and totals.first().drifted
 
 
+LEVELS = [50, 20, 10]
+
+
 def step(spark, log, done, current):
-    queries = spark.createDataFrame([("q1",), ("q2",), ("q2",)], "query string")
-    pages = spark.createDataFrame(log, "query string, page long, found long, new long")
-    finished = spark.createDataFrame([(d,) for d in done], "query string")
-    levels = spark.createDataFrame([(50,), (20,), (10,)], "level long")
-    rows = D.crawl_step(queries, pages, finished, levels, current).collect()
-    return sorted((r.query, r.next_page, r.current_min_stars, r.expanded) for r in rows)
+    """Two queries with stars in their text and one without, as the crawler makes them."""
 
+    def generate(level):
+        rows = [(f"a stars:>={level}", "topic"), (f"b stars:>={level}", "topic"), ("size:>1000", "size")]
+        return spark.createDataFrame(rows, "query string, family string")
 
-def test_crawl_goes_on_where_it_stopped(spark):
-    assert step(spark, [("q1", 1, 100, 3)], [], 20) == [("q1", 2, 20, False), ("q2", 1, 20, False)]
-    assert step(spark, [("q1", 1, 0, 0)], [], 20) == [("q2", 1, 20, False)]
-    assert step(spark, [], ["q2"], 20) == [("q1", 1, 20, False)]
+    pages = spark.createDataFrame(log, "query string, page long, found long, new long, threshold long")
+    finished = spark.createDataFrame(done, "query string, threshold long")
+    rows = D.crawl_step(generate, pages, finished, LEVELS, current).collect()
+    return sorted((r.query, r.next_page, r.current_min_stars, r.expanded) for r in rows)
 
 
-def test_crawl_expands_once_all_are_done(spark):
-    done = [("q1", 1, 0, 0), ("q2", 10, 5, 5)]
-    assert step(spark, done, [], 20) == [("q1", 1, 10, True), ("q2", 1, 10, True)]
-    assert step(spark, done, [], 10) == []  # no lower threshold
+def test_crawl_goes_on_where_it_stopped(spark):
+    log = [("a stars:>=20", 1, 100, 3, 20), ("b stars:>=20", 1, 0, 0, 20), ("size:>1000", 9, 0, 0, 50)]
+    assert step(spark, log, [], 20) == [("a stars:>=20", 2, 20, False), ("size:>1000", 1, 20, False)]
+    assert step(spark, [], [("size:>1000", 20), ("b stars:>=20", 50)], 20) == [("a stars:>=20", 1, 20, False), ("b stars:>=20", 1, 20, False)]
+
+
+def test_three_expansions_in_a_row(spark):
+    """The log grows and is never emptied; each call goes on from what the one before said."""
+    log, done, now = [], [], 50
+    for following in (20, 10):
+        todo = step(spark, log, done, now)
+        assert [(q, page, level, new) for q, page, level, new in todo] == [
+            (q, 1, now, False) for q in (f"a stars:>={now}", f"b stars:>={now}", "size:>1000")
+        ]
+        log += [(f"a stars:>={now}", 1, 0, 0, now), (f"b stars:>={now}", 10, 5, 5, now)]
+        assert step(spark, log, done, now) == [("size:>1000", 1, now, False)]
+        done += [("size:>1000", now)]
+        grown = step(spark, log, done, now)
+        assert grown == [(q, 1, following, True) for q in (f"a stars:>={following}", f"b stars:>={following}", "size:>1000")]
+        now = grown[0][2]
+    log += [(q, 10, 1, 1, 10) for q in ("a stars:>=10", "b stars:>=10", "size:>1000")]
+    assert step(spark, log, done, 10) == []  # no lower threshold
+    assert step(spark, log, done, 7) != []  # a threshold that is no level never expands
