@@ -671,6 +671,17 @@ def token_count(spark, sf):
     return V.table(spark, sf, "documents").select("doc_id", tokens.count_tokens(F.col("text")).alias("tokens"))
 
 
+#: A byte-level vocabulary as ranks.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+@query("bpe_token_count")
+def bpe_token_count(spark, sf, vocabulary: str = VOCABULARY):
+    """Tokens of every whole text by a BPE vocabulary on storage."""
+    counted = tokens.count_tokens(F.col("text"), tokens.BpeFile(vocabulary))
+    return V.table(spark, sf, "documents").select("doc_id", counted.alias("tokens"))
+
+
 @query(
     "shard_names",
     """SELECT o_orderkey, printf('%05d', o_orderkey) AS shard_id, 'shard_' || printf('%05d', o_orderkey) || '.tar.zst' AS archive,
