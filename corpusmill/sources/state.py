@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from corpusmill.functions import html as H
 from corpusmill.functions.search import clone_url
 from corpusmill.schemas import FILE_CHUNK, PROJECT_TOTALS, RAW_PAGE, TOKEN_COUNTS
+from corpusmill.sources import json_entries
 from corpusmill.sources.tree import list_projects
 from corpusmill.storage import Clients
 
@@ -50,12 +51,14 @@ def corrupt_chunks(spark: SparkSession, path: str) -> DataFrame:
     return paths.mapInArrow(run, "file string, error string")
 
 
-def read_summary(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_summary(
+    spark: SparkSession, path: str, *, split_bytes: int = json_entries.SPLIT_BYTES
+) -> tuple[DataFrame, DataFrame]:
     """Head totals (``total_tokens, total_repos, total_files``) and per-project totals of a summary.
 
-    Reads both layouts: one JSON document per file, and the text lines that
-    :func:`corpusmill.sinks.tables.write_summary` writes in any number of parts. Both tables are
-    empty if the document is missing or broken; the totals are empty too if it lacks either of the
+    Reads both layouts: one JSON document per file, in splits of ``split_bytes``, and the text lines that
+    :func:`corpusmill.sinks.tables.write_summary` writes in any number of parts. Of a name that comes twice
+    in a document the last one counts. Both tables are empty if the document is missing or broken; the totals are empty too if it lacks either of the
     two that are compared.
     """
     totals = T.StructType([f for f in TOKEN_COUNTS.fields if f.name != "repos"])
@@ -76,9 +79,14 @@ def read_summary(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         )
         repos = body.select(F.explode(entry).alias("project_name", "totals"))
     else:
-        documents = spark.read.schema(TOKEN_COUNTS).option("multiLine", True).json(path)
-        heads = documents.select(*totals.fieldNames())
-        repos = documents.select(F.explode("repos").alias("project_name", "totals"))
+        found = json_entries.read_members(spark, path, split_bytes=split_bytes)
+        broken = found.filter("NOT sound").select("file").distinct()
+        whole = found.join(F.broadcast(broken), "file", "left_anti")  # one row for each broken document
+        number = F.from_json(F.concat(F.lit('{"v":'), "value", F.lit("}")), "v long")["v"]
+        named = [F.max_by(F.when(F.col("name") == c, number), F.when(F.col("name") == c, F.col("at"))).alias(c) for c in totals.fieldNames()]
+        heads = whole.filter("depth = 1").groupBy("file").agg(*named).drop("file")
+        last = whole.filter("depth = 2 AND parent = 'repos'").groupBy("file", "name").agg(F.max_by("value", "at").alias("value"))
+        repos = last.select(F.col("name").alias("project_name"), F.from_json("value", PROJECT_TOTALS).alias("totals"))
     return heads.filter("total_tokens IS NOT NULL AND total_files IS NOT NULL"), _totals(repos)
 
 
