@@ -177,6 +177,16 @@ def chunks_read(spark, sf):
     return state.read_chunks(spark, path).drop("absolute_path")
 
 
+@query("chunks_sound", _with(V.STRICT_SQL, _META))
+def chunks_sound(spark, sf):
+    """The chunks read row group by row group; none is damaged."""
+    path = staging.new_path(spark, "chunks")
+    tables.write_chunks(V.tree_metadata(spark, sf), path)
+    rows, damage = state.read_sound_chunks(spark, path)
+    assert damage.isEmpty()
+    return rows.drop("absolute_path")
+
+
 @query(
     "chunk_write",
     _with(
@@ -439,6 +449,23 @@ def token_counts_read(spark, sf):
     )
 
 
+@query(
+    "summary_documents",
+    f"WITH {V.INDEX_SQL} SELECT file_path AS project_name, tokens, CAST(1 AS BIGINT) AS files_processed FROM v_index",
+)
+def summary_documents(spark, sf):
+    """Summaries of a hundred documents each, every one on a single line, read in splits of 2 KiB."""
+    one = F.struct(F.col("tokens").alias("tokens"), F.lit(1).cast("long").alias("files_processed"))
+    entries = F.map_from_entries(F.collect_list(F.struct("file_path", one)))
+    grouped = V.document_index(spark, sf).groupBy(F.expr("CAST(file_path AS BIGINT) div 100").alias("block")).agg(
+        F.sum("tokens").alias("total_tokens"), F.count("*").alias("total_files"), entries.alias("repos")
+    )
+    document = F.to_json(F.struct("total_tokens", F.col("total_files").alias("total_repos"), "total_files", "repos"))
+    path = staging.new_path(spark, "summaries")
+    grouped.select("block", document.alias("value")).write.partitionBy("block").text(path)
+    return state.read_summary(spark, path, split_bytes=2048)[1]
+
+
 # --- repository statistics ------------------------------------------------------------
 
 def _sql_list(values: list[str]) -> str:

@@ -6,13 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill import staging, storage
 from corpusmill.functions import html as H
 from corpusmill.functions.search import clone_url
 from corpusmill.schemas import FILE_CHUNK, PROJECT_TOTALS, RAW_PAGE, TOKEN_COUNTS
 from corpusmill.sources import json_entries
-from corpusmill.sources.tree import list_projects
+from corpusmill.sources.tree import list_directory, list_projects
 from corpusmill.storage import Clients
 
+#: Row groups that a task reads one after the other.
+GROUPS_PER_TASK = 16
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on any storage Spark can reach."""
@@ -51,6 +55,91 @@ def corrupt_chunks(spark: SparkSession, path: str) -> DataFrame:
     return paths.mapInArrow(run, "file string, error string")
 
 
+def read_sound_chunks(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of all sound row groups of the metadata chunks at ``path``, and ``file, row_group, error`` of
+    the damaged ones; a chunk whose footer cannot be read has row group -1.
+
+    Row groups are dealt out and read one by one, each whole before any of its rows counts, so damage in
+    one costs no other. Both tables come from one staged reading. Columns that a chunk lacks are null.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    top = spark.createDataFrame([(storage.qualified(spark, path),)], "path string")
+    layout = to_arrow_schema(FILE_CHUNK)
+
+    def opened(name: str, clients: Clients):
+        import pyarrow.parquet as pq
+
+        filesystem, inner = clients.at(name)
+        return pq.ParquetFile(inner, filesystem=filesystem)
+
+    def listed(batches):
+        """Names alone, empty files too, which Spark's own readers pass over."""
+        import pyarrow as pa
+
+        clients = Clients()
+        for batch in batches:
+            folders = batch.column(0).to_pylist()
+            while folders:
+                folder, found = folders.pop(), []
+                for name, is_dir, _ in list_directory(folder, clients):
+                    if is_dir:
+                        folders.append(f"{folder}/{name}")
+                    elif name.endswith(".parquet") and name[0] not in "._":
+                        found.append(f"{folder}/{name}")
+                if found:
+                    yield pa.RecordBatch.from_pydict({"path": found})
+
+    def plan(batches):
+        import pyarrow as pa
+
+        clients, schema = Clients(), pa.schema([("file", pa.string()), ("row_group", pa.int32()), ("error", pa.string())])
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                try:
+                    with opened(name, clients) as chunk:
+                        found = [(name, i, None) for i in range(chunk.num_row_groups)]
+                except (pa.ArrowException, OSError) as error:
+                    found = [(name, -1, str(error))]
+                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, f, strict=True)) for f in found], schema=schema)
+
+    def read(batches):
+        import pyarrow as pa
+
+        clients = Clients()
+        for batch in batches:
+            for row in batch.to_pylist():
+                error, table = row["error"], layout.empty_table()
+                if error is None:
+                    try:
+                        with opened(row["file"], clients) as chunk:
+                            known = [c for c in layout.names if c in chunk.schema_arrow.names]
+                            got = chunk.read_row_group(row["row_group"], columns=known)
+                        got.validate(full=True)
+                        columns = [
+                            got.column(f.name).cast(f.type) if f.name in known else pa.nulls(got.num_rows, f.type) for f in layout
+                        ]
+                        table = pa.Table.from_arrays(columns, schema=layout)
+                    except (pa.ArrowException, OSError) as reason:
+                        error = str(reason)
+                if error is not None:  # a row of its own, without values
+                    table = pa.Table.from_arrays([pa.nulls(1, f.type) for f in layout], schema=layout)
+                notes = [("file", row["file"], pa.string()), ("row_group", row["row_group"], pa.int32()), ("error", error, pa.string())]
+                for name, value, kind in notes:
+                    table = table.append_column(f"_{name}", pa.array([value] * table.num_rows, kind))
+                yield from table.combine_chunks().to_batches()
+
+    names = staging.stage(top.mapInArrow(listed, "path string"), "chunk-names")
+    spread = names.repartition(spark.sparkContext.defaultParallelism, "path")
+    planned = staging.stage(spread.mapInArrow(plan, "file string, row_group int, error string"), "row-groups")
+    tasks = max(spark.sparkContext.defaultParallelism, planned.count() // GROUPS_PER_TASK)
+    noted = T.StructType(FILE_CHUNK.fields + [T.StructField(f"_{n}", k) for n, k in (("file", T.StringType()), ("row_group", T.IntegerType()), ("error", T.StringType()))])
+    outcome = staging.stage(planned.repartition(tasks, "file", "row_group").mapInArrow(read, noted), "sound-rows")
+    rows = outcome.filter("_error IS NULL").select(*FILE_CHUNK.fieldNames())
+    damage = outcome.filter("_error IS NOT NULL").select(F.col("_file").alias("file"), F.col("_row_group").alias("row_group"), F.col("_error").alias("error"))
+    return rows, damage
+
+
 def read_summary(
     spark: SparkSession, path: str, *, split_bytes: int = json_entries.SPLIT_BYTES
 ) -> tuple[DataFrame, DataFrame]:

@@ -1,5 +1,7 @@
 import json
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from corpusmill.operators import repo_stats, rollup
@@ -103,3 +105,42 @@ def test_corrupt_chunks_are_named(spark, tmp_path):
     found = state.corrupt_chunks(spark, path).collect()
     assert [r.file.rsplit("/", 1)[1] for r in found] == ["part-9.parquet"] and found[0].error
     assert state.read_chunks(spark, path, skip_corrupt=True).count() == 3
+
+
+def test_damage_costs_its_row_group_only(spark, tmp_path):
+    """Chunks with a broken page, a broken footer, a missing column, and sound ones."""
+    folder = tmp_path / "chunks"
+    folder.mkdir()
+
+    def chunk(name, drop=()):
+        columns = {
+            "project_name": [f"p/{name}"] * 300,
+            "relative_path": [f"{i}-{i * 7919 % 1009}.py" for i in range(300)],
+            "file_size": list(range(300)),
+            "sha256": [f"{i:064x}" for i in range(300)],
+            "token_count": [i % 7 for i in range(300)],
+            "absolute_path": [f"/{i}" for i in range(300)],
+        }
+        table = pa.table({k: v for k, v in columns.items() if k not in drop})
+        path = folder / f"{name}.parquet"
+        pq.write_table(table, path, row_group_size=100, compression="snappy", write_page_checksum=True)
+        return path
+
+    chunk("sound"), chunk("narrow", drop=["token_count"])
+    page = chunk("page")
+    place = pq.ParquetFile(page).metadata.row_group(1).column(3)
+    with open(page, "r+b") as handle:  # in the middle of the second row group's hashes
+        handle.seek(place.data_page_offset + place.total_compressed_size // 2)
+        handle.write(b"\xff" * 64)
+    footer = chunk("footer")
+    with open(footer, "r+b") as handle:
+        handle.truncate(footer.stat().st_size - 20)
+    (folder / "empty.parquet").write_bytes(b"")
+    rows, damage = state.read_sound_chunks(spark, str(folder))
+    found = {r.project_name: r["count"] for r in rows.groupBy("project_name").count().collect()}
+    assert found == {"p/sound": 300, "p/narrow": 300, "p/page": 200}
+    assert rows.filter("project_name = 'p/narrow' AND token_count IS NULL").count() == 300
+    assert rows.filter("project_name = 'p/page' AND file_size BETWEEN 100 AND 199").isEmpty()
+    named = sorted((r.file.rpartition("/")[2], r.row_group) for r in damage.collect())
+    assert named == [("empty.parquet", -1), ("footer.parquet", -1), ("page.parquet", 1)]
+    assert damage.filter("error = ''").isEmpty()
