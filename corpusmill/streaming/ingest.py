@@ -130,6 +130,26 @@ def running_first_seen(stream: DataFrame, out: str, key: str, order_by: list[str
     return keep_latest(first, out, [key]).select("_first.*")
 
 
+def add_up(stream: DataFrame, out: str, partial: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
+    """Running sums without any state: ``partial`` makes of each micro-batch rows of ``keys`` and long
+    counts, which are added up when they are read, and compacted to one row for each key at the end of a
+    run. Rows may come in any order and any time late; a batch costs what it holds."""
+    spark = stream.sparkSession
+    schema = partial(spark.createDataFrame([], stream.schema)).schema
+    counts = [c for c in schema.fieldNames() if c not in keys]
+
+    def sink(batch: DataFrame, number: int) -> None:
+        partial(batch).write.mode("overwrite").parquet(f"{out}/data/{BATCH}={number}")
+
+    _run(stream, out, "append", sink)
+
+    def whole() -> DataFrame:
+        return _results(spark, out, schema).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts])
+
+    _compact(spark, out, whole())
+    return whole()
+
+
 def request_rate(
     stream: DataFrame,
     out: str,
@@ -138,20 +158,24 @@ def request_rate(
     window: str = "60 seconds",
     step: str = "10 seconds",
 ) -> DataFrame:
-    """Requests per sliding window. Landed files have no order in time, so there is no watermark:
-    the state keeps every window. ``column`` is cast to a timestamp with zone; the session time
-    zone should be UTC."""
-    timed = stream.withColumn(column, F.col(column).cast("timestamp"))
-    counts = (
-        timed.groupBy(F.window(column, window, step).alias("w"))
-        .agg(F.count(F.lit(1)).alias("requests"))
-        .select(
-            F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-            "requests",
+    """Requests per sliding window. Landed files have no order in time; counts of windows add up over
+    micro-batches, so there is neither a watermark, which would lose late rows, nor state, which would
+    have to keep every window. ``column`` is cast to a timestamp with zone; the session time zone should
+    be UTC."""
+
+    def partial(batch: DataFrame) -> DataFrame:
+        timed = batch.select(F.col(column).cast("timestamp").alias("ts"))
+        return (
+            timed.groupBy(F.window("ts", window, step).alias("w"))
+            .agg(F.count(F.lit(1)).alias("requests"))
+            .select(
+                F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+                "requests",
+            )
         )
-    )
-    return keep_latest(counts, out, ["window_start", "window_end"])
+
+    return add_up(stream, out, partial, ["window_start", "window_end"])
 
 
 def merge(stream: DataFrame, out: str, key: str, order_by: list[str]) -> DataFrame:

@@ -1,3 +1,4 @@
+import datetime
 import random
 
 import pytest
@@ -81,3 +82,26 @@ def test_windowed_rate_equals_batch(spark, tmp_path):
     times = [r.ts for r in df.collect()]
     assert sum(r.requests for r in got) == 6 * len(times)
     assert all(r.requests == sum(r.window_start <= t < r.window_end for t in times) for r in got)
+
+
+def test_rate_far_out_of_order_keeps_no_state(spark, tmp_path):
+    """Months of requests in any order over restarts: nothing is lost and no state is kept."""
+    rng = random.Random(8)
+    seconds = [rng.randrange(0, 120 * 86400, 7) for _ in range(300)] + [5] * 40 + [60 * 86400 + i for i in range(60)]
+    rng.shuffle(seconds)
+    folder, out, expected = tmp_path / "landing", str(tmp_path / "out"), {}
+    for run, low in enumerate(range(0, 400, 100)):
+        part = spark.createDataFrame([(s,) for s in seconds[low : low + 100]], "s long").select(F.timestamp_seconds("s").alias("ts"))
+        part.repartition(3).write.mode("append").parquet(str(folder))
+        for s in seconds[low : low + 100]:
+            for start in range(s // 10 * 10 - 50, s // 10 * 10 + 1, 10):
+                expected[start] = expected.get(start, 0) + 1
+        stream = ingest.read_landing(spark, str(folder), part.schema, files_per_batch=2)
+        rows = ingest.request_rate(stream, out).collect()
+        epoch = datetime.datetime(1970, 1, 1)
+        assert {(r.window_start - epoch) // datetime.timedelta(seconds=1): r.requests for r in rows} == expected
+        assert len(rows) == len(expected) and run == low // 100
+        assert not (tmp_path / "out" / "checkpoint" / "state").exists()
+    assert [p.name for p in (tmp_path / "out" / "data").iterdir()] == []
+    again = ingest.request_rate(ingest.read_landing(spark, str(folder), part.schema), out)
+    assert again.agg(F.sum("requests")).first()[0] == 6 * 400
