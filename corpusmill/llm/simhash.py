@@ -31,12 +31,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill import staging
-from corpusmill.llm import common, components, near_copies, skew
+from corpusmill.llm import common, components, near_copies, sieve, skew
 from corpusmill.llm.shingles import SEED, shingle_hashes, words_of
 
 SHINGLE = 3
@@ -316,9 +316,14 @@ def drop_near_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id")
     with that id, the first in order of their text), all columns. Rows with a null id belong to no
     group and stay.
     """
-    made = near_copies.groups(df, text, id)
-    chosen = made.where(F.col("id") == F.col("component")).select(F.col("id").alias("__id")).distinct()
+    made = staging.stage(near_copies.groups(df, text, id), "near-copies-made")
+    gone = staging.stage(made.where("id != component").select(F.col("id").alias("__id")).distinct(), "near-copies-gone")
+    again = made.where("id = component").groupBy(F.col("id").alias("__id")).count().where("count > 1").select("__id")
+    again = staging.stage(again, "near-copies-again")
     packed = df.select(F.col(f"`{id}`").cast("bigint").alias("__id"), F.struct("*").alias("row"))
-    place = F.row_number().over(Window.partitionBy("__id").orderBy(F.col("row").getField(text)))
-    first = packed.join(chosen, "__id", "left_semi").withColumn("__place", place).where(F.col("__place") == 1)
-    return first.select("row.*").unionByName(df.where(F.col(f"`{id}`").isNull()))
+    stay = sieve.outside(packed, gone, "__id")
+    if again.isEmpty():
+        return stay.select("row.*")
+    order = F.struct(F.col("row").getField(text))
+    first = sieve.among(stay, again, "__id").groupBy("__id").agg(F.min_by("row", order).alias("row"))
+    return sieve.outside(stay, again, "__id").select("row.*").unionByName(first.select("row.*"))
