@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,19 +27,52 @@ def candidates(listing: DataFrame, *, max_size: int = MAX_FILE_SIZE) -> DataFram
     return listing.filter(is_candidate(max_size))
 
 
+#: Rules in the order they are applied, and what passes all of them.
+REASONS = ("hidden", "git", "suffix", "size", "binary", "encoding", "kept")
+
+
+def drop_reason(max_size: int = MAX_FILE_SIZE) -> Column:
+    """The first rule that rejects a file with its content, or ``kept``."""
+    directory, path, content = F.col("dir_name"), F.col("file_path"), F.col("content")
+    failed = [
+        paths.is_hidden(directory),
+        paths.under_git_like(directory, path),
+        ~F.endswith(path, F.lit(".py")),
+        F.col("size") > F.lit(max_size),
+        text.has_nul(content),
+        ~text.is_utf8(content),
+    ]
+    chain = F.when(failed[0], REASONS[0])
+    for rule, name in zip(failed[1:], REASONS[1:]):
+        chain = chain.when(rule, name)
+    return chain.otherwise(REASONS[-1])
+
+
+def drop_counts(spark: SparkSession, audit: Observation) -> DataFrame:
+    """``reason, files`` of an audit whose extraction has been used."""
+    return spark.createDataFrame(list(audit.get.items()), "reason string, files long")
+
+
 def extract_metadata(
     files: DataFrame,
     *,
     root: str = "",
     max_size: int = MAX_FILE_SIZE,
     tokenizer: Tokenizer = "regex",
+    audit: Observation | None = None,
 ) -> DataFrame:
     """Metadata of every file that passes all rules; the others are left out silently.
 
-    ``files`` holds ``dir_name, file_path, size, content``. An empty file passes, with 0 tokens.
+    ``files`` holds ``dir_name, file_path, size, content``. An empty file passes, with 0 tokens. ``audit``
+    receives, once the result is used, how many files each rule was the first to reject, and how many
+    passed (:data:`REASONS`), counted in the same pass; use the result as the last step of one write, as
+    a stage that Spark repeats for a shuffle would count again.
     """
     content = F.col("content")
     project = paths.dir_to_project(F.col("dir_name"))
+    if audit is not None:
+        reason = drop_reason(max_size)
+        files = files.observe(audit, *[F.count_if(reason == r).alias(r) for r in REASONS])
     return (
         candidates(files, max_size=max_size)
         .filter(text.is_strict_text(content))

@@ -231,3 +231,34 @@ def shard_stats(assigned: DataFrame) -> DataFrame:
         F.sum("size").alias("bytes"),
         F.sum("tokens").alias("tokens"),
     )
+
+
+#: Files of a project that one task sums up; larger projects are cut into ranges.
+FILES_PER_WINDOW = 1_000_000
+
+
+def assign_shards_prefix(index: DataFrame, *, target: int = SHARD_TARGET) -> DataFrame:
+    """Shards by prefix sums: a file's shard is the number of whole ``target`` bytes before it in
+    canonical order, so a shard holds at most ``target`` bytes and one file, and small shards do not grow.
+
+    Totals of projects give each project its base; within projects bytes are summed up by project, those
+    with more than ``FILES_PER_WINDOW`` files in ranges. Only project totals are sorted as a whole.
+    ``index`` should be staged. Shards that no file begins in have no rows.
+    """
+    size = F.coalesce("size", F.lit(0))
+    totals = index.groupBy("project_name").agg(F.sum(size).alias("_bytes"), F.count(F.lit(1)).alias("_files"))
+    totals = staging.stage(totals, "project-bytes")
+    summed = running_sums(totals, ["project_name"], {"_upto": "_bytes"})
+    bases = staging.stage(summed.select("project_name", "_files", (F.col("_upto") - F.col("_bytes")).alias("_base")), "project-bases")
+    large = F.broadcast(bases.filter(F.col("_files") > FILES_PER_WINDOW).select("project_name", "_base"))
+    within = Window.partitionBy("project_name").orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1)
+    usual = index.join(large.select("project_name"), "project_name", "left_anti").join(bases.drop("_files"), "project_name")
+    usual = usual.withColumn("_before", F.col("_base") + F.coalesce(F.sum(size).over(within), F.lit(0)))
+    hot = running_sums(index.join(large.select("project_name"), "project_name", "left_semi"), ["project_name", "file_path"], {"_upto": "size"})
+    # ranges of all large projects are summed in one order; what came before a project is taken off again
+    first = totals.join(large, "project_name").select("project_name", "_bytes", "_base")
+    first = running_sums(first, ["project_name"], {"_sum": "_bytes"})
+    shift = F.broadcast(first.select("project_name", (F.col("_base") - (F.col("_sum") - F.col("_bytes"))).alias("_shift")))
+    hot = hot.join(shift, "project_name").withColumn("_before", F.col("_shift") + F.col("_upto") - size)
+    both = usual.select(*index.columns, "_before").unionByName(hot.select(*index.columns, "_before"))
+    return both.withColumn("shard_id", shard_label(_div(F.col("_before"), target))).select(*index.columns)

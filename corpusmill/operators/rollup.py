@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.units import gib
@@ -60,6 +60,25 @@ def reconcile(actual: DataFrame, expected: DataFrame) -> DataFrame:
     )
 
 
+def reconcile_projects(actual: DataFrame, expected: DataFrame) -> DataFrame:
+    """Compare two per-project tables (``project_name, tokens, files_processed``), a row for each project
+    of either. What one side lacks is null there, counts as 0 in the differences, and never matches."""
+    sides = [
+        side.select("project_name", F.col("tokens").alias(f"{n}_tokens"), F.col("files_processed").alias(f"{n}_files"), F.lit(True).alias(f"_{n}"))
+        for n, side in (("actual", actual), ("expected", expected))
+    ]
+    both = sides[0].join(sides[1], "project_name", "full_outer")
+    known = F.col("_actual").isNotNull() & F.col("_expected").isNotNull()
+
+    def compared(what: str) -> list[Column]:
+        own, wanted = F.col(f"actual_{what}"), F.col(f"expected_{what}")
+        difference = F.coalesce(own, F.lit(0)) - F.coalesce(wanted, F.lit(0))
+        return [wanted, own, difference.alias(f"{what}_diff"), (known & own.eqNullSafe(wanted)).alias(f"{what}_match")]
+
+    side = F.when(known, "both").when(F.col("_actual"), "actual").otherwise("expected")
+    return both.select("project_name", side.alias("side"), *compared("tokens"), *compared("files"))
+
+
 def summary_lines(rollup: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """The summary document as text lines: ``part, project_name, line``.
 

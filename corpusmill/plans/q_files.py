@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from corpusmill import constants as C
@@ -170,6 +171,26 @@ def extract_metadata(spark, sf):
     return V.tree_metadata(spark, sf)
 
 
+@query(
+    "drop_reasons",
+    _with(
+        V.TREE_SQL,
+        f""", v_reason AS (SELECT CASE WHEN substr(dir_name, 1, 1) = '.' THEN 'hidden'
+            WHEN strpos(dir_name || '/' || parent, '.git') > 0 THEN 'git' WHEN right(file_path, 3) <> '.py' THEN 'suffix'
+            WHEN size > {FILE_CAP} THEN 'size' WHEN kind = 'nul' THEN 'binary' WHEN kind = 'bad' THEN 'encoding' ELSE 'kept' END
+            AS reason FROM v_tree)
+        SELECT r.reason, count(v.reason) AS files
+        FROM (VALUES {", ".join(f"('{r}')" for r in extract.REASONS)}) r(reason) LEFT JOIN v_reason v ON v.reason = r.reason
+        GROUP BY r.reason""",
+    ),
+)
+def drop_reasons(spark, sf):
+    """What the extraction leaves out and why, counted while its result is written."""
+    audit = Observation("drop_reasons")
+    staging.stage(extract.extract_metadata(V.tree_table(spark, sf), max_size=FILE_CAP, audit=audit), "audited")
+    return extract.drop_counts(spark, audit)
+
+
 @query("chunks_read", _with(V.STRICT_SQL, _META))
 def chunks_read(spark, sf):
     path = staging.new_path(spark, "chunks")
@@ -414,6 +435,29 @@ def reconcile_totals(spark, sf):
     return rollup.reconcile(actual, rollup.summary_totals(token_counter(spark, sf)))
 
 
+@query(
+    "reconcile_projects",
+    _with(
+        V.STRICT_SQL + "," + V.COUNTED_SQL.replace(V.TREE_SQL + ",", ""),
+        """, v_actual AS (SELECT project_name, CAST(sum(tokens) AS BIGINT) AS tokens, count(*) AS files FROM v_strict
+            WHERE project_name NOT LIKE '%1' GROUP BY project_name),
+          v_expected AS (SELECT project_name, CAST(tokens AS BIGINT) AS tokens, CAST(files_processed AS BIGINT) AS files
+            FROM v_counted WHERE project_name NOT LIKE '%2')
+        SELECT project_name, CASE WHEN a.files IS NOT NULL AND e.files IS NOT NULL THEN 'both' WHEN a.files IS NOT NULL
+            THEN 'actual' ELSE 'expected' END AS side,
+          e.tokens AS expected_tokens, a.tokens AS actual_tokens, coalesce(a.tokens, 0) - coalesce(e.tokens, 0) AS tokens_diff,
+          coalesce(a.tokens = e.tokens, false) AS tokens_match, e.files AS expected_files, a.files AS actual_files,
+          coalesce(a.files, 0) - coalesce(e.files, 0) AS files_diff, coalesce(a.files = e.files, false) AS files_match
+        FROM v_actual a FULL JOIN v_expected e USING (project_name)""",
+    ),
+)
+def reconcile_projects(spark, sf):
+    """Strict totals against lossy counts, each without some projects of the other."""
+    actual = rollup.project_rollup(V.tree_index(spark, sf)).filter("project_name NOT LIKE '%1'")
+    expected = token_counter(spark, sf).filter("project_name NOT LIKE '%2'")
+    return rollup.reconcile_projects(actual, expected)
+
+
 @query(
     "summary_json",
     f"WITH {V.INDEX_SQL}, v_rollup AS (" + _ROLLUP_SQL.format("v_index") + """),

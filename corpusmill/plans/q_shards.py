@@ -34,6 +34,15 @@ def assign_shards_exact(spark, sf):
     return _assigned(V.document_index(spark, sf))
 
 
+@query(
+    "assign_shards_prefix",
+    f"""WITH {V.INDEX_SQL} SELECT project_name, file_path, tokens, size, sha256,
+      printf('%05d', CAST((sum(size) OVER (ORDER BY project_name, file_path) - size) // {TARGET} AS BIGINT)) AS shard_id FROM v_index""",
+)
+def assign_shards_prefix(spark, sf):
+    return packing.assign_shards_prefix(staging.stage(V.document_index(spark, sf), "index"), target=TARGET)
+
+
 @query(
     "shard_stats",
     _walk(

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusmill.operators import packing
 from corpusmill.operators.ordering import batch_ids, running_sums
@@ -94,3 +95,20 @@ def test_batch_ids_are_exact(spark):
     df = spark.range(2503).withColumnRenamed("id", "i")
     got = batch_ids(df, ["i"], 1000).groupBy("batch_id").count().orderBy("batch_id").collect()
     assert [tuple(r) for r in got] == [(0, 1000), (1, 1000), (2, 503)]
+
+
+def test_prefix_sums_with_large_projects(spark, monkeypatch):
+    """By project and in ranges alike; nulls, empty files and a project with a third of all files."""
+    rng = random.Random(12)
+    rows = [(rng.choice(["a", "a", "b", "c/d", "e", "f"]), f"f{i:04d}", rng.choice([0, 1, 7, 50, 400, None]), i) for i in range(600)]
+    index = spark.createDataFrame(rows, "project_name string, file_path string, size long, tokens long")
+    index = index.withColumn("sha256", F.lit("x")).withColumn("shard_id", F.lit(None).cast("string"))
+    before, wanted = 0, {}
+    for project, path, size, _ in sorted(rows, key=lambda r: r[:2]):
+        wanted[project, path] = f"{before // 100:05d}"
+        before += size or 0
+    for limit in (10**6, 100, 0):
+        monkeypatch.setattr(packing, "FILES_PER_WINDOW", limit)
+        found = packing.assign_shards_prefix(index, target=100)
+        assert {(r.project_name, r.file_path): r.shard_id for r in found.collect()} == wanted
+    assert packing.assign_shards_prefix(index.limit(0), target=100).count() == 0

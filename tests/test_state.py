@@ -144,3 +144,16 @@ def test_damage_costs_its_row_group_only(spark, tmp_path):
     named = sorted((r.file.rpartition("/")[2], r.row_group) for r in damage.collect())
     assert named == [("empty.parquet", -1), ("footer.parquet", -1), ("page.parquet", 1)]
     assert damage.filter("error = ''").isEmpty()
+
+
+def test_projects_on_one_side_only(spark):
+    schema = "project_name string, tokens long, files_processed long"
+    actual = spark.createDataFrame([("a", 5, 1), ("b", 7, 2), ("n", None, 1)], schema)
+    expected = spark.createDataFrame([("b", 7, 3), ("c", 1, 1), ("n", None, 1)], schema)
+    found = {r.project_name: tuple(r)[1:] for r in rollup.reconcile_projects(actual, expected).collect()}
+    assert found == {
+        "a": ("actual", None, 5, 5, False, None, 1, 1, False),
+        "b": ("both", 7, 7, 0, True, 3, 2, -1, False),
+        "c": ("expected", 1, None, -1, False, 1, None, -1, False),
+        "n": ("both", None, None, 0, True, 1, 1, 0, True),
+    }
