@@ -14,6 +14,7 @@ from corpusmill.operators.ordering import running_sums
 from corpusmill.plans import views as V
 from corpusmill.plans.registry import query
 from corpusmill.schemas import PROGRESS
+from corpusmill.sinks import bucketed, keyed
 from corpusmill.sources import state
 
 
@@ -168,6 +169,24 @@ def new_hits(spark, sf):
     return D.new_hits(found, seen, cloned, "repo_id", ["seq"])
 
 
+@query(
+    "new_hits_bucketed",
+    """SELECT o_custkey AS repo_id, min(o_orderkey) AS seq FROM orders
+    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
+      AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY o_custkey""",
+)
+def new_hits_bucketed(spark, sf):
+    """The same against seen and cloned tables in buckets, the seen one added to in a second step."""
+    found = V.table(spark, sf, "orders").select(F.col("o_custkey").alias("repo_id"), F.col("o_orderkey").alias("seq"))
+    customers = V.table(spark, sf, "customer").withColumnRenamed("c_custkey", "repo_id")
+    seen, cloned = staging.new_path(spark, "seen"), staging.new_path(spark, "cloned")
+    debtors = customers.filter("c_acctbal < 0").select("repo_id")
+    bucketed.create(debtors.filter("repo_id % 2 = 0"), seen, "repo_id", 8)
+    bucketed.create(customers.filter("c_mktsegment = 'BUILDING'").select("repo_id"), cloned, "repo_id", 8)
+    bucketed.add_unseen(debtors, seen)
+    return bucketed.unseen(D.first_seen(found, "repo_id", ["seq"]), seen, cloned)
+
+
 _MERGE_SQL = """, v_old AS (SELECT full_name, clone_url, stars FROM v_repos WHERE stars >= 4000),
 v_new AS (SELECT full_name, clone_url, stars + 1 AS stars FROM v_repos)"""
 
@@ -210,7 +229,11 @@ def repos_upsert(spark, sf):
         F.floor("o_totalprice").cast("long").alias("stars"),
         F.col("o_orderkey").alias("size"),
     )
-    return repo_stats.upsert_repos(stored, updates, ["cloned_at", "size"]).drop("cloned_at")
+    path = staging.new_path(spark, "repos")
+    keyed.create(stored, path, "full_name", 8)
+    latest = staging.stage(updates, "updates")
+    keyed.upsert(latest, path, lambda old, new: repo_stats.upsert_repos(old, new, ["cloned_at", "size"]))
+    return keyed.read(spark, path).drop("cloned_at")
 
 
 @query("page_counts", _sql(V.PAGE_LOG_SQL) + " SELECT query, page, found, new, skipped FROM v_log")
