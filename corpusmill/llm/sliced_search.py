@@ -31,6 +31,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -46,9 +47,10 @@ from corpusmill.operators import ordering
 BEST = 10
 #: Frequencies from which on a term is entered once more.
 LEVELS = (1, 2, 3, 5, 9)
-HASHES = 4
-#: A signature has so many bits for each entry at least, and up to twice as many.
-BITS = 8
+HASHES = 6
+#: A signature has so many bits for each entry at least, and up to twice as many. One term too many can
+#: lift a sum above the score to beat, so false positives, at most one in a thousand, cost exact scores.
+BITS = 16
 #: A block is complete with so many bytes of slices or documents.
 BLOCK_BYTES = 1 << 17
 BLOCK_ROWS = 1024
@@ -65,7 +67,9 @@ SCALE = 1_000_000_000
 
 _KEPT = {*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)}
 FOLD = bytes((c + 32 if 0x41 <= c <= 0x5A else c) if c in _KEPT else 0x20 for c in range(256))
-_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+_FIRST, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+#: Scores that a task hands on together.
+SCORED = 50_000
 
 
 def terms_of(text: str | None) -> list[bytes]:
@@ -80,7 +84,9 @@ def entries(terms: list[bytes], level: int) -> np.ndarray:
 
 def places(hashes: np.ndarray, bits: int) -> np.ndarray:
     """The ``HASHES`` bits of each entry in signatures of ``bits``, a power of two."""
-    return ((hashes[:, None] * _ODD[:HASHES]) >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
+    first, step = hashes * _FIRST, (hashes * _STEP) | np.uint64(1)
+    each = first[:, None] + step[:, None] * np.arange(HASHES, dtype=np.uint64)
+    return (each >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int32)
 
 
 class Signed(NamedTuple):
@@ -126,7 +132,7 @@ def build_index(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFr
                     hashed.append(entries([t for t, tf in counts.items() if tf >= least], level))
                 whole = np.concatenate(hashed)
                 bits = 1 << max(6, (BITS * len(whole) - 1).bit_length())
-                found = np.unique(places(whole, bits))
+                found = places(whole, bits).ravel()
                 block = open_.setdefault(bits, [])
                 block.append(Signed(number, len(terms), max(counts.values()), found))
                 if len(block) >= BLOCK_ROWS or len(block) * bits >= 8 * BLOCK_BYTES:
@@ -276,21 +282,25 @@ def score(df: DataFrame, wanted: DataFrame, items: Items, text: str, id: str) ->
 
     def run(batches):
         bounds = np.searchsorted(items.item, np.arange(items.size + 1))
-        for batch in common.slices(batches, lambda b: b.column(2)):
-            out: list[tuple[int, int, int]] = []
-            for number, asked, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                terms = terms_of(text)
-                if not terms:
-                    continue
-                counts, m = Counter(terms), damping(np.int64(len(terms)), items)
-                for item in asked:
-                    own = slice(bounds[item], bounds[item + 1])
-                    term = items.term[own]
-                    tf = np.array([counts.get(items.terms[t], 0) for t in term.tolist()], np.int64)
-                    total = int((items.times[own] * items.weights[term] * part(tf, m)).sum())
-                    if total > 0:
-                        out.append((item, number, total))
-            item, number, total = (np.array(c, np.int64) for c in zip(*out, strict=True)) if out else np.zeros((3, 0), np.int64)
+
+        def scored():
+            for batch in common.slices(batches, lambda b: b.column(2)):
+                for number, asked, text in zip(*batch.columns, strict=True):
+                    terms = terms_of(text.as_py())
+                    if not terms:
+                        continue
+                    counts, m = Counter(terms), damping(np.int64(len(terms)), items)
+                    for item in asked.as_py():
+                        own = slice(bounds[item], bounds[item + 1])
+                        term = items.term[own]
+                        tf = np.array([counts.get(items.terms[t], 0) for t in term.tolist()], np.int64)
+                        total = int((items.times[own] * items.weights[term] * part(tf, m)).sum())
+                        if total > 0:
+                            yield item, number.as_py(), total
+
+        rows = scored()
+        while held := list(islice(rows, SCORED)):
+            item, number, total = (np.array(c, np.int64) for c in zip(*held, strict=True))
             yield pa.RecordBatch.from_pydict({"item": item, "id": number, "score": total})
 
     return met.mapInArrow(run, "item bigint, id bigint, score bigint")
