@@ -11,10 +11,13 @@ The sample holds the ``SAMPLE`` labelled rows of each label with the smallest ha
 what reaches the driver and the executors is bounded: at most ``2 * SAMPLE`` vectors of ``TERMS``
 counts, and of ``DIMENSIONS`` numbers.
 
+All numbers that decide are multiples of fixed steps, small enough that their products and sums are exact,
+so a text's score does not depend on what else is in its block.
+
 Defined results: a null or empty text has the zero vector and gets the share of good rows in the
 sample as its score, as does every text if nothing could be learned (0.5 without any label); equal
-similarities are ordered by the sample's order; rows without a label teach nothing; repeated rows
-get equal scores; texts of any length are read whole; an empty table gives an empty table. Other
+similarities are ordered by the sample's order; rows without a label teach nothing; an id with several
+labels has the smallest of them, and one with several texts the smallest text; repeated rows get equal scores; texts of any length are read whole; an empty table gives an empty table. Other
 columns are left alone.
 """
 
@@ -34,6 +37,8 @@ DIMENSIONS = 48
 NEIGHBOURS = 25
 THRESHOLD = 0.7
 POWER = 8  # a neighbour's weight is its similarity to this power
+#: Steps of term counts, of the projection and of the vectors' coordinates, each one over a power of two.
+COUNT_STEP, PROJECT_STEP, VECTOR_STEP = 2.0**-12, 2.0**-20, 2.0**-15
 
 CLASSES = 16
 _OWN = b"#$%&*|!.,\"'"  # punctuation marks with a class of their own, in two groups of marks
@@ -75,7 +80,12 @@ def term_counts(texts: list[str], table: bytes) -> np.ndarray:
         out[i, GRAMS] = sum(map(bytes.__eq__, words, words[1:]))
         out[i, GRAMS + 1] = sum(map(bytes.__eq__, lines, lines[1:]))
     total = np.maximum(out.sum(1, keepdims=True), 1)
-    return np.log1p(out * (1000 / total))
+    return stepped(np.log1p(out * (1000 / total)), COUNT_STEP)
+
+
+def stepped(values: np.ndarray, step: float) -> np.ndarray:
+    """Each value as the nearest multiple of ``step``."""
+    return np.rint(values / step) * step
 
 
 class Model(NamedTuple):
@@ -87,8 +97,10 @@ class Model(NamedTuple):
     prior: float
 
 
-def unit(rows: np.ndarray) -> np.ndarray:
-    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+def vectors_of(counts: np.ndarray, project: np.ndarray) -> np.ndarray:
+    """Projected rows of length 1, in steps."""
+    rows = np.ascontiguousarray(counts.astype(np.float64) @ project)
+    return stepped(rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12), VECTOR_STEP)
 
 
 def leading(rows: np.ndarray, size: int, rounds: int = 12) -> np.ndarray:
@@ -108,13 +120,13 @@ def fit(counts: np.ndarray, labels: np.ndarray) -> Model:
     """Latent-semantic vectors of the sample: inverse document frequencies and a truncated SVD."""
     n = len(labels)
     if not n:
-        return Model(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0, np.float32), 0.5)
+        return Model(np.zeros((TERMS, 1)), np.zeros((0, 1)), np.zeros(0), 0.5)
     weight = (np.log((1 + n) / (1 + np.count_nonzero(counts, axis=0))) + 1).astype(np.float32)
     weighted = counts * weight
     weighted /= np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
-    project = (weight[:, None] * leading(weighted, min(DIMENSIONS, n))).astype(np.float32)
+    project = stepped(weight[:, None].astype(np.float64) * leading(weighted, min(DIMENSIONS, n)), PROJECT_STEP)
     del weighted
-    return Model(project, unit(counts @ project).astype(np.float32), labels.astype(np.float32), float(labels.mean()))
+    return Model(project, vectors_of(counts, project), labels.astype(np.float64), float(labels.mean()))
 
 
 def vote(counts: np.ndarray, model: Model) -> np.ndarray:
@@ -122,14 +134,17 @@ def vote(counts: np.ndarray, model: Model) -> np.ndarray:
     scores = np.full(len(counts), model.prior)
     if not len(model.labels):
         return scores
-    vectors = unit(counts @ model.project)
+    vectors = vectors_of(counts, model.project)
     known = np.flatnonzero(np.abs(vectors).sum(1) > 0)
-    near = min(NEIGHBOURS, len(model.labels))
+    size = len(model.labels)
+    near, place = min(NEIGHBOURS, size), np.arange(size)
     for low in range(0, len(known), 256):
         rows = known[low : low + 256]
-        similar = vectors[rows] @ model.vectors.T
-        at = np.argpartition(-similar, near - 1, axis=1)[:, :near] if near < similar.shape[1] else np.tile(np.arange(near), (len(rows), 1))
-        weight = np.maximum(np.take_along_axis(similar, at, 1), 0) ** POWER + 1e-12
+        steps = ((vectors[rows] @ model.vectors.T) / VECTOR_STEP**2).astype(np.int64)
+        order = place - steps * size  # no two are equal: by similarity, then by place
+        best = np.sort(np.partition(order, near - 1, axis=1)[:, :near], axis=1)
+        at = best % size
+        weight = np.maximum((at - best) // size * VECTOR_STEP**2, 0) ** POWER + 1e-12
         scores[rows] = np.clip((weight * model.labels[at]).sum(1) / weight.sum(1), 0, 1)
     return scores
 
@@ -139,15 +154,19 @@ def learn(
 ) -> Model:
     """Fit on the ``SAMPLE`` rows of ``labels`` of each label (0 and 1) whose id hashes lowest.
 
-    The sample is drawn from ids and labels alone and broadcast to the documents, so no text is
-    shuffled; the sample's term counts, not its texts, reach the driver.
+    The sample is drawn from ids and labels alone and broadcast to the documents, so only the sample's
+    texts are shuffled, one for each id and task at most; its term counts reach the driver.
     """
-    rank = F.xxhash64(F.col(f"`{id}`").cast("string"))
-    known = labels.select(F.col(f"`{id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label"), rank.alias("rank"))
-    parts = [known.where((F.col("label") == value) & F.col("id").isNotNull()).orderBy("rank", "id").limit(SAMPLE) for value in (0, 1)]
+    own = labels.select(F.col(f"`{id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label"))
+    single = own.where("id IS NOT NULL AND label IN (0, 1)").groupBy("id").agg(F.min("label").alias("label"))
+    known = single.withColumn("rank", F.xxhash64(F.col("id").cast("string")))
+    parts = [known.where(F.col("label") == value).orderBy("rank", "id").limit(SAMPLE) for value in (0, 1)]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # at most 2 * SAMPLE rows
     texts = documents.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    sample = texts.join(chosen, "id").select("label", "text", "rank")
+    sample = texts.join(chosen, "id").groupBy("id").agg(
+        F.first("label").alias("label"), F.min("text").alias("text"), F.first("rank").alias("rank")
+    )
+    sample = sample.select("label", "text", "rank")
     table = _classes()
 
     def run(batches):
