@@ -5,8 +5,10 @@ pasted into a line is found by its sentences) and every paragraph of several lin
 between lines without words (a passage that was wrapped into short lines is found by it). Units are
 normalised (lower case, white space runs as one space), digests are grouped over the whole corpus,
 the occurrence ranked first stays and every later one is removed. Ranks go by document id, then by
-place in the document. Units with fewer than ``UNIT_CHARS`` characters besides white space repeat by
-chance and stay; words are not counted, as some scripts write none.
+place in the document. Lines and paragraphs count however short they are, if they have a character
+besides white space; a sentence within a line counts from ``sentence_chars`` such characters on, as
+shorter ones ("So he said.") repeat by chance in lines that do not. Words are not counted, as some
+scripts write none.
 
 Digests are grouped with partial aggregation to the first occurrence and a count; only digests that
 come twice or more meet their occurrences again, the hot ones without a shuffle. Removed stretches
@@ -32,7 +34,8 @@ from pyspark.sql import types as T
 from corpusmill import staging
 from corpusmill.llm import common, skew
 
-UNIT_CHARS = 10
+#: Characters besides white space that a sentence within a line has at least.
+SENTENCE_CHARS = 10
 SENTENCE_END = re.compile(r"[.!?…][\"'”’)\]]*(?=\s)|[。！？]")
 SPANS = common.span(start=common.LONG, end=common.LONG)
 SPAN_ARROW = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -50,31 +53,29 @@ def sentences(line: str, offset: int) -> list[tuple[int, int]]:
     return out
 
 
-def units(text: str) -> list[tuple[int, int, int]]:
+def units(text: str, sentence_chars: int = SENTENCE_CHARS) -> list[tuple[int, int, int]]:
     """``(start, end, digest)`` of every unit of a text, in order of their start and end."""
     out = []
     at = 0
     paragraph: list[str] = []
     first = last = lines = 0
 
-    def add(start: int, end: int, words: list[str]) -> None:
-        if sum(map(len, words)) >= UNIT_CHARS:
-            out.append((start, end, digest(words)))
-
     for line in [*text.split("\n"), ""]:
         words = line.lower().split()
         if words:
-            add(at, at + len(line), words)
+            out.append((at, at + len(line), digest(words)))
             parts = sentences(line, at)
             if len(parts) > 1:
                 for start, end in parts:
-                    add(start, end, text[start:end].lower().split())
+                    own = text[start:end].lower().split()
+                    if own and sum(map(len, own)) >= sentence_chars:
+                        out.append((start, end, digest(own)))
             first = first if lines else at
             last, lines = at + len(line), lines + 1
             paragraph += words
         elif lines:
             if lines > 1:
-                add(first, last, paragraph)
+                out.append((first, last, digest(paragraph)))
             paragraph, lines = [], 0
         at += len(line) + 1
     return sorted(out)
@@ -107,12 +108,12 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*kept, text[at:]])
 
 
-def find_units(rows: DataFrame) -> DataFrame:
+def find_units(rows: DataFrame, sentence_chars: int = SENTENCE_CHARS) -> DataFrame:
     """``digest, id, copy, start, end`` of all units of ``rows`` (``id, copy, text``)."""
 
     def run(batches):
         for batch in common.slices(batches, lambda b: b.column(2)):
-            found = [units(t or "") for t in batch.column(2).to_pylist()]
+            found = [units(t or "", sentence_chars) for t in batch.column(2).to_pylist()]
             owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
             flat = [u for f in found for u in f]
             yield pa.RecordBatch.from_pydict(
@@ -130,9 +131,9 @@ def find_units(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, T.StructType(fields))
 
 
-def repeated_spans(rows: DataFrame) -> DataFrame:
+def repeated_spans(rows: DataFrame, sentence_chars: int = SENTENCE_CHARS) -> DataFrame:
     """``id, copy, spans``: the units of each row that came before, in this row or an earlier one."""
-    found = staging.stage(find_units(rows), "substring-units")
+    found = staging.stage(find_units(rows, sentence_chars), "substring-units")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "copy", "start", F.col("end").alias("end"))
     grouped = found.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     facts = staging.stage(grouped, "substring-digests")
@@ -141,13 +142,15 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     return later.groupBy("id", "copy").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
-def remove_repeats(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+def remove_repeats(
+    df: DataFrame, text: str = "text", id: str = "doc_id", sentence_chars: int = SENTENCE_CHARS
+) -> DataFrame:
     """``row`` (all columns), ``kept`` (the text without repeats) and ``removed`` (spans of the
     original text, merged)."""
     named = df.select(
         F.col(f"`{id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("copy"), F.col(f"`{text}`").alias("text"), F.struct("*").alias("row")
     )
-    spans = repeated_spans(named.select("id", "copy", "text"))
+    spans = repeated_spans(named.select("id", "copy", "text"), sentence_chars)
     same = F.col("id").eqNullSafe(F.col("its_id")) & (F.col("copy") == F.col("its_copy"))
     renamed = spans.select(F.col("id").alias("its_id"), F.col("copy").alias("its_copy"), "spans")
     joined = named.drop("text").join(renamed, same, "left").select("row", "spans")

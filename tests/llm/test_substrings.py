@@ -57,7 +57,9 @@ def test_passages_pasted_into_lines_are_found(spark):
 
 def test_units_are_normalised_and_short_ones_stay():
     assert substrings.units("One two  three FOUR five")[0][2] == substrings.units("one two three four\tfive\nx")[0][2]
-    assert substrings.units("a b c d\nyes.\n") == []
+    assert [u[:2] for u in substrings.units("a b c d\nyes.\n")] == [(0, 7), (0, 12), (8, 12)]
+    assert [u[:2] for u in substrings.units("So. But this one is long enough.")] == [(0, 32), (3, 32)]
+    assert len(substrings.units("So. But this one is long enough.", sentence_chars=1)) == 3
 
 
 def test_sentences_cover_the_line():
@@ -67,18 +69,18 @@ def test_sentences_cover_the_line():
 
 
 def own_units(text):
-    """Lines, their sentences and paragraphs as places and words, of at least ten characters."""
-    found = set()
+    """Lines and paragraphs of any length and sentences of at least ten characters, as places and words."""
+    whole, parts = set(), set()
     for paragraph in re.finditer(r"(?:^[^\n]*\S[^\n]*$\n?)+", text, re.M):
-        found.add((paragraph.start(), paragraph.start() + len(paragraph[0].rstrip("\n"))))
+        whole.add((paragraph.start(), paragraph.start() + len(paragraph[0].rstrip("\n"))))
     for line in re.finditer(r"[^\n]+", text):
-        found.add(line.span())
+        whole.add(line.span())
         start = line.start()
         for end in re.finditer(r"[.!?](?=\s)|。|$", line[0]):
-            found.add((start, line.start() + end.end()))
+            parts.add((start, line.start() + end.end()))
             start = line.start() + end.end()
-    keyed = [(a, b, " ".join(text[a:b].lower().split())) for a, b in sorted(found)]
-    return [u for u in keyed if len(u[2].replace(" ", "")) >= 10]
+    keyed = [(a, b, " ".join(text[a:b].lower().split())) for a, b in sorted(whole | parts)]
+    return [u for u in keyed if len(u[2].replace(" ", "")) >= (1 if u[:2] in whole else 10)]
 
 
 def test_short_lines_and_unspaced_scripts_against_own_units(spark):
@@ -118,7 +120,7 @@ def test_odd_tables(spark):
     found = substrings.remove_repeats(helpers.odd(spark, [same, f"x\n{same}\ny"]))
     rows = {r.row.doc_id: r for r in found.collect()}
     assert found.columns == ["row", "kept", "removed"] and found.count() == 10
-    assert rows[3].kept == same and rows[10].kept == "" and rows[11].kept == "x\ny"
+    assert rows[3].kept == same and rows[10].kept == "" and rows[11].kept == "y"  # row 5 has a line "x"
     assert rows[0].kept is None and rows[1].kept == "" and rows[3].row.kept == "own kept"
     assert rows[2].kept == helpers.LONG
     assert substrings.remove_repeats(helpers.empty(spark)).count() == 0
