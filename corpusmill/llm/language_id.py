@@ -126,16 +126,19 @@ class Filters:
         return np.array(columns).T.reshape(len(texts), len(self.langs)), lengths
 
 
-def learn(df: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
-    """Filters from the labelled rows. At most ``1 / MIN_SHARE`` n-grams per language reach the driver."""
+def learn(
+    df: DataFrame, text: str = "text", lang: str = "lang", least: float = MIN_SHARE, relative: float = RELATIVE
+) -> Filters:
+    """Filters from the labelled rows. At most ``1 / least`` n-grams per language reach the driver, which
+    is what ``least`` is for; ``relative`` keeps out n-grams that mark another language."""
     counts = staging.stage(count_grams(df, text, lang), "language-grams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     shares = counts.join(F.broadcast(totals), "lang").withColumn("share", F.col("n") / F.col("total"))
     best = shares.groupBy("gram").agg(F.max("share").alias("best"), F.collect_list(F.struct("lang", "share")).alias("owners"))
     owned = (
-        best.where(F.col("best") >= MIN_SHARE)
+        best.where(F.col("best") >= least)
         .select("gram", "best", F.explode("owners").alias("owner"))
-        .where((F.col("owner.share") >= MIN_SHARE) & (F.col("owner.share") >= RELATIVE * F.col("best")))
+        .where((F.col("owner.share") >= least) & (F.col("owner.share") >= relative * F.col("best")))
         .groupBy("owner.lang")
         .agg(F.collect_list("gram").alias("grams"))
     )

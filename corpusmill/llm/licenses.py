@@ -33,6 +33,8 @@ WORDS = bytes(
 )
 PHRASES = [(b"mit license", "mit"), (b"apache license", "apache"), (b"general public license", "gpl")]
 MIN_MATCH = 3
+#: Words between two matches of a chain at most: more than a name, a year or an address put into a
+#: template needs, fewer than another paragraph. And the share of a template that a chain covers at least.
 MAX_GAP = 12
 COVERED = 0.8
 
@@ -129,7 +131,9 @@ class Automaton:
         return found
 
 
-def best_chains(pieces: list[tuple[int, int, int]], size: int) -> list[tuple[int, int, float]]:
+def best_chains(
+    pieces: list[tuple[int, int, int]], size: int, gap: int = MAX_GAP, least: float = COVERED
+) -> list[tuple[int, int, float]]:
     """``(start, end, covered share)`` of the chains of one template, best first, not overlapping.
 
     ``pieces`` are ``(start in the text, start in the template, length)``.
@@ -139,19 +143,19 @@ def best_chains(pieces: list[tuple[int, int, int]], size: int) -> list[tuple[int
     low = 0
     longest = max((n for _, _, n in pieces), default=0)
     for i, (at, place, n) in enumerate(pieces):
-        while pieces[low][0] + longest + MAX_GAP < at:
+        while pieces[low][0] + longest + gap < at:
             low += 1
         best, origin = n, -1
         for j in range(low, i):
             other, before, m = pieces[j]
             overlap = max(0, other + m - at, before + m - place)
-            if other < at and before < place and at - (other + m) <= MAX_GAP and overlap < n and score[j] + n - overlap > best:
+            if other < at and before < place and at - (other + m) <= gap and overlap < n and score[j] + n - overlap > best:
                 best, origin = score[j] + n - overlap, j
         score.append(best)
         back.append(origin)
     taken, out = [False] * len(pieces), []
     for i in sorted(range(len(pieces)), key=lambda k: (-score[k], pieces[k])):
-        if score[i] < COVERED * size:
+        if score[i] < least * size:
             break
         chain, j = [], i
         while j != -1 and not taken[j]:
@@ -165,7 +169,7 @@ def best_chains(pieces: list[tuple[int, int, int]], size: int) -> list[tuple[int
     return out
 
 
-def _start(templates: list[tuple[str, str, str]]):
+def _start(templates: list[tuple[str, str, str]], gap: int, least: float):
     numbers: dict[bytes, int] = {}
     sequences = [[numbers.setdefault(w, len(numbers)) for w in words_of(text)] for _, _, text in templates]
     automaton = Automaton(sequences)
@@ -200,7 +204,7 @@ def _start(templates: list[tuple[str, str, str]]):
         out = []
         for template, own in pieces.items():
             name, label, _ = templates[template]
-            for start, end, covered in best_chains(own, len(sequences[template])):
+            for start, end, covered in best_chains(own, len(sequences[template]), gap, least):
                 words = round(covered * len(sequences[template]))
                 out.append({"label": label, "template": name, "start": start, "end": end, "covered": covered, "words": words})
         kept: list[dict] = []
@@ -240,8 +244,14 @@ def _start(templates: list[tuple[str, str, str]]):
 
 
 def scan_licenses(
-    df: DataFrame, text: str = "text", keep: list[str] | None = None, templates: list[tuple[str, str, str]] | None = None
+    df: DataFrame,
+    text: str = "text",
+    keep: list[str] | None = None,
+    templates: list[tuple[str, str, str]] | None = None,
+    gap: int = MAX_GAP,
+    covered: float = COVERED,
 ) -> DataFrame:
-    """``row`` and ``result`` (``FIELDS``). ``templates`` are ``(name, label, text)``."""
+    """``row`` and ``result`` (``FIELDS``). ``templates`` are ``(name, label, text)``; matches at most ``gap``
+    words apart make a chain, and chains that cover ``covered`` of their template a span."""
     chosen = TEMPLATES if templates is None else templates
-    return common.annotate(df, lambda: _start(chosen), FIELDS, text, keep)
+    return common.annotate(df, lambda: _start(chosen, gap, covered), FIELDS, text, keep)

@@ -44,7 +44,12 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 BROKEN = re.compile(r"""[^\s"'`<>(){}\[\],;:=\x00-\x20\x7f-\U0010ffff]{16,}""")
 EDGES = ".!?"
 LEAST = 16
+#: How far from a sensitive word a candidate starts or ends at most, how much text on either side of it
+#: primes the frame (what is further away says little of what to expect), and the share of its length
+#: that a candidate adds at least: scan_secrets takes all three as arguments.
 REACH = 48
+AROUND = 1024
+RATIO = 0.7
 IDENTIFIERS = (
     "access account action address admin algorithm api app application argument array async attribute auth await "
     "base64 boolean buffer build bucket byte cache callback certificate char class client cloud code command "
@@ -131,7 +136,7 @@ def candidates(text: str, reach: int = REACH) -> list[tuple[int, int]]:
 
 
 def novel_spans(
-    text: str, lowered: str, base: list[tuple[int, int, int]], reach: int = REACH, around: int = 1024, ratio: float = 0.7
+    text: str, lowered: str, base: list[tuple[int, int, int]], reach: int = REACH, around: int = AROUND, ratio: float = RATIO
 ) -> list[tuple[int, int, int]]:
     """Incompressible strings near a sensitive word, outside base spans; none within another."""
     if not any(word in lowered for word in SENSITIVE_WORDS):
@@ -148,22 +153,24 @@ def novel_spans(
     return found
 
 
-def spans_of(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def spans_of(
+    text: str, reach: int = REACH, around: int = AROUND, ratio: float = RATIO
+) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans and the method's spans of one text."""
     lowered = text.lower()
     base = base_spans(text, lowered)
-    return base, novel_spans(text, lowered, base)
+    return base, novel_spans(text, lowered, base, reach, around, ratio)
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
-def _start():
+def _start(reach: int, around: int, ratio: float):
     def compute(texts: list[str]) -> dict[str, pa.Array]:
         counts, base_text, all_spans = [], [], []
         for text in texts:
-            base, novel = spans_of(text)
+            base, novel = spans_of(text, reach, around, ratio)
             counts.append([sum(kind == k for _, kind, _ in base) for k in range(3)] + [len(novel)])
             base_text.append(written(base))
             spans = sorted(base + novel)
@@ -176,9 +183,16 @@ def _start():
     return compute
 
 
-def scan_secrets(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def scan_secrets(
+    df: DataFrame,
+    text: str = "text",
+    keep: list[str] | None = None,
+    reach: int = REACH,
+    around: int = AROUND,
+    ratio: float = RATIO,
+) -> DataFrame:
     """``row`` and ``result`` (``FIELDS``): counts of each kind, base spans as text, and all spans."""
-    return common.annotate(df, _start, FIELDS, text, keep)
+    return common.annotate(df, lambda: _start(reach, around, ratio), FIELDS, text, keep)
 
 
 def redacted(text: str, mark: str) -> str:

@@ -481,7 +481,8 @@ def write_warc(
     df: DataFrame, path: str, id: str = "page_id", target: str = "url", payload: str = "html", packed: bool = True
 ) -> None:
     """One record per row: of rows with equal payloads the one with the smallest id is a response,
-    rows with larger ids revisit it. Payloads are grouped by digest and size, not by content."""
+    rows with larger ids revisit it. Payloads are told apart by their SHA-1, as WARC's revisits are:
+    two different payloads made to have one SHA-1 would be taken for one."""
     spark = df.sparkSession
     register(spark)
     raw = F.coalesce(F.col(f"`{payload}`").cast("binary"), F.unhex(F.lit("")))
