@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from corpusmill import staging
 from corpusmill.functions import text, tokens
 from corpusmill.operators import extract
-from corpusmill.sources import tree
+from corpusmill.sources import state, tree
 
 TOKENS_SQL = r"len(regexp_extract_all({0}, '\p{{L}}+|\p{{N}}{{1,3}}|[^\s\p{{L}}\p{{N}}]'))"
 
@@ -130,9 +130,10 @@ _TREES: dict[tuple[str, str], str] = {}
 
 
 def tree_folder(spark: SparkSession, sf: str) -> str:
-    """The same tree as files on shared storage, written by tasks once per application."""
+    """The same tree as files on shared storage, the input of the tree queries: written by tasks once per
+    application, and again if its folder is gone."""
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _TREES:
+    if key not in _TREES or not state.path_exists(spark, _TREES[key]):
         root = staging.new_path(spark, "tree")
         tree.write_tree(tree_table(spark, sf), root).count()
         _TREES[key] = root

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from threading import get_ident
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,8 +16,9 @@ from corpusmill import storage
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
-#: Paths to delete at the end of each open scope, innermost last.
-_SCOPES: list[list[str]] = []
+#: Paths to delete at the end of each open scope, innermost last, of each thread, so that jobs in threads
+#: do not delete each other's tables.
+_SCOPES: dict[int, list[list[str]]] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -35,19 +37,23 @@ def staging_root(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A path no other run uses."""
     path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    if opened := _SCOPES.get(get_ident()):
+        opened[-1].append(path)
     return path
 
 
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
-    """Deletes on leaving what was staged inside. What leaves the scope must be written elsewhere."""
-    _SCOPES.append([])
+    """Deletes on leaving what this thread staged inside. What leaves the scope must be written elsewhere."""
+    opened = _SCOPES.setdefault(get_ident(), [])
+    opened.append([])
     try:
         yield
     finally:
-        for path in _SCOPES.pop():
+        paths = opened.pop()
+        if not opened:
+            _SCOPES.pop(get_ident(), None)
+        for path in paths:
             storage.delete(spark, path)
 
 

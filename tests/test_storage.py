@@ -87,3 +87,30 @@ def test_staging_folder(monkeypatch):
     session.sparkContext.master = "local-cluster[3,2,1024]"
     with pytest.raises(ValueError):
         staging.staging_root(session)
+
+
+def test_scopes_of_threads_are_apart(spark):
+    """A scope that ends in one thread deletes nothing that another thread has staged."""
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    from corpusmill import staging
+    from corpusmill.sources.state import path_exists
+
+    meet = Barrier(2)
+
+    def job(wait: bool) -> bool:
+        with staging.scope(spark):
+            kept = staging.stage(spark.range(3), "thread")
+            path = kept.inputFiles()[0].rpartition("/")[0]
+            meet.wait(60)
+            if wait:
+                meet.wait(60)
+                return path_exists(spark, path)
+        gone = not path_exists(spark, path)
+        meet.wait(60)
+        return gone
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(job, [True, False])) == [True, True]
+    assert not staging._SCOPES
