@@ -13,7 +13,7 @@ SF = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
 def test_registered():
     found = entry.queries()
     assert "pipeline" in found
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in found) == 1
     assert set(queries.ORACLE) <= set(queries.QUERIES)
 
