@@ -352,12 +352,17 @@ _STEPPED_SQL = """ SELECT family, c.query, description, sort, "order", {page} AS
         JOIN v_log l ON l.query = b.brand),
       v_last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY page DESC) AS rn FROM v_pages) WHERE rn = 1),
       v_state AS (SELECT *, found > 0 AND CASE WHEN new = 0 THEN page < 5 ELSE page < 10 END AS goes_on FROM v_last)"""
+    + ", v_step AS ("
     + _STEPPED_SQL.format(page="CAST(coalesce(s.page + 1, 1) AS BIGINT)", level=C.STAR_LEVELS[0], expanded="false")
-    + """ LEFT JOIN v_state s ON s.query = c.query WHERE coalesce(s.goes_on, true) AND c.family <> 'size'""",
+    + """ LEFT JOIN v_state s ON s.query = c.query WHERE coalesce(s.goes_on, true) AND c.family <> 'size'),
+      v_lower AS (WITH """
+    + _crawl_sql(C.STAR_LEVELS[1])
+    + _STEPPED_SQL.format(page="CAST(1 AS BIGINT)", level=C.STAR_LEVELS[1], expanded="true")
+    + ") SELECT * FROM v_step UNION ALL SELECT * FROM v_lower WHERE NOT EXISTS (SELECT 1 FROM v_step)",
 )
 def crawl_step(spark, sf):
-    """The queries of the highest threshold: some logged, some not yet, one family finished otherwise.
-    What is logged for the next threshold does not count."""
+    """The queries of the highest threshold: as far as they are logged, one family finished otherwise; those
+    of the next one if all are done. What is logged for the next threshold does not count."""
     generate, (now, lower) = _generator(spark, sf), C.STAR_LEVELS[:2]
     queries = generate(now)
     log = _crawl_log(spark, sf, queries, now)
