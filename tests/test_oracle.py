@@ -16,10 +16,11 @@ def test_all_are_registered():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+    """All but the counts by a BPE vocabulary, which are tested by merging (test_bpe_file)."""
+    assert set(QUERIES) - set(ORACLE) == {"bpe_token_count"} and set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_as_sql(spark, name):
     count, problem = compare(spark, SF, QUERIES[name], ORACLE[name])
     assert problem is None, problem
