@@ -18,11 +18,13 @@ SLICE_BYTES = 4 << 20
 Compute = Callable[[list[str]], dict[str, pa.Array]]
 
 
-def slices(batches: Iterable[pa.RecordBatch], sizes_of: Callable[[pa.RecordBatch], pa.Array]) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that each holds about ``SLICE_BYTES`` of what ``sizes_of`` names, or one row."""
+def slices(
+    batches: Iterable[pa.RecordBatch], sizes_of: Callable[[pa.RecordBatch], pa.Array], most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each holds about ``most`` bytes of what ``sizes_of`` names, or one row."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(sizes_of(batch)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        window = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+        window = (np.cumsum(sizes) - sizes) // most
         cuts = [0, *(np.flatnonzero(np.diff(window)) + 1).tolist(), len(sizes)]
         for low, high in zip(cuts, cuts[1:], strict=False):
             if high > low:
@@ -35,6 +37,7 @@ def annotate(
     fields: T.StructType,
     text: str = "text",
     keep: list[str] | None = None,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Two columns, ``row`` (the input's columns, or those in ``keep``) and ``result`` (``fields``).
 
@@ -51,7 +54,7 @@ def annotate(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = start()
-        for batch in slices(batches, lambda b: b.column(0).field(text_at)):
+        for batch in slices(batches, lambda b: b.column(0).field(text_at), slice_bytes):
             row = batch.column(0)
             found = compute([t or "" for t in row.field(text_at).to_pylist()])
             if not whole:

@@ -387,6 +387,10 @@ FIELDS = common.struct(
 )
 
 
+#: Bytes of text searched together: every place has several pieces, each in a few arrays.
+SEARCH_BYTES = 1 << 20
+
+
 def _start(c: Codec, verify: bool):
     encoder = Encoder(c)
     is_byte = np.zeros(len(c.scores), bool)
@@ -416,7 +420,7 @@ def encode(
 ) -> DataFrame:
     """``row`` and ``result`` (``FIELDS``). With ``verify`` the ids are decoded again in the same
     task: the digest of the decoded text, and whether it is the text; else both are null."""
-    return common.annotate(df, lambda: _start(c, verify), FIELDS, text, keep)
+    return common.annotate(df, lambda: _start(c, verify), FIELDS, text, keep, SEARCH_BYTES)
 
 
 def decode(df: DataFrame, c: Codec, ids: str = "ids") -> DataFrame:
