@@ -36,6 +36,8 @@ SAMPLE = 1500
 DIMENSIONS = 48
 NEIGHBOURS = 25
 THRESHOLD = 0.7
+#: Texts that are compared with the sample together.
+BLOCK = 64
 POWER = 8  # a neighbour's weight is its similarity to this power
 #: Steps of term counts, of the projection and of the vectors' coordinates, each one over a power of two.
 COUNT_STEP, PROJECT_STEP, VECTOR_STEP = 2.0**-12, 2.0**-20, 2.0**-15
@@ -138,8 +140,8 @@ def vote(counts: np.ndarray, model: Model) -> np.ndarray:
     known = np.flatnonzero(np.abs(vectors).sum(1) > 0)
     size = len(model.labels)
     near, place = min(NEIGHBOURS, size), np.arange(size)
-    for low in range(0, len(known), 256):
-        rows = known[low : low + 256]
+    for low in range(0, len(known), BLOCK):
+        rows = known[low : low + BLOCK]
         steps = ((vectors[rows] @ model.vectors.T) / VECTOR_STEP**2).astype(np.int64)
         order = place - steps * size  # no two are equal: by similarity, then by place
         best = np.sort(np.partition(order, near - 1, axis=1)[:, :near], axis=1)
@@ -199,7 +201,7 @@ def classify(df: DataFrame, model: Model, text: str = "text", keep: list[str] |
         fitted = Model(*parts)
 
         def compute(texts: list[str]) -> dict[str, pa.Array]:
-            found = [vote(term_counts(texts[low : low + 256], table), fitted) for low in range(0, len(texts), 256)]
+            found = [vote(term_counts(texts[low : low + BLOCK], table), fitted) for low in range(0, len(texts), BLOCK)]
             return {"score": pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())}
 
         return compute
