@@ -1,7 +1,8 @@
 """Near copies: texts whose sets of five-word shingles agree (Jaccard) to ``SIMILARITY`` or more.
 
 Candidates share a band, which is ``ROWS`` smallest values of permuted shingle hashes; a pair that
-agrees to j shares none of ``BANDS`` bands with probability (1 - j ** ROWS) ** BANDS, 5e-5 at 0.8.
+agrees to j shares none of ``BANDS`` bands with probability (1 - j ** ROWS) ** BANDS, 5e-5 at 0.8. A search by
+fingerprint (``simhash``) gives further candidates: each group it finds counts as one more band.
 Every candidate pair is then decided by its exact similarity, and a component is all that links
 reach. Texts with equal sets become one first.
 
@@ -21,6 +22,8 @@ node; rows with a null id are left out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,7 +33,7 @@ from pyspark.sql import types as T
 
 from corpusmill import staging
 from corpusmill.llm import common, components, sieve, skew
-from corpusmill.llm.shingles import shingle_hashes, words_of
+from corpusmill.llm.shingles import fingerprint, shingle_hashes, words_of
 
 SHINGLE = 5
 #: Similarity is at least 4 of 5: what two sets do not share is at most a ninth of their sizes.
@@ -40,7 +43,9 @@ BANDS = 25
 ROWS = 5
 #: Shingles whose permuted hashes are in memory together.
 PART = 1 << 12
-FIELDS = common.struct(key=T.BinaryType(), size=common.LONG, bands=T.ArrayType(common.LONG))
+#: Words of a shingle of the fingerprint.
+FINGERPRINT_SHINGLE = 3
+FIELDS = common.struct(key=T.BinaryType(), size=common.LONG, bands=T.ArrayType(common.LONG), fingerprint=common.LONG)
 
 
 def permutations() -> tuple[np.ndarray, np.ndarray]:
@@ -66,7 +71,7 @@ def bands_of(hashes: np.ndarray, flips: np.ndarray, factors: np.ndarray) -> list
 
 
 def sketches(df: DataFrame) -> DataFrame:
-    """``id, key, size, bands`` of rows ``id, text``; the key stands for the set."""
+    """``id, key, size, bands, fingerprint`` of rows ``id, text``; the key stands for the set."""
 
     def start():
         flips, factors = permutations()
@@ -74,10 +79,12 @@ def sketches(df: DataFrame) -> DataFrame:
         def compute(texts: list[str]) -> dict[str, pa.Array]:
             sets = [shingles_of(t) for t in texts]
             bands = [np.array(bands_of(s, flips, factors), np.uint64).view(np.int64) for s in sets]
+            prints = [fingerprint(shingle_hashes(words_of(t), FINGERPRINT_SHINGLE)) for t in texts]
             return {
                 "key": pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                 "size": pa.array([len(s) for s in sets], pa.int64()),
                 "bands": pa.array(bands, pa.list_(pa.int64())),
+                "fingerprint": pa.array(prints, pa.int64()),
             }
 
         return compute
@@ -175,10 +182,20 @@ def meeting(apart: DataFrame, roots: DataFrame) -> DataFrame:
     return x.join(y, same & fits & sizes_fit("xsize", "ysize")).select(F.col("xnode").alias("a"), F.col("ynode").alias("b")).distinct()
 
 
-def links(nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """Edges ``a, b`` that join all ``nodes`` (``node, size, bands``) that share a band and are alike
-    by the texts of ``rows`` (``id, text``)."""
-    keyed = staging.stage(nodes.select("node", "size", F.explode("bands").alias("band")), "near-copies-bands")
+def searched(prints: DataFrame, nodes: DataFrame, search: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``node, size, band`` of the groups that ``search`` finds by the fingerprints of ``prints``. Texts of
+    one set may have several fingerprints; the empty set is like no other and has no group."""
+    every = prints.where("size > 0").select("key", "fingerprint").distinct()
+    every = every.join(nodes.select("key", F.col("node").alias("id"), "size"), "key")
+    every = every.select("id", "size", "fingerprint", F.array().cast("array<bigint>").alias("proofs"))
+    found = search(staging.stage(every, "near-copies-fingerprints"))
+    band = F.xxhash64(F.lit("fingerprint"), "component")
+    return found.select(F.col("id").alias("node"), "size", band.alias("band")).distinct()
+
+
+def links(keyed: DataFrame, rows: DataFrame) -> DataFrame:
+    """Edges ``a, b`` that join all nodes of the staged ``keyed`` (``node, size, band``) that share a band
+    and are alike by the texts of ``rows`` (``id, text``)."""
     first = F.min(F.struct("node", "size"))
     grouped = keyed.groupBy("band").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1")
     facts = staging.stage(grouped, "near-copies-groups")
@@ -212,19 +229,26 @@ def links(nodes: DataFrame, rows: DataFrame) -> DataFrame:
     return found.unionByName(linked(staging.stage(pairs, "near-copies-rest"), sets))
 
 
-def groups(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """``id, component`` for every row with an id; a component is named by its smallest id."""
+def groups(
+    df: DataFrame, text: str = "text", id: str = "doc_id", search: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """``id, component`` for every row with an id; a component is named by its smallest id. ``search`` gives
+    rows ``id, fingerprint, proofs`` and more their ``component``, which is taken as one more band."""
     rows = df.select(F.col(f"`{id}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text")).where("id IS NOT NULL")
     prints = staging.stage(sketches(rows), "near-copies-sketches")
     distinct = prints.groupBy("key").agg(
         F.min("id").alias("node"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("bands").alias("bands")
     )
     distinct = staging.stage(distinct, "near-copies-distinct")
+    keyed = distinct.select("node", "size", F.explode("bands").alias("band"))
+    if search is not None:
+        keyed = keyed.unionByName(searched(prints, distinct, search))
+    keyed = staging.stage(keyed, "near-copies-bands")
     # rows of one id may have other texts, and so other sets
     ids = prints.select("id", "key").distinct().join(distinct.select("key", "node"), "key").where("id != node")
     many = prints.groupBy("id").agg(F.count_distinct("key").alias("keys")).where("keys > 1").select("id")
     same = ids.join(many, "id", "left_semi").select(F.col("node").alias("a"), F.col("id").alias("b"))
-    roots = components.connected(links(distinct, rows).unionByName(same))
+    roots = components.connected(links(keyed, rows).unionByName(same))
     named = distinct.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("component"), "n")
     facts = staging.stage(named, "near-copies-components")
     total = facts.agg(F.sum("n")).first()[0] or 0

@@ -37,9 +37,9 @@ from pyspark.sql import types as T
 
 from corpusmill import staging
 from corpusmill.llm import common, components, near_copies, sieve, skew
-from corpusmill.llm.shingles import SEED, shingle_hashes, words_of
+from corpusmill.llm.shingles import SEED, fingerprint, shingle_hashes, words_of
 
-SHINGLE = 3
+SHINGLE = near_copies.FINGERPRINT_SHINGLE
 DISTANCE = 2
 #: Groups of so many members at most are never split or searched by look-up.
 PAIRWISE = 1500
@@ -65,18 +65,6 @@ class Proof(NamedTuple):
 FIVE_WORDS = Proof(5, 0.8, (SEED, SEED + 1))
 
 
-def fingerprint(hashes: np.ndarray) -> int:
-    """Bits set in over half of ``hashes``, as a signed number."""
-    if not len(hashes):
-        return 0
-    counts = np.zeros(64, np.int64)
-    for low in range(0, len(hashes), 1 << 16):
-        part = hashes[low : low + (1 << 16)]
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int32)
-    bits = np.packbits(2 * counts > len(hashes), bitorder="little")
-    return int(bits.view(np.int64)[0])
-
-
 def fingerprints(
     df: DataFrame,
     text: str = "text",
@@ -279,8 +267,8 @@ def near_links(prints: DataFrame, distance: int = DISTANCE, proof: Proof | None
     return dealt.mapInArrow(search(distance, len(proven), proof.budget() if proof else 0), "a bigint, b bigint")
 
 
-def group_prints(prints: DataFrame, distance: int = DISTANCE, proof: Proof | None = None) -> DataFrame:
-    """``id, fingerprint, component`` for staged rows ``id, fingerprint, proofs``."""
+def with_components(prints: DataFrame, distance: int = DISTANCE, proof: Proof | None = None) -> DataFrame:
+    """Staged rows ``id, fingerprint, proofs`` and more, with their ``component``."""
     key = F.xxhash64("fingerprint", "proofs")
     prints = prints.withColumn("key", F.col("fingerprint") if proof is None else key)
     distinct = staging.stage(
@@ -292,7 +280,12 @@ def group_prints(prints: DataFrame, distance: int = DISTANCE, proof: Proof | Non
     named = distinct.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("component"), "n")
     facts = staging.stage(named, "simhash-components")
     total = facts.agg(F.sum("n")).first()[0] or 0
-    return skew.attach(prints, facts, "key", total, "inner").select("id", "fingerprint", "component")
+    return skew.attach(prints, facts, "key", total, "inner").drop("key")
+
+
+def group_prints(prints: DataFrame, distance: int = DISTANCE, proof: Proof | None = None) -> DataFrame:
+    """``id, fingerprint, component`` for staged rows ``id, fingerprint, proofs``."""
+    return with_components(prints, distance, proof).select("id", "fingerprint", "component")
 
 
 def near_duplicates(
@@ -312,11 +305,13 @@ def near_duplicates(
 
 
 def drop_near_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """One row of each group of near copies (``near_copies``), the one with the smallest id (of rows
-    with that id, the first in order of their text), all columns. Rows with a null id belong to no
-    group and stay.
+    """One row of each group of near copies, the one with the smallest id (of rows with that id, the
+    first in order of their text), all columns. Rows with a null id belong to no group and stay.
+
+    Candidates are the components of fingerprints that this module links and, as copies may differ in
+    more bits, the bands of ``near_copies``; the exact similarity there decides on both.
     """
-    made = staging.stage(near_copies.groups(df, text, id), "near-copies-made")
+    made = staging.stage(near_copies.groups(df, text, id, with_components), "near-copies-made")
     gone = staging.stage(made.where("id != component").select(F.col("id").alias("__id")).distinct(), "near-copies-gone")
     again = made.where("id = component").groupBy(F.col("id").alias("__id")).count().where("count > 1").select("__id")
     again = staging.stage(again, "near-copies-again")

@@ -80,3 +80,17 @@ def test_bands_do_not_depend_on_parts(monkeypatch):
     whole = near_copies.bands_of(hashes, *near_copies.permutations())
     monkeypatch.setattr(near_copies, "PART", 7)
     assert near_copies.bands_of(hashes, *near_copies.permutations()) == whole and len(whole) == near_copies.BANDS
+
+
+def test_a_pair_that_only_fingerprints_bring_together(spark):
+    """Alike to 0.8 exactly, in no common band, with one fingerprint."""
+    rng = random.Random(1078)
+    words = ["a"] * 200 + [f"w{rng.randrange(10**6)}" for _ in range(44)]
+    copy = [*words[:222], "x12", *words[223:]]
+    texts = [" ".join(words), " ".join(copy), "an own text that stays", " ".join(["a"] * 200 + [f"y{i}" for i in range(44)])]
+    assert jaccard(shingles(texts[0]), shingles(texts[1])) == 0.8
+    bands = [set(near_copies.bands_of(near_copies.shingles_of(t), *near_copies.permutations())) for t in texts]
+    assert not bands[0] & bands[1]
+    prints = [simhash.fingerprint(simhash.shingle_hashes(simhash.words_of(t), 3)) for t in texts]
+    assert prints[0] == prints[1] == prints[3]  # so the last one is a candidate too, but is not alike
+    assert {r.doc_id for r in simhash.drop_near_duplicates(helpers.documents(spark, texts)).collect()} == {0, 2, 3}
