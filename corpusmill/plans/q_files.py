@@ -506,7 +506,9 @@ def summary_documents(spark, sf):
     )
     document = F.to_json(F.struct("total_tokens", F.col("total_files").alias("total_repos"), "total_files", "repos"))
     path = staging.new_path(spark, "summaries")
-    grouped.select("block", document.alias("value")).write.partitionBy("block").text(path)
+    # a file takes its time whatever its size, so all cores write them
+    dealt = grouped.select("block", document.alias("value")).repartition(spark.sparkContext.defaultParallelism, "block")
+    dealt.write.partitionBy("block").text(path)
     return state.read_summary(spark, path, split_bytes=2048)[1]
 
 

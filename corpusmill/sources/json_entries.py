@@ -18,11 +18,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as Over
 
 from corpusmill import staging
 from corpusmill.storage import Clients
 
 SPLIT_BYTES = 8 << 20
+#: Splits that a task reads one after the other, about, if they are small.
+SPLITS_PER_TASK = 500
 QUOTE, BACKSLASH, COMMA = 0x22, 0x5C, 0x2C
 WHITE = b" \t\r\n"
 MEMBERS = "file string, split long, at long, depth int, parent string, name string, value string, sound boolean"
@@ -192,7 +195,10 @@ def read_members(spark: SparkSession, path: str, deepest: int = 2, split_bytes:
     count = F.greatest(F.lit(1), F.ceil(F.col("length") / split_bytes))
     splits = listed.select(F.col("path").alias("file"), "length", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)).alias("split"))
     splits = staging.stage(splits, "json-splits")
-    tasks = max(1, splits.count())
+    held = F.least(F.lit(split_bytes), F.col("length") - F.col("split") * split_bytes)
+    many, size = splits.agg(F.count("*"), F.coalesce(F.sum(held), F.lit(0))).first()
+    tasks = max(spark.sparkContext.defaultParallelism, size // SPLIT_BYTES, many // SPLITS_PER_TASK)
+    tasks = max(1, min(many, tasks))
 
     def opened(batches):
         clients = Clients()
@@ -211,16 +217,21 @@ def read_members(spark: SparkSession, path: str, deepest: int = 2, split_bytes:
             )
 
     spread = splits.repartition(tasks, "file", "split")
-    measured = spread.mapInArrow(measure, "file string, split long, ends array<boolean>, steps array<long>").collect()
-    states, last_state, within, depth = [], {}, False, 0  # a small row for each split
-    for row in sorted(measured):
-        if row.split == 0:
-            within, depth = False, 0
-        states.append((row.file, row.split, within, depth))
-        within, depth = row.ends[within], depth + row.steps[within]
-        last_state[row.file] = (within, depth)
-    open_ = [(file, 0, 0, 0, None, "", None, False) for file, state in last_state.items() if state != (False, 0)]
-    begun = spark.createDataFrame(states, "file string, split long, within boolean, depth long")
+    measured = spread.mapInArrow(measure, "file string, split long, ends array<boolean>, steps array<long>")
+    order = Over.partitionBy("file").orderBy("split")  # a small row for each split
+    before = order.rowsBetween(Over.unboundedPreceding, -1)
+    # quotes turn either state of a split's start into the other or neither
+    turned = F.sum(F.col("ends")[0].cast("bigint")).over(before)
+    begun = measured.withColumn("within", F.coalesce(turned, F.lit(0)) % 2 == 1)
+    begun = begun.withColumn("step", F.when(F.col("within"), F.col("steps")[1]).otherwise(F.col("steps")[0]))
+    begun = begun.withColumn("depth", F.coalesce(F.sum("step").over(before), F.lit(0)))
+    ends = F.col("within") != F.col("ends")[0]
+    begun = begun.select("file", "split", "within", "depth", (ends | (F.col("depth") + F.col("step") != 0)).alias("open"))
+    begun = staging.stage(begun, "json-states")
+    open_ = begun.groupBy("file").agg(F.max_by("open", "split").alias("open")).where("open")
+    open_ = open_.selectExpr(
+        "file", "0L AS split", "0L AS at", "0 AS depth", "CAST(NULL AS string) AS parent", "'' AS name", "CAST(NULL AS string) AS value", "false AS sound"
+    )
 
     def cut(batches):
         for row, window in opened(batches):
@@ -234,17 +245,13 @@ def read_members(spark: SparkSession, path: str, deepest: int = 2, split_bytes:
                 yield pa.RecordBatch.from_pydict({n: list(c) for n, c in zip(_NAMES, zip(*rows, strict=True), strict=True)}, _ARROW)
 
     found = staging.stage(begun.repartition(tasks, "file", "split").mapInArrow(cut, MEMBERS), "json-members")
-    last = found.where("depth = 1").groupBy("file", "split").agg(F.max_by("name", "at").alias("name")).collect()
-    named, carried, ended = {(r.file, r.split): r.name for r in last}, [], None
-    for file, split, _, _ in states:
-        ended = None if split == 0 else ended
-        carried.append((file, split, ended))
-        ended = named.get((file, split), ended)
-    before = spark.createDataFrame(carried, "file string, split long, before string")
-    whole = found.join(F.broadcast(before), ["file", "split"]).withColumn(
+    last = found.where("depth = 1").groupBy("file", "split").agg(F.max_by("name", "at").alias("last"))
+    carried = begun.select("file", "split").join(last, ["file", "split"], "left")
+    carried = carried.select("file", "split", F.last("last", ignorenulls=True).over(before).alias("before"))
+    whole = found.join(carried, ["file", "split"]).withColumn(
         "parent", F.when(F.col("depth") > 1, F.coalesce("parent", "before")).otherwise(F.col("parent"))
     )
-    return whole.drop("before").unionByName(spark.createDataFrame(open_, MEMBERS))
+    return whole.drop("before").unionByName(open_)
 
 
 _NAMES = [c.split()[0] for c in MEMBERS.split(", ")]

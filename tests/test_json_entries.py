@@ -91,3 +91,20 @@ def test_the_last_of_a_name_counts(spark, tmp_path):
     heads, repos = state.read_summary(spark, str(path), split_bytes=16)
     assert [tuple(r) for r in heads.collect()] == [(3, None, 2)]
     assert sorted(tuple(r) for r in repos.collect()) == [("a", 7, 0), ("b", 0, 0)]
+
+
+def test_small_splits_share_tasks(spark, tmp_path, monkeypatch):
+    folder, written, real = tmp_path / "many", {}, json_entries.staging.stage
+    folder.mkdir()
+    for i in range(8):
+        (folder / f"{i}.json").write_text(json.dumps(document(random.Random(i), 9)))
+
+    def stage(df, label, *by):
+        out = real(df, label, *by)
+        written[label] = len(out.inputFiles())  # one of each task that had rows
+        return out
+
+    monkeypatch.setattr(json_entries.staging, "stage", stage)
+    found = json_entries.read_members(spark, str(folder), split_bytes=32)
+    assert written["json-members"] <= spark.sparkContext.defaultParallelism
+    assert found.filter("depth = 2 AND parent = 'repos'").count() == 72 and found.filter("NOT sound").isEmpty()
