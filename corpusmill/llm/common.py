@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 
 #: Bytes of text that a task looks at together; a longer text is looked at alone.
 SLICE_BYTES = 4 << 20
+#: Bytes of rows that Spark hands to a task's function together. Unless it is set, that is 10,000 rows of any size,
+#: which the executor's JVM and the worker hold beside its heap.
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 #: Takes texts (never null) and returns one Arrow array for each result field.
 Compute = Callable[[list[str]], dict[str, pa.Array]]
@@ -31,6 +34,15 @@ def slices(
                 yield batch.slice(low, high - low)
 
 
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on hands on batches of about ``SLICE_BYTES`` (or one row), unless it names
+    a size itself."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_CONF, None) is None:
+        conf.set(BATCH_CONF, str(SLICE_BYTES))
+    return df
+
+
 def annotate(
     df: DataFrame,
     start: Callable[[], Compute],
@@ -47,7 +59,7 @@ def annotate(
     """
     kept = T.StructType([f for f in df.schema.fields if keep is None or f.name in keep])
     wanted = list(dict.fromkeys([*([c.name for c in kept]), text]))
-    packed = df.select(F.struct(*(F.col(f"`{c}`") for c in wanted)).alias("row"))
+    packed = bound_batches(df).select(F.struct(*(F.col(f"`{c}`") for c in wanted)).alias("row"))
     names, text_at = [f.name for f in fields], wanted.index(text)
     places = [wanted.index(f.name) for f in kept]
     whole = len(kept) == len(wanted)

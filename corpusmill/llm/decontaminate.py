@@ -216,7 +216,7 @@ def find_leaks(
     row = T.StructType(kept)
     fields = common.struct(row=row, leaks=T.ArrayType(leak))
     text_at = [f.name for f in kept].index(text)
-    found = df.select(
+    found = common.bound_batches(df).select(
         F.struct(*(F.col(f"`{f.name}`") for f in kept)).alias("row"), F.array().cast(T.ArrayType(leak)).alias("leaks")
     )
     for number in range(blocks):
